@@ -60,141 +60,161 @@ def explode_states(opened: DataFrame, keep_empty: bool = False) -> DataFrame:
     """One row per element of ``states``; ``pos`` is its place in the payload.
 
     ``keep_empty`` leaves a row with a null ``pos`` for a payload without states.
+    Such rows are removed after the explosion rather than before: Spark would
+    test the array ahead of a plain explode, and parse every payload again for it.
     """
     kept = [c for c in opened.columns if c != "states"]
-    explode = F.posexplode_outer if keep_empty else F.posexplode
-    return opened.select(*kept, explode("states").alias("pos", "state"))
+    exploded = opened.select(*kept, F.posexplode_outer("states").alias("pos", "state"))
+    return exploded if keep_empty else exploded.where(F.col("pos").isNotNull())
 
 
-class _Field:
-    """A raw element, its JSON type, and the tests made on it."""
+NUMERIC_FIELDS = (
+    "time_position", "last_contact", "longitude", "latitude", "baro_altitude", "velocity",
+    "true_track", "vertical_rate", "geo_altitude", "position_source", "category",
+)
+TEXT_FIELDS = ("callsign", "origin_country", "squawk")
+
+# Every test a row can fail, in the order in which they count: the first one
+# failed is the reason given. Fixed values.
+TESTS = (
+    "row_not_array",
+    "row_too_short",
+    "icao24_missing",
+    "icao24_invalid",
+    "last_contact_not_numeric",
+    "last_contact_out_of_range",
+    "last_contact_implausible",
+    "time_position_not_numeric",
+    "time_position_out_of_range",
+    "time_position_implausible",
+    "on_ground_not_boolean",
+    "longitude_not_numeric",
+    "longitude_not_finite",
+    "latitude_not_numeric",
+    "latitude_not_finite",
+    "longitude_out_of_range",
+    "latitude_out_of_range",
+    "true_track_not_numeric",
+    "true_track_not_finite",
+    "true_track_out_of_range",
+    "callsign_not_string",
+    "origin_country_not_string",
+    "baro_altitude_not_numeric",
+    "baro_altitude_not_finite",
+    "geo_altitude_not_numeric",
+    "geo_altitude_not_finite",
+    "velocity_not_numeric",
+    "velocity_not_finite",
+    "vertical_rate_not_numeric",
+    "vertical_rate_not_finite",
+    "squawk_not_string",
+    "position_source_not_numeric",
+    "position_source_not_finite",
+    "position_source_out_of_range",
+    "category_not_numeric",
+    "category_not_finite",
+    "category_out_of_range",
+)
 
-    def __init__(self, name: str) -> None:
-        self.name = name
-        self.raw = F.col(f"_v_{name}")
-        self.kind = F.col(f"_k_{name}")
-        self.number = F.col(f"_n_{name}")
-        self.text = F.col(f"_t_{name}")
 
-    @property
-    def missing(self) -> Column:
-        return self.kind.isNull() | (self.kind == "VOID")
+def _reason(test: str) -> str:
+    """Texts share one reason, whichever field it was."""
+    return "text_field_not_string" if test.endswith("_not_string") else test
 
-    @property
-    def present(self) -> Column:
-        return ~self.missing
 
-    def fails(self, condition: Column, suffix: str) -> tuple[Column, str]:
-        return condition, f"{self.name}_{suffix}"
+def _step(df: DataFrame, *columns) -> DataFrame:
+    """A projection that is compiled on its own.
 
-    def not_numeric(self) -> tuple[Column, str]:
-        return self.fails(self.present & ~is_number(self.kind), "not_numeric")
+    The JVM does not compile a generated method beyond 8000 bytes, and Spark would
+    merge all of the validation into one of twice that, which then runs interpreted.
+    A generator of one row ends the method. It also keeps later filters above it;
+    pushed below, they would repeat the work they depend on.
+    """
+    return df.select(F.inline(F.array(F.struct(*columns))))
 
-    def measurement(self) -> list[tuple[Column, str]]:
-        infinite = F.abs(self.number) == F.lit(float("inf"))
-        return [self.not_numeric(), self.fails(infinite, "not_finite")]
 
-    def moment(self, as_of: Column) -> list[tuple[Column, str]]:
-        when = epoch_to_timestamp(self.number)
-        plausible = when.between(
-            instant(EARLIEST), as_of + F.make_dt_interval(days=F.lit(LATEST_SKEW_DAYS))
-        )
-        return [
-            self.fails(~in_calendar(self.number), "out_of_range"),
-            self.fails(~plausible, "implausible"),
-        ]
+def _worst(*failed: tuple[Column, str]) -> Column:
+    """Place of the first failed test among these; null when none failed."""
+    places = [F.when(condition, F.lit(TESTS.index(test))) for condition, test in failed]
+    return F.least(*places)
 
-    def small_integer(self) -> list[tuple[Column, str]]:
-        overflow = self.number.isNotNull() & self.as_short().isNull()
-        return [*self.measurement(), self.fails(overflow, "out_of_range")]
 
-    def as_short(self) -> Column:
-        return self.number.try_cast("smallint")
+def _present(field: str) -> Column:
+    return F.col(f"_k_{field}") != "VOID"
 
-    def not_text(self) -> tuple[Column, str]:
-        return self.present & (self.kind != "STRING"), "text_field_not_string"
 
-    def stripped(self) -> Column:
-        return F.nullif(F.btrim(self.text, F.lit(BLANKS)), F.lit(""))
+def _kinds(states: DataFrame, kept: list[str]) -> DataFrame:
+    """Open the array and name the JSON type of each element; null where it is missing."""
+    opened = states.select(*kept, F.expr("try_cast(state AS ARRAY<VARIANT>)").alias("_cells"))
+    kinds = [kind_of(F.get("_cells", F.lit(i))).alias(f"_k_{f}") for f, i in POSITIONS.items()]
+    return _step(opened, *kept, "_cells", *kinds)
 
 
-NUMERIC_FIELDS = (
-    "time_position", "last_contact", "longitude", "latitude", "baro_altitude", "velocity",
-    "true_track", "vertical_rate", "geo_altitude", "position_source", "category",
-)
-TEXT_FIELDS = ("icao24", "callsign", "origin_country", "squawk")
+def _cell(field: str) -> Column:
+    return F.get("_cells", F.lit(POSITIONS[field]))
 
 
-def _spread(states: DataFrame, passthrough: list[str]) -> DataFrame:
-    """Lay the array out as one value and one type column per field."""
-    cells = states.select(
-        *passthrough, "state", F.expr("try_cast(state AS ARRAY<VARIANT>)").alias("_cells")
-    )
-    values = cells.select(
-        *passthrough,
-        "state",
-        F.when(F.col("_cells").isNotNull(), F.size("_cells")).alias("_width"),
-        *[F.get("_cells", F.lit(i)).alias(f"_v_{name}") for name, i in POSITIONS.items()],
+def _numbers(kinds: DataFrame, kept: list[str]) -> DataFrame:
+    values = kinds.select(
+        *kinds.columns,
+        *[F.when(is_number(F.col(f"_k_{f}")), as_double(_cell(f))).alias(f"_n_{f}") for f in NUMERIC_FIELDS],
     )
-    typed = values.select("*", *[kind_of(F.col(f"_v_{n}")).alias(f"_k_{n}") for n in POSITIONS])
-    numbers = [
-        F.when(is_number(F.col(f"_k_{n}")), as_double(F.col(f"_v_{n}"))).alias(f"_n_{n}")
-        for n in NUMERIC_FIELDS
-    ]
-    texts = [
-        F.when(F.col(f"_k_{n}") == "STRING", F.try_variant_get(f"_v_{n}", "$", "string")).alias(f"_t_{n}")
-        for n in TEXT_FIELDS
-    ]
-    return typed.select("*", *numbers, *texts)
-
-
-def _rules(f: dict[str, _Field], as_of: Column) -> list[tuple[Column, str]]:
-    """(condition, reason) in the order in which they are judged."""
-    address = f["icao24"].stripped()
-    longitude, latitude, track = f["longitude"], f["latitude"], f["true_track"]
-    return [
-        (F.col("_width").isNull(), "row_not_array"),
-        (F.col("_width") < MIN_ELEMENTS, "row_too_short"),
-        (address.isNull(), "icao24_missing"),
-        (F.length(F.lower(address)) > MAX_ICAO24_LENGTH, "icao24_invalid"),
-        f["last_contact"].fails(f["last_contact"].number.isNull(), "not_numeric"),
-        *f["last_contact"].moment(as_of),
-        f["time_position"].not_numeric(),
-        *f["time_position"].moment(as_of),
-        f["on_ground"].fails(f["on_ground"].missing | (f["on_ground"].kind != "BOOLEAN"), "not_boolean"),
-        *longitude.measurement(),
-        *latitude.measurement(),
-        longitude.fails(F.abs(longitude.number) > 180, "out_of_range"),
-        latitude.fails(F.abs(latitude.number) > 90, "out_of_range"),
-        *track.measurement(),
-        track.fails((track.number < 0) | (track.number >= 360), "out_of_range"),
-        f["callsign"].not_text(),
-        f["origin_country"].not_text(),
-        *f["baro_altitude"].measurement(),
-        *f["geo_altitude"].measurement(),
-        *f["velocity"].measurement(),
-        *f["vertical_rate"].measurement(),
-        f["squawk"].not_text(),
-        *f["position_source"].small_integer(),
-        *f["category"].small_integer(),
-    ]
-
-
-def _truthy(field: _Field) -> Column:
+    failed = [(F.col("_n_last_contact").isNull(), "last_contact_not_numeric")]
+    for f in NUMERIC_FIELDS:
+        number = F.col(f"_n_{f}")
+        if f != "last_contact":
+            failed.append((number.isNull() & _present(f), f"{f}_not_numeric"))
+        if f"{f}_not_finite" in TESTS:
+            failed.append((F.abs(number) == F.lit(float("inf")), f"{f}_not_finite"))
+    others = [f"_k_{f}" for f in POSITIONS if f not in NUMERIC_FIELDS]
+    return _step(values, *kept, "_cells", *others, *[f"_n_{f}" for f in NUMERIC_FIELDS], _worst(*failed).alias("_worst_number"))
+
+
+def _truthy(field: str) -> Column:
     """Empty values are false, everything else is true; never a reason to reject."""
-    raw, kind = field.raw, field.kind
+    raw, kind = _cell(field), F.col(f"_k_{field}")
     return (
-        F.when(field.missing, False)
+        F.when(kind.isNull() | (kind == "VOID"), False)
         .when(kind == "BOOLEAN", F.try_variant_get(raw, "$", "boolean"))
         .when(kind == "STRING", F.try_variant_get(raw, "$", "string") != "")
         .when(is_number(kind), as_double(raw) != 0)
-        .otherwise(~kind.isin("ARRAY<VOID>", "OBJECT<>") | F.coalesce(_array_size(raw) > 0, F.lit(False)))
+        .otherwise(~kind.isin("ARRAY<VOID>", "OBJECT<>") | F.coalesce(F.size(raw.try_cast("array<variant>")) > 0, F.lit(False)))
     )
 
 
-def _array_size(raw: Column) -> Column:
-    items = raw.try_cast("array<variant>")
-    return F.when(items.isNotNull(), F.size(items))
+def _others(numbers: DataFrame, kept: list[str]) -> DataFrame:
+    """Texts, flags and the shape of the row."""
+
+    def text(field: str) -> Column:
+        found = F.when(F.col(f"_k_{field}") == "STRING", F.try_variant_get(_cell(field), "$", "string"))
+        return F.btrim(found, F.lit(BLANKS))
+
+    values = numbers.select(
+        *numbers.columns,
+        F.lower(text("icao24")).alias("icao24"),
+        *[text(f).alias(f"_t_{f}") for f in TEXT_FIELDS],
+    )
+    # A missing type equals nothing, so it has to be asked for by itself.
+    no_flag = F.col("_k_on_ground").isNull() | (F.col("_k_on_ground") != "BOOLEAN")
+    failed = [
+        (F.col("_cells").isNull(), "row_not_array"),
+        (F.size("_cells") < MIN_ELEMENTS, "row_too_short"),
+        (F.col("icao24").isNull() | (F.col("icao24") == ""), "icao24_missing"),
+        (F.length("icao24") > MAX_ICAO24_LENGTH, "icao24_invalid"),
+        (no_flag, "on_ground_not_boolean"),
+        *[(_present(f) & (F.col(f"_k_{f}") != "STRING"), f"{f}_not_string") for f in TEXT_FIELDS],
+    ]
+    return _step(
+        values,
+        *kept,
+        "icao24",
+        *[F.nullif(F.col(f"_t_{f}"), F.lit("")).alias(f) for f in TEXT_FIELDS],
+        F.try_variant_get(_cell("on_ground"), "$", "boolean").alias("on_ground"),
+        _truthy("spi").alias("spi"),
+        *[f"_n_{f}" for f in NUMERIC_FIELDS],
+        "_worst_number",
+        _worst(*failed).alias("_worst_other"),
+    )
 
 
 def validate(states: DataFrame, as_of: dt.datetime | Column) -> DataFrame:
@@ -203,42 +223,54 @@ def validate(states: DataFrame, as_of: dt.datetime | Column) -> DataFrame:
     Columns other than ``state`` pass through, so run stamps survive.
     """
     passthrough = [c for c in states.columns if c != "state"]
-    f = {name: _Field(name) for name in POSITIONS}
-    moment = instant(as_of)
-
-    reason = None
-    for condition, name in _rules(f, moment):
-        reason = F.when(condition, name) if reason is None else reason.when(condition, name)
-
-    time_position = epoch_to_timestamp(f["time_position"].number)
-    last_contact = epoch_to_timestamp(f["last_contact"].number)
+    kept = [*passthrough, "state"]
+    number = {f: F.col(f"_n_{f}") for f in NUMERIC_FIELDS}
+    values = _others(_numbers(_kinds(states, kept), kept), kept).withColumns(
+        {
+            "time_position": epoch_to_timestamp(number["time_position"]),
+            "last_contact": epoch_to_timestamp(number["last_contact"]),
+            "position_source": number["position_source"].try_cast("smallint"),
+            "category": number["category"].try_cast("smallint"),
+        }
+    )
+    latest = instant(as_of) + F.make_dt_interval(days=F.lit(LATEST_SKEW_DAYS))
+    failed = []
+    for f in ("last_contact", "time_position"):
+        failed.append((~in_calendar(number[f]), f"{f}_out_of_range"))
+        failed.append((~F.col(f).between(instant(EARLIEST), latest), f"{f}_implausible"))
+    for f in ("position_source", "category"):
+        failed.append((number[f].isNotNull() & F.col(f).isNull(), f"{f}_out_of_range"))
+    track = number["true_track"]
+    failed += [
+        (F.abs(number["longitude"]) > 180, "longitude_out_of_range"),
+        (F.abs(number["latitude"]) > 90, "latitude_out_of_range"),
+        ((track < 0) | (track >= 360), "true_track_out_of_range"),
+    ]
+    names = F.array(*[F.lit(_reason(t)) for t in TESTS])
+    reason = F.get(names, F.least("_worst_number", "_worst_other", _worst(*failed)))
     fields = {
-        "icao24": F.lower(f["icao24"].stripped()),
-        "observed_at": F.coalesce(time_position, last_contact),
-        "time_position": time_position,
-        "last_contact": last_contact,
-        "callsign": f["callsign"].stripped(),
-        "origin_country": f["origin_country"].stripped(),
-        "longitude": f["longitude"].number,
-        "latitude": f["latitude"].number,
-        "baro_altitude_m": f["baro_altitude"].number,
-        "geo_altitude_m": f["geo_altitude"].number,
-        "on_ground": F.try_variant_get(f["on_ground"].raw, "$", "boolean"),
-        "velocity_ms": f["velocity"].number,
-        "true_track_deg": f["true_track"].number,
-        "vertical_rate_ms": f["vertical_rate"].number,
-        "squawk": f["squawk"].stripped(),
-        "spi": _truthy(f["spi"]),
-        "position_source": f["position_source"].as_short(),
-        "category": f["category"].as_short(),
+        "icao24": F.col("icao24"),
+        "observed_at": F.coalesce("time_position", "last_contact"),
+        "time_position": F.col("time_position"),
+        "last_contact": F.col("last_contact"),
+        "callsign": F.col("callsign"),
+        "origin_country": F.col("origin_country"),
+        "longitude": number["longitude"],
+        "latitude": number["latitude"],
+        "baro_altitude_m": number["baro_altitude"],
+        "geo_altitude_m": number["geo_altitude"],
+        "on_ground": F.col("on_ground"),
+        "velocity_ms": number["velocity"],
+        "true_track_deg": track,
+        "vertical_rate_ms": number["vertical_rate"],
+        "squawk": F.col("squawk"),
+        "spi": F.col("spi"),
+        "position_source": F.col("position_source"),
+        "category": F.col("category"),
     }
-    outcome = F.struct(reason.alias("reason"), F.col("state"), *[c.alias(n) for n, c in fields.items()])
-    # Going through a generator keeps a later filter on ``reason`` above this
-    # point; pushed below, it would judge every row a second time.
-    judged = _spread(states, passthrough).select(*passthrough, F.inline(F.array(outcome)))
-    return judged.withColumn(
-        "raw", F.when(F.col("reason").isNotNull(), F.to_json("state"))
-    ).drop("state")
+    judged = _step(values, *kept, reason.alias("reason"), *[c.alias(n) for n, c in fields.items()])
+    raw = F.when(F.col("reason").isNotNull(), F.to_json("state"))
+    return judged.select(*passthrough, "reason", *fields, raw.alias("raw"))
 
 
 def accepted(validated: DataFrame) -> DataFrame:

@@ -40,11 +40,10 @@ STAGED = """staged AS (
     FROM obs)"""
 
 
-def _gridded(degrees: str = "1e0") -> str:
-    return f"""gridded AS (
+GRIDDED = """gridded AS (
     SELECT *,
-        floor(latitude / {degrees}) * {degrees} AS grid_lat,
-        floor(longitude / {degrees}) * {degrees} AS grid_lon,
+        floor(latitude) AS grid_lat,
+        floor(longitude) AS grid_lon,
         CASE WHEN on_ground THEN 'ground'
              WHEN baro_altitude_ft IS NULL THEN 'unknown'
              WHEN baro_altitude_ft < 10000 THEN 'below_10k'
@@ -56,9 +55,6 @@ def _gridded(degrees: str = "1e0") -> str:
     FROM staged WHERE has_position)"""
 
 
-GRIDDED = _gridded()
-
-
 def _bearing(sine: str, cosine: str) -> str:
     return f"round(fmod(degrees(atan2({sine}, {cosine})) + 360, 360), 1)"
 
@@ -466,9 +462,7 @@ def statements() -> dict[str, str]:
         "hourly_activity": _with(*_TO_HOURLY, select="SELECT * FROM hourly"),
         "daily_activity": _with(*_TO_GRID, DAILY, select="SELECT * FROM daily"),
         "ingestion_health": _with(*_TO_HEALTH, select="SELECT * FROM health"),
-        "suppressed_cells": _with(
-            OBS, STAGED, _gridded("0.5e0"), HOURLY, select="SELECT * FROM hourly WHERE distinct_aircraft >= 2"
-        ),
+        "suppressed_cells": _with(*_TO_HOURLY, select="SELECT * FROM hourly WHERE distinct_aircraft >= 2"),
         "staged_profile": _with(
             OBS,
             STAGED,

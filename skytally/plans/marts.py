@@ -16,6 +16,7 @@ from skytally.functions.columns import (
 )
 from skytally.plans.staging import grid_observations, stage_observations, stage_runs
 from skytally.schemas import (
+    ALTITUDE_BANDS,
     DAILY_ACTIVITY,
     HOURLY_ACTIVITY,
     INGESTION_HEALTH,
@@ -27,6 +28,7 @@ from skytally.sources.tables import Lake, Marts
 LATE_ARRIVAL_LOOKBACK_HOURS = 3
 # Cells finer than this would locate single aircraft unless small ones are withheld.
 COARSE_GRID_DEGREES = 1
+ROWS_PER_FILE = 1_000_000
 
 
 def _rounded_mean(column: str, places: int) -> Column:
@@ -125,6 +127,12 @@ def publishable_hourly(landed: DataFrame, grid_degrees: float = 1, min_aircraft:
     return hourly if min_aircraft is None else suppress_small_cells(hourly, min_aircraft)
 
 
+def files_per_hour(grid_degrees: float) -> int:
+    """From the most rows an hour can have on this grid."""
+    most_rows = (180 / grid_degrees) * (360 / grid_degrees) * len(ALTITUDE_BANDS)
+    return max(1, round(most_rows / ROWS_PER_FILE))
+
+
 def since_bound(landed: DataFrame, bound: dt.datetime) -> DataFrame:
     """Rows observed at or after an hour; the day filter is what prunes folders."""
     return landed.where(F.col("observed_date") >= F.lit(bound.date())).where(
@@ -153,7 +161,9 @@ def refresh_hourly(
     if newest is not None:
         landed = since_bound(landed, newest - dt.timedelta(hours=lookback_hours))
     marts.write_hourly(
-        publishable_hourly(landed, grid_degrees, min_aircraft), replace_all=newest is None
+        publishable_hourly(landed, grid_degrees, min_aircraft),
+        replace_all=newest is None,
+        files_per_hour=files_per_hour(grid_degrees),
     )
 
 

@@ -112,8 +112,8 @@ def ingestion_health(spark, sf_dir):
 
 @query
 def suppressed_cells(spark, sf_dir):
-    """Half-degree cells, small ones withheld."""
-    return marts.publishable_hourly(_observations(spark, sf_dir), 0.5, min_aircraft=2)
+    """Cells in which a single aircraft was seen are withheld."""
+    return marts.publishable_hourly(_observations(spark, sf_dir), min_aircraft=2)
 
 
 # --- staging ----------------------------------------------------------------------

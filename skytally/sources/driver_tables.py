@@ -302,20 +302,27 @@ def _json_elements() -> list[Column]:
 
 
 def _state_text() -> Column:
-    code = F.col("event_id") % 97
+    code = (F.col("event_id") % 97).cast("int")
     elements = _json_elements()
-    whole, short = None, F.lit(False)
+    replacements: dict[int | None, dict[int, str]] = {}
     for fault, changes in STATE_FAULTS.items():
         for place, json in changes:
-            if place is None:
-                whole = F.when(code == fault, json) if whole is None else whole.when(code == fault, json)
-            elif json is None:
-                short = short | (code == fault)
-            else:
-                elements[place] = F.when(code == fault, json).otherwise(elements[place])
+            replacements.setdefault(place, {})[fault] = json
+
+    def replacement(place: int | None) -> Column:
+        pairs = replacements[place].items()
+        return F.try_element_at(F.create_map(*[F.lit(x) for pair in pairs for x in pair]), code)
+
+    short = F.lit(False)
+    for place in range(len(elements)):
+        if place in replacements:
+            dropped = [f for f, json in replacements[place].items() if json is None]
+            replacements[place] = {f: json for f, json in replacements[place].items() if json is not None}
+            short = short | code.isin(dropped) if dropped else short
+            elements[place] = F.coalesce(replacement(place), elements[place])
     last = F.when(~short, elements[-1])
     array = F.concat(F.lit("["), F.concat_ws(",", *elements[:-1], last), F.lit("]"))
-    return F.coalesce(whole, array)
+    return F.coalesce(replacement(None), array)
 
 
 def to_payloads(events: DataFrame) -> DataFrame:

@@ -40,8 +40,8 @@ def read_payload_archive(spark: SparkSession, path: str) -> DataFrame:
 
 
 def is_number(kind: Column) -> Column:
-    """True for a JSON number; booleans and numeric strings are not numbers."""
-    return kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
+    """True for a JSON number (BIGINT, DECIMAL or DOUBLE), not for booleans or numeric strings."""
+    return (kind == "BIGINT") | kind.startswith("D")
 
 
 def kind_of(value: Column) -> Column:

@@ -152,13 +152,21 @@ class Marts:
                 continue
         return stored
 
-    def write_hourly(self, hourly: DataFrame, *, replace_all: bool) -> None:
-        """Replace whole hours: those present in ``hourly``, or every one."""
+    def write_hourly(self, hourly: DataFrame, *, replace_all: bool, files_per_hour: int = 1) -> None:
+        """Replace whole hours: those present in ``hourly``, or every one.
+
+        An hour has at most one row per cell and band, so the grid bounds its size;
+        ``files_per_hour`` splits it where the grid is fine.
+        """
         require_schema(hourly, HOURLY_ACTIVITY)
         table = hourly.withColumn("activity_date", F.to_date("activity_hour")).withColumn(
             "hour_of_day", F.hour("activity_hour")
         )
-        table = table.hint("rebalance", F.col("activity_date"), F.col("hour_of_day"))
+        part = F.pmod(F.hash("grid_lat", "grid_lon"), F.lit(files_per_hour))
+        # A fixed number of tasks: left to itself Spark would merge the small
+        # partitions, and one task would write hundreds of files in turn.
+        tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        table = table.repartition(tasks, "activity_date", "hour_of_day", part)
         if not replace_all:
             self._require_stored(table, self.hourly_path)
             _replace_partitions(table, self.hourly_path, "activity_date", "hour_of_day")
