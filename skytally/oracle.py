@@ -457,7 +457,34 @@ def _all_checks(select: str) -> str:
 _COST = "CASE WHEN area <= 25 THEN 1 WHEN area <= 100 THEN 2 WHEN area <= 400 THEN 3 ELSE 4 END"
 
 
+# Columns that leave as timestamps although they are dates, and as doubles although they count.
+_DATES = {
+    "daily_activity": ("activity_date",),
+    "daily_profile": ("activity_date",),
+    **dict.fromkeys(
+        ("staged_profile", "idempotent_insert", "region_filter", "dup_keys", "not_null_violations", "range_violations"),
+        ("observed_date",),
+    ),
+}
+_SPARSE = {
+    "staged_runs": ("http_status",),
+    "ledger_state": ("rows_received", "rows_inserted"),
+    "reconcile_hourly": ("mart_observations", "source_observations"),
+    "stream_land": ("rows_received", "rows_rejected", "rows_inserted", "rows_duplicate"),
+}
+
+
+def _plain(name: str, sql: str) -> str:
+    casts = [f"CAST({c} AS TIMESTAMP) AS {c}" for c in _DATES.get(name, ())]
+    casts += [f"CAST({c} AS DOUBLE) AS {c}" for c in _SPARSE.get(name, ())]
+    return f"SELECT * REPLACE ({', '.join(casts)}) FROM ({sql})" if casts else sql
+
+
 def statements() -> dict[str, str]:
+    return {name: _plain(name, sql) for name, sql in _statements().items()}
+
+
+def _statements() -> dict[str, str]:
     return {
         "hourly_activity": _with(*_TO_HOURLY, select="SELECT * FROM hourly"),
         "daily_activity": _with(*_TO_GRID, DAILY, select="SELECT * FROM daily"),
@@ -771,8 +798,8 @@ def statements() -> dict[str, str]:
         "stream_hourly": _with(
             *_TO_HOURLY,
             select="""SELECT activity_hour, grid_lat, grid_lon, altitude_band, observation_count,
-                avg_baro_altitude_ft, avg_velocity_kts, track_sample_count, first_observed_at, last_observed_at,
-                last_ingested_at
+                avg_baro_altitude_ft, avg_velocity_kts, track_sample_count, dominant_track_deg, track_concentration,
+                first_observed_at, last_observed_at, last_ingested_at
             FROM hourly
             WHERE activity_hour + INTERVAL 1 HOUR <= (SELECT max(observed_at) FROM gridded) - INTERVAL 3 HOUR""",
         ),

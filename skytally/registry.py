@@ -1,7 +1,7 @@
 """Every operator as a runnable query over the driver's tables.
 
 Results are aggregates, ledger rows or counts of violations; none identifies an
-aircraft. Timestamps leave as plain UTC values.
+aircraft. Timestamps and dates leave as plain UTC timestamps.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampType
+from pyspark.sql.types import DateType, TimestampType
 
 from skytally.functions.columns import count_where
 from skytally.operators import landing, ledger, parse, quality
@@ -44,14 +44,20 @@ def query(function: Query) -> Query:
 
 
 def _plain(df: DataFrame) -> DataFrame:
+    kinds = (TimestampType, DateType)
     return df.select(
         *[
-            F.col(f.name).cast("timestamp_ntz").alias(f.name) if isinstance(f.dataType, TimestampType) else f.name
+            F.col(f.name).cast("timestamp_ntz").alias(f.name) if isinstance(f.dataType, kinds) else f.name
             for f in df.schema
         ]
     )
 
 
+def _sparse(df: DataFrame, *columns: str) -> DataFrame:
+    """Counts that may be missing leave as doubles, which every client can hold a null in."""
+    return df.withColumns({c: F.col(c).cast("double") for c in columns})
+
+
 def _observations(spark, sf_dir):
     return src.to_observations(src.events(spark, sf_dir))
 
@@ -143,7 +149,7 @@ def stage_quality(spark, sf_dir):
 
 @query
 def staged_runs(spark, sf_dir):
-    return staging.stage_runs(_runs(spark, sf_dir)).drop("request_bbox")
+    return _sparse(staging.stage_runs(_runs(spark, sf_dir)).drop("request_bbox"), "http_status")
 
 
 @query
@@ -336,9 +342,10 @@ def load_accounting(spark, sf_dir):
 
 @query
 def ledger_state(spark, sf_dir):
-    return run_states(src.to_ledger_events(src.orders(spark, sf_dir))).select(
+    states = run_states(src.to_ledger_events(src.orders(spark, sf_dir))).select(
         "run_id", "status", "started_at", "finished_at", "rows_received", "rows_inserted", "error_message"
     )
+    return _sparse(states, "rows_received", "rows_inserted")
 
 
 @query
@@ -560,7 +567,8 @@ def reconcile_hourly(spark, sf_dir):
     """Hours that the refresh had to leave stale."""
     lake, published = _late_arrivals(spark, sf_dir)
     gridded = staging.grid_observations(staging.stage_observations(lake.landing()))
-    return quality.reconcile_hourly(published.hourly(), gridded, NOW)
+    stale = quality.reconcile_hourly(published.hourly(), gridded, NOW)
+    return _sparse(stale, "mart_observations", "source_observations")
 
 
 @query
@@ -589,15 +597,9 @@ def stream_land(spark, sf_dir):
     lake = Lake(spark, f"{root}/raw")
     inbox = stream_landing.stream_payload_archive(spark, f"{root}/inbox")
     stream_landing.land_stream(inbox, lake, f"{root}/checkpoint", as_of=PAYLOADS_NOW).awaitTermination()
-    return run_states(lake.ledger()).select(
-        "api_snapshot_time",
-        "status",
-        "error_message",
-        "rows_received",
-        "rows_rejected",
-        "rows_inserted",
-        "rows_duplicate",
-    )
+    counts = ("rows_received", "rows_rejected", "rows_inserted", "rows_duplicate")
+    states = run_states(lake.ledger()).select("api_snapshot_time", "status", "error_message", *counts)
+    return _sparse(states, *counts)
 
 
 def _streamed(spark, purpose: str, stream: DataFrame) -> DataFrame:
@@ -611,7 +613,7 @@ def stream_hourly(spark, sf_dir):
     observed = src.to_observations(src.events_stream(spark, sf_dir))
     closed = _streamed(spark, "hourly", windows.hourly_activity_stream(observed))
     # Approximate counts have no exact counterpart to compare with.
-    return closed.drop("approx_distinct_aircraft")
+    return closed.drop("approx_distinct_aircraft", "approx_contributing_runs")
 
 
 @query

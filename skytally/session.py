@@ -20,6 +20,20 @@ RUNTIME_SETTINGS = {
 }
 
 
+def local_session(cpus: int | str, memory: str = "20g") -> SparkSession:
+    """A session on one machine, for the benchmark and for trying things out."""
+    builder = (
+        SparkSession.builder.master(f"local[{cpus}]")
+        .appName("skytally")
+        .config("spark.ui.enabled", "false")
+        .config("spark.driver.memory", memory)
+        .config("spark.sql.shuffle.partitions", str(cpus))
+        # Recording the Python line of every expression takes longer than planning them.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+    )
+    return configure(builder.getOrCreate())
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session."""
     for key, value in RUNTIME_SETTINGS.items():

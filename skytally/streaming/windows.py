@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from skytally.functions.columns import mean_bearing, resultant_length
 from skytally.plans.marts import health_measures
 from skytally.plans.staging import grid_observations, stage_observations, stage_runs
 from skytally.schemas import OBSERVATION_KEY
@@ -21,22 +22,30 @@ from skytally.schemas import OBSERVATION_KEY
 def hourly_activity_stream(landed: DataFrame, watermark: str = "3 hours", grid_degrees: float = 1) -> DataFrame:
     """Closed hours by cell and band; the distinct counts are approximate."""
     gridded = grid_observations(stage_observations(landed), grid_degrees)
-    return (
+    totals = (
         gridded.withWatermark("observed_at", watermark)
         .groupBy(F.window("observed_at", "1 hour").alias("_hour"), "grid_lat", "grid_lon", "altitude_band")
         .agg(
             F.count("*").alias("observation_count"),
             F.approx_count_distinct("icao24").alias("approx_distinct_aircraft"),
+            F.approx_count_distinct("ingestion_run_id").alias("approx_contributing_runs"),
             F.round(F.avg("baro_altitude_ft"), 0).alias("avg_baro_altitude_ft"),
             F.round(F.avg("velocity_kts"), 1).alias("avg_velocity_kts"),
             F.count("track_sin").alias("track_sample_count"),
+            F.avg("track_sin").alias("_sin"),
+            F.avg("track_cos").alias("_cos"),
             F.min("observed_at").alias("first_observed_at"),
             F.max("observed_at").alias("last_observed_at"),
             F.max("ingested_at").alias("last_ingested_at"),
         )
-        .withColumn("activity_hour", F.col("_hour.start"))
-        .drop("_hour")
     )
+    return totals.withColumns(
+        {
+            "activity_hour": F.col("_hour.start"),
+            "dominant_track_deg": mean_bearing(F.col("_sin"), F.col("_cos")),
+            "track_concentration": resultant_length(F.col("_sin"), F.col("_cos")),
+        }
+    ).drop("_hour", "_sin", "_cos")
 
 
 def health_stream(runs: DataFrame, watermark: str = "1 hour") -> DataFrame:
