@@ -332,16 +332,15 @@ def to_payloads(events: DataFrame) -> DataFrame:
     one. Some snapshots are unusable as a whole, by number % 29.
     """
     block = F.expr(f"event_id div {EVENTS_PER_PAYLOAD}")
-    own = F.transform(
-        F.sequence(F.lit(0), F.col("event_id") % 3),
-        lambda copy: F.struct(block.alias("k"), F.lit(0).alias("part"), copy.alias("copy")),
-    )
-    again = F.array(
-        F.struct((block + 1).alias("k"), F.lit(1).alias("part"), F.lit(0).cast("bigint").alias("copy"))
+    places = F.array(
+        F.struct(block.alias("k"), F.lit(0).alias("part")), F.struct((block + 1).alias("k"), F.lit(1).alias("part"))
     )
     seconds = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1000000)
-    states = events.select(
-        "event_id", _state_text().alias("state"), seconds.alias("second"), F.inline(F.concat(own, again))
+    # The narrow rows are shuffled, the texts written where they are put together.
+    placed = events.select("event_id", "ts", "user_id", "value", F.inline(places)).repartition("k")
+    repeats = F.when(F.col("part") == 0, F.col("event_id") % 3).otherwise(0)
+    states = placed.select("k", "part", "event_id", _state_text().alias("state"), seconds.alias("second")).select(
+        "*", F.explode(F.sequence(F.lit(0), repeats)).alias("copy")
     )
     # A snapshot holds 400 states at most, so the list is bounded.
     snapshots = states.groupBy("k").agg(
