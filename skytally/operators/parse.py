@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skytally.functions.columns import instant
+from skytally.schemas import OBSERVATION_KEY
 from skytally.sources.payloads import (
     as_double,
     epoch_to_timestamp,
@@ -292,36 +293,24 @@ def reject_counts(validated: DataFrame) -> DataFrame:
 def dry_run_summary(validated: DataFrame, scope: tuple[str, ...] = ()) -> DataFrame:
     """What a load would do, without writing: one row per ``scope`` (all rows by default).
 
-    The distinct keys are counted in an aggregation of their own over key columns
-    only; reasons are few, so they are counted before they become a map.
+    Everything comes from one pass: rows are counted per key first (rejected ones have
+    none), keys per reason next, and the few reasons last.
     """
-    by_reason = (
-        validated.groupBy(*scope, "reason")
-        .agg(F.count("*").alias("_n"))
-        .groupBy(*scope)
-        .agg(
-            F.sum("_n").alias("rows_received"),
-            F.sum(F.when(F.col("reason").isNull(), F.col("_n")).otherwise(0)).alias("rows_valid"),
-            F.sum(F.when(F.col("reason").isNotNull(), F.col("_n")).otherwise(0)).alias("rows_rejected"),
-            F.map_from_entries(
-                F.array_sort(F.collect_list(F.when(F.col("reason").isNotNull(), F.struct("reason", "_n"))))
-            ).alias("reject_reasons"),
-        )
-    )
-    keys = accepted(validated).select(*scope, "icao24", "observed_at").distinct()
-    if scope:
-        unique = keys.groupBy(*scope).agg(F.count("*").alias("rows_unique"))
-        joined = by_reason.join(unique, list(scope), "left")
-        unique_count = F.coalesce("rows_unique", F.lit(0))
-    else:
-        joined = by_reason
-        unique_count = keys.agg(F.count("*")).scalar()
-    return joined.select(
-        *scope,
-        "rows_received",
-        "rows_valid",
-        "rows_rejected",
-        unique_count.alias("rows_unique"),
-        (F.col("rows_valid") - unique_count).alias("rows_duplicate_in_batch"),
-        "reject_reasons",
+    accepts = F.col("reason").isNull()
+    keys = [F.when(accepts, F.col(c)).alias(f"_{c}") for c in OBSERVATION_KEY]
+    per_key = validated.groupBy(*scope, "reason", *keys).agg(F.count("*").alias("_rows"))
+    per_reason = per_key.groupBy(*scope, "reason").agg(F.sum("_rows").alias("_rows"), F.count("*").alias("_keys"))
+
+    def total(column: str, condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col(column))), F.lit(0))
+
+    reasons = F.collect_list(F.when(~accepts, F.struct("reason", "_rows")))
+    valid, unique = total("_rows", accepts), total("_keys", accepts)
+    return per_reason.groupBy(*scope).agg(
+        F.coalesce(F.sum("_rows"), F.lit(0)).alias("rows_received"),
+        valid.alias("rows_valid"),
+        total("_rows", ~accepts).alias("rows_rejected"),
+        unique.alias("rows_unique"),
+        (valid - unique).alias("rows_duplicate_in_batch"),
+        F.map_from_entries(F.array_sort(reasons)).alias("reject_reasons"),
     )

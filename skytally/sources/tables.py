@@ -136,11 +136,9 @@ class Marts:
         table = _read_if_present(self.spark, HOURLY_TABLE, self.hourly_path)
         if table is None:
             return None
-        newest = table.agg(F.max(F.struct("activity_date", "hour_of_day")).alias("h")).first().h
-        if newest is None:
-            return None
-        midnight = dt.datetime.combine(newest.activity_date, dt.time())
-        return midnight + dt.timedelta(hours=newest.hour_of_day)
+        hours = F.unix_date("activity_date") * 24 + F.col("hour_of_day")
+        newest = table.agg(F.max(hours).alias("hours")).first().hours
+        return None if newest is None else dt.datetime(1970, 1, 1) + dt.timedelta(hours=newest)
 
     def stored_columns(self) -> dict[str, StructType]:
         """The schemas actually written, for the identity guard."""
