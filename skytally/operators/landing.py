@@ -30,14 +30,19 @@ def first_wins(rows: DataFrame, order: tuple[str, ...] = ARRIVAL_ORDER, key=OBSE
     return rows.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
 
 
-def not_landed(candidates: DataFrame, landed_keys: DataFrame, key=OBSERVATION_KEY) -> DataFrame:
+def not_landed(
+    candidates: DataFrame, landed_keys: DataFrame, key=OBSERVATION_KEY, wanted: DataFrame | None = None
+) -> DataFrame:
     """Candidates whose key is not landed yet.
 
     The landing is cut down to the candidates' keys first. That join may broadcast
     the (usually much smaller) candidates if Spark measures them as small, so the
     landing need not be shuffled; what is left is never larger than the candidates.
+    ``wanted`` holds the candidates' keys where they are cheaper to get than from
+    the ranked rows.
     """
-    clashes = landed_keys.select(*key).join(candidates.select(*key), list(key), "left_semi")
+    wanted = candidates.select(*key) if wanted is None else wanted
+    clashes = landed_keys.select(*key).join(wanted, list(key), "left_semi")
     return candidates.join(clashes, list(key), "left_anti")
 
 
@@ -113,7 +118,9 @@ def land_snapshots(
                     )
                 )
             )
-            lake.append(stamp(not_landed(first_wins(valid), landed), as_of), load_id)
+            wanted = valid.select(*OBSERVATION_KEY).distinct()
+            fresh = not_landed(first_wins(valid), landed, wanted=wanted)
+            lake.append(stamp(fresh, as_of), load_id)
 
         # Counted from the table itself: what was cached could be recomputed
         # against a landing that already holds this load.
