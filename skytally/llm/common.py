@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,19 +40,35 @@ def kept_table(df: DataFrame, purpose: str) -> DataFrame:
 
 
 class Memo(dict):
-    """A dictionary that computes what it lacks and starts anew when it is full."""
+    """A dictionary that computes what it lacks.
+
+    It holds two generations of at most ``most`` entries: when the younger one
+    is full it becomes the older one, and what is asked for again moves up.
+    """
 
     def __init__(self, compute, most: int):
         super().__init__()
-        self.compute, self.most = compute, most
+        self.compute, self.most, self.older = compute, most, {}
 
     def __missing__(self, key):
         if len(self) >= self.most:
+            self.older = self.copy()
             self.clear()
-        value = self[key] = self.compute(key)
+        value = self.older.get(key)
+        if value is None:
+            value = self.compute(key)
+        self[key] = value
         return value
 
 
+def sized_broadcast(small: DataFrame, rows: int) -> DataFrame:
+    """``small`` with a broadcast hint if it was counted to have at most ``rows`` rows.
+
+    Beyond that the join is left to Spark, which shuffles both sides.
+    """
+    return F.broadcast(small) if small.limit(rows + 1).count() <= rows else small
+
+
 def words_of(text: str | None) -> list[bytes]:
     """Words of ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased, as UTF-8.
 
@@ -60,8 +77,39 @@ def words_of(text: str | None) -> list[bytes]:
     return [] if text is None else text.encode("utf-8", "surrogatepass").lower().split()
 
 
-def batches(frames: Iterable, rows: int) -> Iterable:
-    """The frames of a ``mapInPandas`` cut into pieces of at most ``rows`` rows."""
-    for frame in frames:
-        for start in range(0, len(frame), rows):
-            yield frame.iloc[start : start + rows]
+_ARROW = {
+    "boolean": pa.bool_(),
+    "int": pa.int32(),
+    "long": pa.int64(),
+    "double": pa.float64(),
+    "string": pa.string(),
+    "binary": pa.binary(),
+    "array<int>": pa.list_(pa.int32()),
+    "array<long>": pa.list_(pa.int64()),
+    "array<string>": pa.list_(pa.string()),
+}
+
+#: Rows that a task turns into Python objects at a time.
+TASK_ROWS = 256
+
+
+def map_texts(docs: DataFrame, setup: Callable[[], Callable], columns: dict[str, str], column: str = "text") -> DataFrame:
+    """``(doc_id, *columns)``: one row for each row of ``docs``.
+
+    ``setup()`` runs once per task and returns the function that turns a text
+    (or null) into the tuple of the columns. The id passes through untouched.
+    """
+    kinds = [_ARROW[kind] for kind in columns.values()]
+    schema = pa.schema([("doc_id", pa.int64()), *zip(columns, kinds)])
+
+    def mapped(batches):
+        function = setup()
+        for batch in batches:
+            for start in range(0, batch.num_rows, TASK_ROWS):
+                part = batch.slice(start, TASK_ROWS)
+                rows = [function(text) for text in part.column(1).to_pylist()]
+                made = [pa.array(values, kind) for values, kind in zip(zip(*rows), kinds)]
+                yield pa.RecordBatch.from_arrays([part.column(0), *made], schema=schema)
+
+    chosen = docs.select(F.col("doc_id").cast("long"), F.col(column))
+    return chosen.mapInArrow(mapped, ", ".join(f"{n} {k}" for n, k in [("doc_id", "long"), *columns.items()]))

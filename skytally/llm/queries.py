@@ -5,13 +5,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from skytally.llm import archive, url_filter
-from skytally.llm.common import table
+from skytally.llm import archive, bpe, language_id, minhash, url_filter
+from skytally.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
+def vocabulary_path() -> str:
+    """The public byte-level vocabulary of the queries; operators take any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def query(function):
     QUERIES[function.__name__] = function
     return function
@@ -29,3 +37,25 @@ def op4_content_archive(spark, sf_dir):
 def op10_redirect_filter(spark, sf_dir):
     """Every page's url judged by rules and by what its aliases are judged."""
     return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
+@query
+def op5_minhash_classes(spark, sf_dir):
+    """Near-duplicate classes on two-word shingles."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=2)
+
+
+@query
+def op6_compression_language(spark, sf_dir):
+    """The language under whose dictionary each text is smallest."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(remainder("doc_id", 4) == 2, F.lit(False))
+    dictionaries = language_id.fit(docs.where(~held_out))
+    predicted = language_id.predict(docs, dictionaries)
+    return predicted.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "accepted")
+
+
+@query
+def op8_prefix_bpe(spark, sf_dir):
+    """Every text encoded, and its ids decoded."""
+    return bpe.encoded_digests(table(spark, sf_dir, "documents"), bpe.Encoder.from_file(vocabulary_path()))
