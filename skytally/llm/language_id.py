@@ -20,21 +20,24 @@ from pyspark.sql import functions as F
 
 from skytally.llm.common import map_texts
 
-SAMPLE_DOCS = 48
-SAMPLE_CHARS = 2500
+SAMPLE_DOCS = 150
+SAMPLE_CHARS = 800
 MARGIN = 0.01
-LEVEL = 3
-BLOCK_CHARS = 8192
+LEVEL = 5
+BLOCK_BYTES = 8192
 #: Compressed bytes by which a language must lead for odds of e to 1.
 BYTES_PER_NAT = 6.0
 UNKNOWN = "und"
 
-_OTHER = re.compile(r"[\W\d_]+")
+_LETTER = re.compile(r"[^\W\d_]")
+_ASCII_WORDS = bytes(b if b >= 0x80 or chr(b).isalpha() else 0x20 for b in range(256))
 
 
-def letters_of(text: str | None) -> str:
-    """Lower-cased letters of the text, everything else one space."""
-    return "" if text is None else _OTHER.sub(" ", text.lower()).strip()
+def letters_of(text: str | None) -> bytes:
+    """The lower-cased text in UTF-8, other ASCII than letters one space; empty without a letter."""
+    if text is None or not _LETTER.search(text):
+        return b""
+    return b" ".join(text.lower().encode("utf-8", "surrogatepass").translate(_ASCII_WORDS).split())
 
 
 def fit(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> dict[str, bytes]:
@@ -54,8 +57,11 @@ def fit(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int =
     parts: dict[str, list[tuple[int, str]]] = {}
     for row in sample.collect():  # sample_docs rows of at most sample_chars characters per language
         parts.setdefault(row.lang, []).append((row.n, row.text))
-    content = {lang: " ".join(dict.fromkeys(letters_of(t) for _, t in sorted(rows))) for lang, rows in parts.items()}
-    return {lang: text.encode("utf-8", "surrogatepass") for lang, text in sorted(content.items()) if text}
+    # Dictionaries in the order of their rows, so that equal sizes go to the more frequent language.
+    seen = {row.lang: row["count"] for row in short.groupBy("lang").count().collect()}
+    parts = dict(sorted(parts.items(), key=lambda part: (-seen[part[0]], part[0])))
+    content = {lang: b" ".join(letters_of(text) for _, text in sorted(rows)) for lang, rows in parts.items()}
+    return {lang: letters for lang, letters in content.items() if letters}
 
 
 def compressors(dictionaries: dict[str, bytes], level: int = LEVEL):
@@ -71,18 +77,16 @@ def compressors(dictionaries: dict[str, bytes], level: int = LEVEL):
     return out
 
 
-def sizes_of(letters: str, coders) -> list[int]:
+def sizes_of(letters: bytes, coders) -> list[int]:
     """Compressed bytes of the text under each dictionary."""
-    blocks = [
-        letters[i : i + BLOCK_CHARS].encode("utf-8", "surrogatepass") for i in range(0, len(letters), BLOCK_CHARS)
-    ]
+    blocks = [letters[i : i + BLOCK_BYTES] for i in range(0, len(letters), BLOCK_BYTES)]
     return [sum(len(coder.compress(b)) for b in blocks) for _, coder in coders]
 
 
-def decide(letters: str, coders, margin: float = MARGIN) -> tuple[str, float, bool]:
+def decide(letters: bytes, coders, margin: float = MARGIN) -> tuple[str, float, bool]:
     """Language, share of the evidence it has (0 to 1), and whether its lead is wide enough.
 
-    Equal sizes go to the language first in order.
+    Equal sizes go to the language that comes first.
     """
     if not letters or not coders:
         return UNKNOWN, 0.0, False

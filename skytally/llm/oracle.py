@@ -15,3 +15,34 @@ SELECT page_id, size AS payload_bytes, digest AS payload_digest,
        CASE WHEN size >= 1000 AND page_id <> first_id THEN first_id END AS refers_to
 FROM f
 """
+
+STATEMENTS["op2_positional_index"] = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), i AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM benchmark
+), iw AS (
+  SELECT DISTINCT item_id, width, array_to_string(words[s : s + width - 1], ' ') AS phrase
+  FROM (SELECT item_id, words, least(10, len(words)) AS width, unnest(range(1, len(words) - least(10, len(words)) + 2)) AS s
+        FROM i WHERE len(words) > 0)
+), dw AS (
+  SELECT doc_id, s, width, array_to_string(words[s : s + width - 1], ' ') AS phrase
+  FROM (SELECT doc_id, words, width, unnest(range(1, len(words) - width + 2)) AS s
+        FROM w CROSS JOIN (SELECT DISTINCT width FROM iw) WHERE len(words) >= width)
+), hit AS (
+  SELECT doc_id, s, dw.width, item_id FROM dw JOIN iw ON dw.phrase = iw.phrase AND dw.width = iw.width
+), n AS (
+  SELECT doc_id, count(DISTINCT pos) AS n_hit
+  FROM (SELECT doc_id, unnest(range(s, s + width)) AS pos FROM hit) GROUP BY doc_id
+), t AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hit) GROUP BY doc_id
+)
+SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN t USING (doc_id)
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytally.llm import archive, bpe, language_id, minhash, url_filter
+from skytally.llm import archive, bpe, decontaminate, language_id, minhash, url_filter
 from skytally.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,3 +59,9 @@ def op6_compression_language(spark, sf_dir):
 def op8_prefix_bpe(spark, sf_dir):
     """Every text encoded, and its ids decoded."""
     return bpe.encoded_digests(table(spark, sf_dir, "documents"), bpe.Encoder.from_file(vocabulary_path()))
+
+
+@query
+def op2_positional_index(spark, sf_dir):
+    """Benchmark phrases in every document, through the positional index."""
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
