@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytally.llm import archive, bpe, decontaminate, language_id, minhash, url_filter
+from skytally.llm import archive, bpe, decontaminate, language_id, minhash, simhash, url_filter
 from skytally.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +65,9 @@ def op8_prefix_bpe(spark, sf_dir):
 def op2_positional_index(spark, sf_dir):
     """Benchmark phrases in every document, through the positional index."""
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op9_simhash_edits(spark, sf_dir):
+    """Fingerprints of every text, of its edited form and of the next document."""
+    return simhash.edited_fingerprints(table(spark, sf_dir, "documents"))
