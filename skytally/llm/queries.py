@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytally.llm import archive, bpe, decontaminate, language_id, minhash, simhash, url_filter
+from skytally.llm import archive, bpe, decontaminate, language_id, minhash, sanitise, simhash, url_filter
 from skytally.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +71,9 @@ def op2_positional_index(spark, sf_dir):
 def op9_simhash_edits(spark, sf_dir):
     """Fingerprints of every text, of its edited form and of the next document."""
     return simhash.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_disclosure_spans(spark, sf_dir):
+    """Personal data in every document, and the terms that reveal it."""
+    return sanitise.report(table(spark, sf_dir, "documents"))
