@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytally.llm import archive, bpe, decontaminate, language_id, minhash, sanitise, simhash, url_filter
+from skytally.llm import archive, bpe, decontaminate, language_id, maxent, minhash, sanitise, simhash, url_filter
 from skytally.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +77,20 @@ def op9_simhash_edits(spark, sf_dir):
 def op3_disclosure_spans(spark, sf_dir):
     """Personal data in every document, and the terms that reveal it."""
     return sanitise.report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_hashed_maxent(spark, sf_dir):
+    """Every document scored by a model of the training documents."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(remainder("doc_id", 5) == 1, F.lit(False))
+    model = maxent.train(docs.where(~held_out))
+    return maxent.score(docs, model).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.tokens if model else 0).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
