@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytally.llm import archive, bpe, decontaminate, language_id, maxent, minhash, sanitise, simhash, url_filter
+from skytally.llm import archive, bpe, decontaminate, language_id, maxent, minhash, sanitise, simhash, toxicity, url_filter
 from skytally.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +94,17 @@ def op7_hashed_maxent(spark, sf_dir):
         "base_score",
         "score",
     )
+
+
+@query
+def op1_disguised_toxicity(spark, sf_dir):
+    """Toxicity of every document, its disguised words restored."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.coalesce(remainder("doc_id", 3) == 1, F.lit(False))
+    scored = toxicity.score(docs, toxicity.fit(docs, labels.where(~held_out)))
+    return scored.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
