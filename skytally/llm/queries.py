@@ -108,3 +108,11 @@ def op1_disguised_toxicity(spark, sf_dir):
         "score",
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
     )
+
+
+@query
+def pipeline(spark, sf_dir):
+    """The corpus pipeline, from documents to token ids."""
+    import corpus_pipeline  # it imports the operators, and this module
+
+    return corpus_pipeline.run(spark, sf_dir)

@@ -345,6 +345,17 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     return Model(trigrams, features, weights, bias)
 
 
+def _scorer(model: Model):
+    """Function from a text to its score."""
+    reader = _Reader(model.trigrams, model.features.get)
+
+    def scored(text):
+        margin = model.bias + sum(model.weights[f] for f in sorted(reader.features(text)))
+        return 1 / (1 + math.exp(-max(-30.0, min(30.0, margin))))
+
+    return scored
+
+
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``(doc_id, score)`` of every whole text, one row per row.
 
@@ -354,13 +365,23 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def setup():
-        mine = shared.value
-        reader = _Reader(mine.trigrams, mine.features.get)
+        scored = _scorer(shared.value)
+        return lambda text: (scored(text),)
 
-        def scored(text):
-            margin = mine.bias + sum(mine.weights[f] for f in sorted(reader.features(text)))
-            return (1 / (1 + math.exp(-max(-30.0, min(30.0, margin)))),)
+    return map_texts(docs, setup, {"score": "double"})
 
-        return scored
 
-    return map_texts(docs, setup, {"score": "double"})
+def accepted(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of docs, all columns, whose text scores below the threshold; nothing is shuffled."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    place = docs.columns.index("text")
+
+    def kept(batches):
+        scored = _scorer(shared.value)
+        for batch in batches:
+            for start in range(0, batch.num_rows, TASK_ROWS):
+                part = batch.slice(start, TASK_ROWS)
+                below = [scored(text) < threshold for text in part.column(place).to_pylist()]
+                yield part.filter(pa.array(below, pa.bool_()))
+
+    return docs.mapInArrow(kept, docs.schema)
