@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from skytally.llm.common import kept_table
 
 
+EDGES_PER_FILE = 500_000
+
+
 def _with_minimum(edges: DataFrame) -> DataFrame:
     lowest = edges.groupBy("u").agg(F.min("v").alias("m"))
     return edges.join(lowest, "u").withColumn("m", F.least("u", "m"))
@@ -26,7 +29,6 @@ def large_star(edges: DataFrame) -> DataFrame:
         _with_minimum(both)
         .where(F.col("v") > F.col("u"))
         .select(F.col("v").alias("u"), F.col("m").alias("v"))
-        .distinct()
     )
 
 
@@ -59,7 +61,8 @@ def components(edges: DataFrame) -> DataFrame:
         if now == state or now[0] == 0:
             break
         state = now
-        edges = kept_table(small_star(large_star(edges)), "edges")
+        # A round makes no more edges than it got; a file per so many of them is enough.
+        edges = kept_table(small_star(large_star(edges)).coalesce(now[0] // EDGES_PER_FILE + 1), "edges")
     # Stars now: every vertex but the centre has one edge, to the centre.
     stars = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     centres = stars.select(F.col("component").alias("node"), "component").distinct()

@@ -6,10 +6,12 @@
 2. Vertices that agree in all rows of a band share a bucket. A bucket is never
    paired off: its members are compared with its centre, the member that shares
    most buckets with others, which settles groups of near copies in one round.
-3. Pairs whose signatures differ too much are dropped, the rest is confirmed on
-   the full sets. Confirmed pairs are links; classes are connected components.
+3. Pairs whose signatures differ too much are dropped. Of the rest each vertex
+   has its most alike centre confirmed on the full sets, then those centres
+   whose class it is still not in. Confirmed pairs are links; classes are the
+   connected components.
 4. Buckets that still hold several classes go through further rounds, each
-   comparing members with the next ``CENTRES`` members of another class, until
+   comparing members with the next ``CENTRES`` members of other classes, until
    the buckets are exhausted or a round finds no link.
 
 Every step is a join or an aggregate on keys of bounded size; rounds read
@@ -32,7 +34,7 @@ from skytally.llm.graph import components
 SHINGLE, SIMILARITY = 5, 0.8
 #: A pair of similarity 0.8 shares no bucket with probability (1 - 0.8**4)**20, 3 in 100,000.
 BANDS, ROWS = 20, 4
-CENTRES = 16
+CENTRES = 3
 #: Standard errors by which the signature may understate a pair that is then confirmed.
 SLACK = 4.5
 MEMO_WORDS = 200_000
@@ -119,10 +121,10 @@ def _sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
 
 
 def _joined(pairs: DataFrame, values: DataFrame, column: str) -> DataFrame:
-    """``pairs(a, b)`` with the column of both ends."""
-    for end in ("a", "b"):
-        pairs = pairs.join(values.select(F.col("node").alias(end), F.col(column).alias(f"{column}_{end}")), end)
-    return pairs
+    """``pairs(node, centre, ...)`` with the column of both ends. Of the centres, which are few, only theirs is moved."""
+    centres = sized_broadcast(pairs.select(F.col("centre").alias("node")).distinct(), BROADCAST_IDS)
+    theirs = values.join(centres, "node", "left_semi").select(F.col("node").alias("centre"), F.col(column).alias("b"))
+    return pairs.join(values.select("node", F.col(column).alias("a")), "node").join(theirs, "centre")
 
 
 def _alike(pairs: DataFrame, similarity: float) -> DataFrame:
@@ -132,11 +134,12 @@ def _alike(pairs: DataFrame, similarity: float) -> DataFrame:
 
     def kept(batches):
         for batch in batches:
-            ends = [b"".join(batch.column(f"signature_{end}").to_pylist()) for end in "ab"]
-            ends = [np.frombuffer(end, np.uint32).reshape(-1, size) for end in ends]
-            yield batch.select(["a", "b"]).filter(pa.array((ends[0] == ends[1]).sum(axis=1) >= least))
+            ends = [np.frombuffer(b"".join(batch.column(e).to_pylist()), np.uint32).reshape(-1, size) for e in "ab"]
+            agree = (ends[0] == ends[1]).sum(axis=1)
+            out = batch.select(["node", "centre"]).append_column("agree", pa.array(agree, pa.int32()))
+            yield out.filter(pa.array(agree >= least))
 
-    return pairs.mapInArrow(kept, "a long, b long")
+    return pairs.select("node", "centre", "a", "b").mapInArrow(kept, "node long, centre long, agree int")
 
 
 def _confirmed(pairs: DataFrame, similarity: float) -> DataFrame:
@@ -151,54 +154,75 @@ def _confirmed(pairs: DataFrame, similarity: float) -> DataFrame:
 
     def kept(batches):
         for batch in batches:
-            ends = zip(batch.column("shingles_a"), batch.column("shingles_b"))
+            ends = zip(batch.column("a"), batch.column("b"))
             ok = [linked(*(np.frombuffer(end.as_py(), np.uint64) for end in pair)) for pair in ends]
-            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+            yield batch.select(["node", "centre"]).filter(pa.array(ok, pa.bool_()))
 
-    return pairs.mapInArrow(kept, "a long, b long")
+    return pairs.select("node", "centre", "a", "b").mapInArrow(kept, "node long, centre long")
 
 
-def _pair(one: str, other: str) -> list:
-    return [F.least(one, other).alias("a"), F.greatest(one, other).alias("b")]
+def _merged(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """``classes(node, component)`` after ``links(node, centre)``; only classes that a link touches are searched."""
+    other = classes.select(F.col("node").alias("centre"), F.col("component").alias("v"))
+    edges = links.join(classes.withColumnRenamed("component", "u"), "node").join(other, "centre").select("u", "v")
+    found = components(edges).select(F.col("node").alias("component"), F.col("component").alias("whole"))
+    merged = classes.join(found, "component", "left").select("node", F.coalesce("whole", "component").alias("component"))
+    return kept_table(merged, "classes")
 
 
-def links(docs: DataFrame, nodes: DataFrame, width: int, similarity: float) -> DataFrame:
-    """``(u, v)``: confirmed links that connect all similar vertices found."""
+def _across(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs whose ends are in different classes."""
+    other = classes.select(F.col("node").alias("centre"), F.col("component").alias("centre_class"))
+    return pairs.join(classes, "node").join(other, "centre").where("component <> centre_class").select(pairs.columns)
+
+
+def classes_of(docs: DataFrame, nodes: DataFrame, width: int, similarity: float) -> DataFrame:
+    """``(node, component)`` of every vertex that shares a bucket; component is the smallest vertex of its class."""
     buckets = nodes.select("node", F.explode("bands").alias("key"))
     shared = buckets.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     members = kept_table(buckets.join(shared, "key"), "members")
-    weights = members.groupBy("node").agg(F.sum("size").alias("weight"))
+    weights = kept_table(members.groupBy("node").agg(F.sum("size").alias("weight")), "weights")
     members = kept_table(members.join(weights, "node").select("key", "node", "weight"), "weighted")
-    found = nodes.select("node", "signature").join(members.select("node").distinct(), "node", "left_semi")
-    sets = kept_table(_sets(docs, members.select("node").distinct(), width), "sets")
+    signatures = nodes.select("node", "signature").join(weights.select("node"), "node", "left_semi")
+    sets = kept_table(_sets(docs, weights.select("node"), width), "sets")
+
+    def alike(pairs):
+        return kept_table(_alike(_joined(pairs, signatures, "signature"), similarity), "alike")
 
-    def confirm(pairs):
-        alike = kept_table(_alike(_joined(pairs, found, "signature"), similarity), "alike")
-        return kept_table(_confirmed(_joined(alike, sets, "shingles"), similarity), "links")
+    def linked(pairs):
+        return kept_table(_confirmed(_joined(pairs, sets, "shingles"), similarity), "links")
 
+    classes = weights.select("node", F.col("node").alias("component"))
     centres = members.groupBy("key").agg(F.max(F.struct("weight", "node")).getField("node").alias("centre"))
-    tried = kept_table(members.join(centres, "key").where("node <> centre").select(*_pair("node", "centre")).distinct(), "pairs")
-    linked, level = confirm(tried), 0
+    tried = kept_table(members.join(centres, "key").where("node <> centre").select("node", "centre").distinct(), "pairs")
+    near = alike(tried)
+    most = Window.partitionBy("node").orderBy(F.desc("agree"), "centre")
+    first = near.withColumn("n", F.row_number().over(most)).where("n = 1").select("node", "centre")
+    classes = _merged(classes, linked(first))
+    rest = near.join(first, ["node", "centre"], "left_anti").select("node", "centre")
+    classes = _merged(classes, linked(kept_table(_across(rest, classes), "pairs")))
+
+    level = 1
     ranked = Window.partitionBy("key").orderBy(F.desc("weight"), F.desc("node"))
     while True:
-        classes = components(linked.select(F.col("a").alias("u"), F.col("b").alias("v")))
-        classed = members.join(classes, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        mixed = classed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"))
-        # The centre has met everyone; a bucket of n members is exhausted after its first n - 1 centres.
-        mixed = mixed.where((F.col("low") < F.col("high")) & (F.col("size") > level + 2)).select("key")
-        open_buckets = kept_table(classed.join(mixed, "key"), "open")
-        if open_buckets.isEmpty():
-            return linked.select(F.col("a").alias("u"), F.col("b").alias("v"))
-        ranks = open_buckets.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= level + CENTRES + 1)
-        heads = ranks.where(F.col("rank") > level + 1).select(
+        classed = members.join(classes, "node")
+        mixed = classed.groupBy("key").agg(
+            F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size")
+        )
+        # All members have met the first ``level`` ones; a bucket of no more than one other is exhausted.
+        mixed = mixed.where((F.col("low") < F.col("high")) & (F.col("size") > level + 1)).select("key")
+        unsettled = kept_table(classed.join(mixed, "key"), "unsettled")
+        ranks = unsettled.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= level + CENTRES)
+        heads = ranks.where(F.col("rank") > level).select(
             "key", F.col("node").alias("centre"), F.col("component").alias("centre_class")
         )
-        pairs = open_buckets.join(heads, "key").where("component <> centre_class").select(*_pair("node", "centre")).distinct()
-        pairs = kept_table(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-        more = confirm(pairs)
-        if more.isEmpty():
-            return linked.select(F.col("a").alias("u"), F.col("b").alias("v"))
-        linked, tried, level = linked.unionByName(more), tried.unionByName(pairs), level + CENTRES
+        pairs = unsettled.join(heads, "key").where("component <> centre_class").select("node", "centre").distinct()
+        pairs = kept_table(pairs.join(tried, ["node", "centre"], "left_anti"), "pairs")
+        found = linked(alike(pairs))
+        if found.isEmpty():
+            return classes
+        classes = _merged(classes, found)
+        tried, level = tried.unionByName(pairs), level + CENTRES
 
 
 def near_duplicates(docs: DataFrame, width: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
@@ -218,16 +242,13 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, similarity: float = S
         ),
         "nodes",
     )
-    classes = components(
-        links(docs, nodes, width, similarity).unionByName(
-            # A doc_id on rows with several texts ties their vertices together.
-            usable.join(nodes.select("digest", "node"), "digest")
-            .groupBy("doc_id")
-            .agg(F.min("node").alias("u"), F.max("node").alias("v"))
-            .where("u <> v")
-            .select("u", "v")
-        )
-    )
+    classes = classes_of(docs, nodes, width, similarity)
+    # A doc_id on rows with several texts ties their vertices together.
+    tied = usable.join(nodes.select("digest", "node"), "digest").groupBy("doc_id")
+    tied = kept_table(tied.agg(F.min("node").alias("u"), F.max("node").alias("v")).where("u <> v"), "tied")
+    if not tied.isEmpty():
+        stars = classes.select(F.col("node").alias("u"), F.col("component").alias("v"))
+        classes = components(stars.unionByName(tied.select("u", "v")))
     by_digest = nodes.select("digest", "node").join(classes, "node", "left")
     by_digest = by_digest.select("digest", F.coalesce("component", "node").alias("found"))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("found", "doc_id"))
