@@ -8,9 +8,13 @@ records can be exported as WARC files and such files read again.
 
 from __future__ import annotations
 
+import gzip
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skytally.llm.common import arrow_map
 from skytally.session import shared_folder
 
 #: Payloads below this many bytes are never replaced by a reference.
@@ -164,19 +168,17 @@ def _parse(content: bytes):
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """``(header, block)`` of every record in WARC files, gzipped or not; one task holds one file."""
-    import gzip
-
-    import pandas as pd
 
-    def records(frames):
-        for frame in frames:
-            for content in frame["content"]:
+    def records(batches):
+        for batch in batches:
+            for content in batch.column(0).to_pylist():
                 content = gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content
-                rows = list(_parse(content))
-                yield pd.DataFrame(rows, columns=["header", "block"])
+                headers, blocks = zip(*_parse(content)) if content else ((), ())
+                columns = [pa.array(headers, pa.string()), pa.array(blocks, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["header", "block"])
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
-    return files.mapInPandas(records, "header string, block binary")
+    return arrow_map(files, records, "header string, block binary")
 
 
 def archived(pages: DataFrame) -> DataFrame:

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
 from collections.abc import Callable
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import skytally
 from skytally.session import shared_folder
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -77,6 +82,21 @@ def words_of(text: str | None) -> list[bytes]:
     return [] if text is None else text.encode("utf-8", "surrogatepass").lower().split()
 
 
+_SHIPPED: set[str] = set()
+
+
+def arrow_map(df: DataFrame, function: Callable, schema) -> DataFrame:
+    """``df.mapInArrow`` with this package sent along, so that executors need not have it installed."""
+    context = df.sparkSession.sparkContext
+    if context.applicationId not in _SHIPPED:
+        _SHIPPED.add(context.applicationId)
+        package = Path(skytally.__file__).parent
+        folder = tempfile.mkdtemp()  # on the driver, which serves the file as long as it runs
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        context.addPyFile(shutil.make_archive(f"{folder}/{package.name}", "zip", package.parent, package.name))
+    return df.mapInArrow(function, schema)
+
+
 _ARROW = {
     "boolean": pa.bool_(),
     "int": pa.int32(),
@@ -112,4 +132,4 @@ def map_texts(docs: DataFrame, setup: Callable[[], Callable], columns: dict[str,
                 yield pa.RecordBatch.from_arrays([part.column(0), *made], schema=schema)
 
     chosen = docs.select(F.col("doc_id").cast("long"), F.col(column))
-    return chosen.mapInArrow(mapped, ", ".join(f"{n} {k}" for n, k in [("doc_id", "long"), *columns.items()]))
+    return arrow_map(chosen, mapped, ", ".join(f"{n} {k}" for n, k in [("doc_id", "long"), *columns.items()]))

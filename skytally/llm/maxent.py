@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skytally.llm.common import TASK_ROWS, Memo, kept_table, map_texts, words_of
+from skytally.llm.common import TASK_ROWS, Memo, arrow_map, kept_table, map_texts, words_of
 
 #: Words whose counts every task holds; the least frequent are left out until there are this many.
 HEAD = 1 << 17
@@ -84,7 +84,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
             [pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())], names=["token", "n"]
         )
 
-    parts = texts.select("text").mapInArrow(counted, "token binary, n long")
+    parts = arrow_map(texts.select("text"), counted, "token binary, n long")
     return parts.groupBy("token").agg(F.sum("n").alias("n"))
 
 
@@ -175,7 +175,7 @@ def transitions(texts: DataFrame, head: dict[bytes, int]) -> DataFrame:
         if held:
             yield flushed()
 
-    parts = texts.select("text").mapInArrow(gathered, "history int, class int, n long")
+    parts = arrow_map(texts.select("text"), gathered, "history int, class int, n long")
     return parts.groupBy("history", "class").agg(F.sum("n").alias("n"))
 
 
@@ -202,7 +202,7 @@ def _gradient(stats: DataFrame, weights: np.ndarray, bias: np.ndarray) -> tuple[
             [pa.array([gradient.astype(np.float32).tobytes()], pa.binary()), pa.array([value])], names=["gradient", "value"]
         )
 
-    rows = stats.mapInArrow(part, "gradient binary, value double").collect()
+    rows = arrow_map(stats, part, "gradient binary, value double").collect()
     shared.destroy()
     total = np.zeros((ROWS, CLASSES))
     for row in rows:

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skytally.llm.common import Memo, kept_table, map_texts, sized_broadcast, words_of
+from skytally.llm.common import Memo, arrow_map, kept_table, map_texts, sized_broadcast, words_of
 from skytally.llm.graph import components
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -139,7 +139,7 @@ def _alike(pairs: DataFrame, similarity: float) -> DataFrame:
             out = batch.select(["node", "centre"]).append_column("agree", pa.array(agree, pa.int32()))
             yield out.filter(pa.array(agree >= least))
 
-    return pairs.select("node", "centre", "a", "b").mapInArrow(kept, "node long, centre long, agree int")
+    return arrow_map(pairs.select("node", "centre", "a", "b"), kept, "node long, centre long, agree int")
 
 
 def _confirmed(pairs: DataFrame, similarity: float) -> DataFrame:
@@ -158,7 +158,7 @@ def _confirmed(pairs: DataFrame, similarity: float) -> DataFrame:
             ok = [linked(*(np.frombuffer(end.as_py(), np.uint64) for end in pair)) for pair in ends]
             yield batch.select(["node", "centre"]).filter(pa.array(ok, pa.bool_()))
 
-    return pairs.select("node", "centre", "a", "b").mapInArrow(kept, "node long, centre long")
+    return arrow_map(pairs.select("node", "centre", "a", "b"), kept, "node long, centre long")
 
 
 def _merged(classes: DataFrame, links: DataFrame) -> DataFrame:

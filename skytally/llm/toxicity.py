@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skytally.llm.common import TASK_ROWS, Memo, map_texts
+from skytally.llm.common import TASK_ROWS, Memo, arrow_map, map_texts
 
 # Characters that are written for letters.
 LOOK_ALIKES = {
@@ -95,7 +95,7 @@ def trigram_counts(docs: DataFrame, most: int = TRIGRAMS) -> dict[str, int]:
             [pa.array(grams.keys(), pa.string()), pa.array(grams.values(), pa.int64())], names=["gram", "n"]
         )
 
-    counts = docs.select("text").mapInArrow(counted, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    counts = arrow_map(docs.select("text"), counted, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
     return {row.gram: row.n for row in counts.orderBy(F.desc("n"), "gram").limit(most).collect()}
 
 
@@ -278,7 +278,7 @@ def _feature_counts(sample: DataFrame, trigrams) -> DataFrame:
         yield flushed()
 
     shared = sample.sparkSession.sparkContext.broadcast(trigrams)
-    parts = sample.select("text", "toxic").mapInArrow(counted, "feature string, toxic long, clean long")
+    parts = arrow_map(sample.select("text", "toxic"), counted, "feature string, toxic long, clean long")
     return parts.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
@@ -340,7 +340,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
             )
 
     # At most 2 * sample rows of the chosen features.
-    table = rows.select("text", "toxic").mapInArrow(seen, "features array<int>, toxic int").collect()
+    table = arrow_map(rows.select("text", "toxic"), seen, "features array<int>, toxic int").collect()
     weights, bias = _logistic([r.features for r in table], np.array([r.toxic for r in table], float), len(features))
     return Model(trigrams, features, weights, bias)
 
@@ -384,4 +384,4 @@ def accepted(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> Dat
                 below = [scored(text) < threshold for text in part.column(place).to_pylist()]
                 yield part.filter(pa.array(below, pa.bool_()))
 
-    return docs.mapInArrow(kept, docs.schema)
+    return arrow_map(docs, kept, docs.schema)
