@@ -184,20 +184,22 @@ def _gradient(stats: DataFrame, weights: np.ndarray, bias: np.ndarray) -> tuple[
     shared = stats.sparkSession.sparkContext.broadcast((weights, bias))
 
     def part(batches):
-        table = pa.Table.from_batches(list(batches))
+        held = list(batches)
+        if not held:  # a task without histories
+            return
+        table = pa.Table.from_batches(held)
         gradient, value = np.zeros((ROWS, CLASSES)), 0.0
-        if table.num_rows:
-            histories, at = np.unique(table["history"].to_numpy().astype(np.int64), return_inverse=True)
-            for low in range(0, len(histories), 4096):
-                mine = (at >= low) & (at < low + 4096)
-                some = histories[low : low + 4096]
-                seen = np.zeros((len(some), CLASSES))
-                np.add.at(seen, (at[mine] - low, table["class"].to_numpy()[mine]), table["n"].to_numpy()[mine])
-                logs = log_probabilities(*shared.value, some)
-                value += float((seen * logs).sum())
-                error = seen - seen.sum(axis=1, keepdims=True) * np.exp(logs)
-                for rows in _rows_of(some):
-                    np.add.at(gradient, rows, error)
+        histories, at = np.unique(table["history"].to_numpy().astype(np.int64), return_inverse=True)
+        for low in range(0, len(histories), 4096):
+            mine = (at >= low) & (at < low + 4096)
+            some = histories[low : low + 4096]
+            seen = np.zeros((len(some), CLASSES))
+            np.add.at(seen, (at[mine] - low, table["class"].to_numpy()[mine]), table["n"].to_numpy()[mine])
+            logs = log_probabilities(*shared.value, some)
+            value += float((seen * logs).sum())
+            error = seen - seen.sum(axis=1, keepdims=True) * np.exp(logs)
+            for rows in _rows_of(some):
+                np.add.at(gradient, rows, error)
         yield pa.RecordBatch.from_arrays(
             [pa.array([gradient.astype(np.float32).tobytes()], pa.binary()), pa.array([value])], names=["gradient", "value"]
         )
