@@ -19,6 +19,10 @@ from skytally.sources.tables import Lake
 ARRIVAL_ORDER = ("api_snapshot_time", "source_file", "pos")
 
 
+class LoadConflict(ValueError):
+    """A load id that is already taken by other payloads."""
+
+
 def first_wins(rows: DataFrame, order: tuple[str, ...] = ARRIVAL_ORDER, key=OBSERVATION_KEY) -> DataFrame:
     """Keep the earliest row of every key.
 
@@ -50,16 +54,16 @@ def account(validated: DataFrame, inserted: DataFrame, scope: list[str]) -> Data
     """Counts per run, such that received = rejected + inserted + duplicate.
 
     ``validated`` may hold a row with a null ``pos`` for a payload without states;
-    it keeps the run in the result and counts as nothing.
+    it keeps the run in the result and counts as nothing. ``inserted`` is matched on
+    as much of the scope as it carries.
     """
     received = F.count("pos")
     rejected = F.count(F.when(F.col("pos").isNotNull(), F.col("reason")))
     per_run = validated.groupBy(*scope).agg(
         received.alias("rows_received"), rejected.alias("rows_rejected")
     )
-    counted = per_run.join(
-        inserted.groupBy(scope[0]).agg(F.count("*").alias("rows_inserted")), scope[0], "left"
-    )
+    identity = [c for c in scope if c in inserted.columns]
+    counted = per_run.join(inserted.groupBy(*identity).agg(F.count("*").alias("rows_inserted")), identity, "left")
     landed = F.coalesce("rows_inserted", F.lit(0))
     return counted.select(
         *scope,
@@ -77,10 +81,19 @@ def stamp(rows: DataFrame, ingested_at: dt.datetime) -> DataFrame:
 
 def judge(payloads: DataFrame, load_id: str, as_of: dt.datetime) -> DataFrame:
     """Payloads to validated rows, in one pass; payloads without rows keep one empty row."""
-    opened = open_payloads(payloads).withColumn("run_id", ledger.run_id(load_id, F.col("source_file")))
+    opened = open_payloads(payloads.withColumn("run_id", ledger.run_id(load_id)))
     return validate(explode_states(opened, keep_empty=True), as_of)
 
 
+def _require_same_runs(lake: Lake, load_id: str, runs: DataFrame) -> None:
+    recorded = lake.ledger().where(F.col("load_id") == load_id).select("run_id").distinct()
+    if recorded.isEmpty():
+        return
+    both = recorded.withColumn("recorded", F.lit(1)).join(runs.withColumn("given", F.lit(1)), "run_id", "full_outer")
+    if not both.where("recorded is null or given is null").isEmpty():
+        raise LoadConflict(f"load {load_id!r} has been recorded with other payloads")
+
+
 def land_snapshots(
     payloads: DataFrame,
     lake: Lake,
@@ -92,9 +105,11 @@ def land_snapshots(
     """Land a set of payloads; every payload is a run of its own.
 
     Repeating a load with the same ``load_id`` leaves the tables as one run would.
+    With other payloads it would replace what the first one landed, so that is refused.
     """
     feed = feed or Feed()
-    runs = payloads.select(ledger.run_id(load_id, F.col("source_file")).alias("run_id"))
+    runs = payloads.select(ledger.run_id(load_id).alias("run_id")).distinct()
+    _require_same_runs(lake, load_id, runs)
     lake.record(ledger.started(runs, feed, load_id, as_of))
 
     # Parsing is the expensive part and its result is needed three times. A lost

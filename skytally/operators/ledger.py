@@ -22,9 +22,12 @@ ERROR_LENGTH = 2000
 STARTED, FINISHED = ("started", 0), ("finished", 1)
 
 
-def run_id(load_id: str, source_file: Column) -> Column:
-    """The same load of the same file is always the same run."""
-    return F.sha2(F.concat_ws("|", F.lit(load_id), source_file), 256)
+def run_id(load_id: str) -> Column:
+    """The run of a payload(payload, source_file): the same payload in the same load is always the same run.
+
+    An archive may repeat a file name, so the content counts too.
+    """
+    return F.sha2(F.concat_ws("|", F.lit(load_id), F.col("source_file"), F.sha2("payload", 256)), 256)
 
 
 def _event(runs: DataFrame, feed: Feed, load_id: str, started_at: dt.datetime, kind, **outcome: Column) -> DataFrame:

@@ -285,6 +285,13 @@ _TO_GRID = (OBS, STAGED, GRIDDED)
 _TO_HOURLY = (*_TO_GRID, HOURLY)
 _TO_HEALTH = (RUNS, STAGED_RUNS, HEALTH)
 
+KEPT_PER_HOUR = """SELECT CAST(date_trunc('hour', observed_at) AS TIMESTAMP) AS observed_hour,
+    count(*) AS kept_rows, CAST(sum(pos) AS BIGINT) AS pos_sum, max(velocity_ms) AS max_velocity_ms,
+    max(api_snapshot_time) AS last_snapshot_time
+FROM (SELECT * FROM reports QUALIFY row_number() OVER (
+    PARTITION BY icao24, observed_at ORDER BY api_snapshot_time, pos) = 1)
+GROUP BY 1"""
+
 # Rows landed early, or late but for an hour that the refresh still rebuilds.
 REFRESHED = f"""bound AS (
     SELECT max(observed_hour) - INTERVAL 3 HOUR AS hour FROM gridded WHERE ingested_at < {LANDED_UNTIL}),
@@ -636,15 +643,7 @@ def _statements() -> dict[str, str]:
                         THEN icao24 || '/' || epoch_us(observed_at) END) AS rows_unique
                   FROM states)""",
         ),
-        "dedup_first_wins": _with(
-            REPORTS,
-            select="""SELECT CAST(date_trunc('hour', observed_at) AS TIMESTAMP) AS observed_hour,
-                count(*) AS kept_rows, CAST(sum(pos) AS BIGINT) AS pos_sum, max(velocity_ms) AS max_velocity_ms,
-                max(api_snapshot_time) AS last_snapshot_time
-            FROM (SELECT * FROM reports QUALIFY row_number() OVER (
-                PARTITION BY icao24, observed_at ORDER BY api_snapshot_time, pos) = 1)
-            GROUP BY 1""",
-        ),
+        "dedup_first_wins": _with(REPORTS, select=KEPT_PER_HOUR),
         "idempotent_insert": _with(
             REPORTS,
             f"keys AS (SELECT icao24, observed_at, bool_or(api_snapshot_time < {LANDED_UNTIL}) AS early, "
@@ -794,26 +793,25 @@ def _statements() -> dict[str, str]:
                 CASE WHEN payload_status = 'ok' THEN CAST(rows_duplicate AS INTEGER) END AS rows_duplicate
             FROM accounting""",
         ),
-        # A window is final once its end lies three hours (one hour) behind the newest event.
+        "stream_two_feeds": _with(
+            STATES,
+            select="""SELECT 2 * count(*) AS runs,
+                CAST(2 * sum(rows_received) FILTER (WHERE payload_status = 'ok') AS BIGINT) AS rows_received,
+                CAST(2 * sum(rows_rejected) FILTER (WHERE payload_status = 'ok') AS BIGINT) AS rows_rejected,
+                CAST(sum(rows_inserted) FILTER (WHERE payload_status = 'ok') AS BIGINT) AS rows_inserted,
+                CAST(sum(2 * rows_received - 2 * rows_rejected - rows_inserted)
+                    FILTER (WHERE payload_status = 'ok') AS BIGINT) AS rows_duplicate,
+                CAST(sum(rows_inserted) AS BIGINT) AS landed_rows,
+                CAST(sum(rows_inserted) AS BIGINT) AS landed_keys
+            FROM accounting""",
+        ),
         "stream_hourly": _with(
             *_TO_HOURLY,
             select="""SELECT activity_hour, grid_lat, grid_lon, altitude_band, observation_count,
                 avg_baro_altitude_ft, avg_velocity_kts, track_sample_count, dominant_track_deg, track_concentration,
                 first_observed_at, last_observed_at, last_ingested_at
-            FROM hourly
-            WHERE activity_hour + INTERVAL 1 HOUR <= (SELECT max(observed_at) FROM gridded) - INTERVAL 3 HOUR""",
-        ),
-        "stream_health": _with(
-            RUNS,
-            STAGED_RUNS,
-            f"""health AS (SELECT started_hour AS health_hour, {_HEALTH_COLUMNS}
-                FROM staged_runs WHERE status <> 'running' GROUP BY started_hour)""",
-            select="""SELECT * FROM health WHERE health_hour + INTERVAL 1 HOUR
-                <= (SELECT max(started_at) FROM staged_runs WHERE status <> 'running') - INTERVAL 1 HOUR""",
-        ),
-        "stream_dedup": _with(
-            REPORTS,
-            select="""SELECT CAST(date_trunc('hour', observed_at) AS TIMESTAMP) AS observed_hour, count(*) AS row_count
-            FROM (SELECT DISTINCT icao24, observed_at FROM reports) GROUP BY 1""",
+            FROM hourly""",
         ),
+        "stream_health": _with(*_TO_HEALTH, select="SELECT * FROM health"),
+        "stream_dedup": _with(REPORTS, select=KEPT_PER_HOUR),
     }

@@ -303,10 +303,7 @@ def dry_run_total(spark, sf_dir):
 # --- landing and ledger --------------------------------------------------------------------
 
 
-@query
-def dedup_first_wins(spark, sf_dir):
-    reports = src.to_reports(src.events(spark, sf_dir))
-    kept = landing.first_wins(reports, ("api_snapshot_time", "pos"))
+def _kept_per_hour(kept: DataFrame) -> DataFrame:
     return kept.groupBy(F.date_trunc("hour", "observed_at").alias("observed_hour")).agg(
         F.count("*").alias("kept_rows"),
         F.sum("pos").alias("pos_sum"),
@@ -315,6 +312,12 @@ def dedup_first_wins(spark, sf_dir):
     )
 
 
+@query
+def dedup_first_wins(spark, sf_dir):
+    reports = src.to_reports(src.events(spark, sf_dir))
+    return _kept_per_hour(landing.first_wins(reports, ("api_snapshot_time", "pos")))
+
+
 @query
 def idempotent_insert(spark, sf_dir):
     """Reports served before a moment are landed; the later ones bring only what is new."""
@@ -589,6 +592,28 @@ def built_marts(spark, sf_dir):
     return totals[0].unionByName(totals[1]).unionByName(totals[2])
 
 
+@query
+def stream_two_feeds(spark, sf_dir):
+    """The payloads landed twice into one lake: by one stream, then by another in smaller batches.
+
+    Each has its own checkpoint. The second feed brings nothing new and takes nothing away.
+    """
+    root = shared_folder(spark, "feeds")
+    _payloads(spark, sf_dir).repartition(4, "source_file").write.parquet(f"{root}/inbox")
+    lake = Lake(spark, f"{root}/raw")
+    for feed, files in (("first", None), ("second", 1)):
+        inbox = stream_landing.stream_payload_archive(spark, f"{root}/inbox", files)
+        stream_landing.land_stream(inbox, lake, f"{root}/{feed}", as_of=PAYLOADS_NOW).awaitTermination()
+    totals = run_states(lake.ledger()).agg(
+        F.count("*").alias("runs"),
+        *(F.sum(c).alias(c) for c in ("rows_received", "rows_rejected", "rows_inserted", "rows_duplicate")),
+    )
+    landed = lake.landing().agg(
+        F.count("*").alias("landed_rows"), F.countDistinct("icao24", "observed_at").alias("landed_keys")
+    ).first()
+    return totals.withColumns({name: F.lit(n) for name, n in landed.asDict().items()})
+
+
 @query
 def stream_land(spark, sf_dir):
     """Payloads through the stream into the landing; the ledger's account of it."""
@@ -602,29 +627,33 @@ def stream_land(spark, sf_dir):
     return _sparse(states, *counts)
 
 
-def _streamed(spark, purpose: str, stream: DataFrame) -> DataFrame:
+def _streamed(spark, purpose: str, table: DataFrame, keys: tuple, partial) -> DataFrame:
+    """Partials of a table that arrives in four batches, each holding rows of all times."""
     root = shared_folder(spark, purpose)
-    windows.append_parquet(stream, f"{root}/out", f"{root}/checkpoint").awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{root}/out")
+    table.repartition(4, *keys).write.parquet(f"{root}/in")
+    stream = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    windows.append_partials(stream, partial, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return windows.read_partials(spark, f"{root}/out")
 
 
 @query
 def stream_hourly(spark, sf_dir):
-    observed = src.to_observations(src.events_stream(spark, sf_dir))
-    closed = _streamed(spark, "hourly", windows.hourly_activity_stream(observed))
+    events = src.events(spark, sf_dir)
+    parts = _streamed(spark, "hourly", events, ("event_id",), lambda b: windows.hourly_partials(src.to_observations(b)))
     # Approximate counts have no exact counterpart to compare with.
-    return closed.drop("approx_distinct_aircraft", "approx_contributing_runs")
+    return windows.merged_hours(parts).drop("approx_distinct_aircraft", "approx_contributing_runs")
 
 
 @query
 def stream_health(spark, sf_dir):
-    return _streamed(spark, "health", windows.health_stream(src.to_runs(src.orders_stream(spark, sf_dir))))
+    orders = src.orders(spark, sf_dir)
+    parts = _streamed(spark, "health", orders, ("o_orderkey",), lambda b: windows.health_partials(src.to_runs(b)))
+    return windows.merged_health(parts)
 
 
 @query
 def stream_dedup(spark, sf_dir):
-    reports = src.to_reports(src.events_stream(spark, sf_dir)).drop("pos")
-    kept = _streamed(spark, "dedup", windows.deduplicated_stream(reports))
-    return kept.groupBy(F.date_trunc("hour", "observed_at").alias("observed_hour")).agg(
-        F.count("*").alias("row_count")
-    )
+    order = ("api_snapshot_time", "pos")
+    reports = src.to_reports(src.events(spark, sf_dir))
+    parts = _streamed(spark, "dedup", reports, ("icao24", "pos"), lambda b: windows.deduplicated(b, order))
+    return _kept_per_hour(windows.deduplicated(parts, order))

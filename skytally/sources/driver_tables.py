@@ -57,16 +57,6 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return configure(spark).read.schema(ORDERS).parquet(f"{sf_dir}/orders.parquet")
 
 
-def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reader = configure(spark).readStream.schema(EVENTS).option("pathGlobFilter", "events*.parquet")
-    return reader.parquet(sf_dir)
-
-
-def orders_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reader = configure(spark).readStream.schema(ORDERS).option("pathGlobFilter", "orders*.parquet")
-    return reader.parquet(sf_dir)
-
-
 def _plus_seconds(moment: Column, seconds: Column) -> Column:
     return F.timestamp_micros(F.unix_micros(moment) + seconds * F.lit(1000000))
 

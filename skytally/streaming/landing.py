@@ -33,6 +33,12 @@ def stream_payload_archive(spark: SparkSession, path: str, files_per_batch: int
     return reader.parquet(path)
 
 
+def load_name(spark: SparkSession, name: str, checkpoint: str, batch_id: int) -> str:
+    """Unique to a micro-batch: batch ids start anew with each checkpoint, the query's id in it does not."""
+    query = spark.read.schema("id string").json(f"{checkpoint.rstrip('/')}/metadata").first().id
+    return f"{name}-{query}-{batch_id:012d}"
+
+
 def land_stream(
     payloads: DataFrame,
     lake: Lake,
@@ -46,14 +52,16 @@ def land_stream(
 ) -> StreamingQuery:
     """Land what has arrived and stop; with ``marts``, rebuild the affected hours too.
 
-    The load is named after the micro-batch. A batch replayed after a crash
-    therefore replaces its first attempt, and rebuilding whole hours is
-    repeatable, so nothing is counted twice.
+    The load is named after the query, as its checkpoint knows it, and the
+    micro-batch. A batch replayed after a crash therefore replaces its first
+    attempt, and rebuilding whole hours is repeatable, so nothing is counted
+    twice. Without its checkpoint the stream is another query: what it reads
+    again is counted as duplicates.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
         now = as_of or dt.datetime.now(dt.timezone.utc)
-        land_snapshots(batch, lake, f"{name}-{batch_id:012d}", now, feed)
+        land_snapshots(batch, lake, load_name(lake.spark, name, checkpoint, batch_id), now, feed)
         if marts is not None:
             refresh_hourly(lake, marts, lookback_hours=lookback_hours)
             marts.write_health(ingestion_health(stage_runs(run_states(lake.ledger()))))

@@ -1,91 +1,129 @@
-"""Native streaming forms of the tables, bounded by watermarks.
+"""Streaming forms of the tables, complete however the input is cut or ordered.
 
-A watermark follows the newest event, not the newest built hour, and streams
-cannot count distinct values exactly. The incremental refresh is the exact form.
+Each micro-batch appends partial results to a folder of its own, and reading
+merges them. Nothing waits for a watermark, so no late row is dropped. A batch
+that is replayed replaces its folder; an input that is read again from the start
+needs a new checkpoint and a new path. Distinct counts are merged as sketches and
+are approximate; the incremental refresh is the exact form.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable
 
-import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from skytally.functions.columns import mean_bearing, resultant_length
-from skytally.plans.marts import health_measures
+from skytally.functions.columns import mean_bearing, percentage, resultant_length
+from skytally.operators.landing import ARRIVAL_ORDER, first_wins
 from skytally.plans.staging import grid_observations, stage_observations, stage_runs
-from skytally.schemas import OBSERVATION_KEY
+from skytally.streaming.landing import load_name
 
+HOURLY_KEY = ("activity_hour", "grid_lat", "grid_lon", "altitude_band")
 
-def hourly_activity_stream(landed: DataFrame, watermark: str = "3 hours", grid_degrees: float = 1) -> DataFrame:
-    """Closed hours by cell and band; the distinct counts are approximate."""
+
+def append_partials(
+    stream: DataFrame, partial: Callable[[DataFrame], DataFrame], path: str, checkpoint: str
+) -> StreamingQuery:
+    """Append ``partial`` of each micro-batch and stop once all present input is read."""
+    spark = stream.sparkSession
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        load = load_name(spark, "part", checkpoint, batch_id)
+        partial(batch).write.mode("overwrite").parquet(f"{path.rstrip('/')}/load_id={load}")
+
+    return (
+        stream.writeStream.foreachBatch(add)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def read_partials(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).drop("load_id")
+
+
+def _summed(column: str) -> list[Column]:
+    return [F.sum(column).alias(f"{column}_sum"), F.count(column).alias(f"{column}_n")]
+
+
+def _mean(column: str) -> Column:
+    return F.try_divide(F.sum(f"{column}_sum"), F.sum(f"{column}_n"))
+
+
+def hourly_partials(landed: DataFrame, grid_degrees: float = 1) -> DataFrame:
+    """Mergeable parts of the hourly table, for :func:`merged_hours`."""
     gridded = grid_observations(stage_observations(landed), grid_degrees)
-    totals = (
-        gridded.withWatermark("observed_at", watermark)
-        .groupBy(F.window("observed_at", "1 hour").alias("_hour"), "grid_lat", "grid_lon", "altitude_band")
-        .agg(
-            F.count("*").alias("observation_count"),
-            F.approx_count_distinct("icao24").alias("approx_distinct_aircraft"),
-            F.approx_count_distinct("ingestion_run_id").alias("approx_contributing_runs"),
-            F.round(F.avg("baro_altitude_ft"), 0).alias("avg_baro_altitude_ft"),
-            F.round(F.avg("velocity_kts"), 1).alias("avg_velocity_kts"),
-            F.count("track_sin").alias("track_sample_count"),
-            F.avg("track_sin").alias("_sin"),
-            F.avg("track_cos").alias("_cos"),
-            F.min("observed_at").alias("first_observed_at"),
-            F.max("observed_at").alias("last_observed_at"),
-            F.max("ingested_at").alias("last_ingested_at"),
-        )
+    return gridded.groupBy(F.col("observed_hour").alias("activity_hour"), *HOURLY_KEY[1:]).agg(
+        F.count("*").alias("observation_count"),
+        F.hll_sketch_agg("icao24").alias("aircraft"),
+        F.hll_sketch_agg("ingestion_run_id").alias("runs"),
+        *(part for c in ("baro_altitude_ft", "velocity_kts", "track_sin", "track_cos") for part in _summed(c)),
+        F.min("observed_at").alias("first_observed_at"),
+        F.max("observed_at").alias("last_observed_at"),
+        F.max("ingested_at").alias("last_ingested_at"),
+    )
+
+
+def merged_hours(partials: DataFrame) -> DataFrame:
+    """The hourly table of all batches; its two distinct counts are approximate."""
+    totals = partials.groupBy(*HOURLY_KEY).agg(
+        F.sum("observation_count").alias("observation_count"),
+        F.hll_sketch_estimate(F.hll_union_agg("aircraft")).alias("approx_distinct_aircraft"),
+        F.hll_sketch_estimate(F.hll_union_agg("runs")).alias("approx_contributing_runs"),
+        F.round(_mean("baro_altitude_ft"), 0).alias("avg_baro_altitude_ft"),
+        F.round(_mean("velocity_kts"), 1).alias("avg_velocity_kts"),
+        F.sum("track_sin_n").alias("track_sample_count"),
+        _mean("track_sin").alias("_sin"),
+        _mean("track_cos").alias("_cos"),
+        F.min("first_observed_at").alias("first_observed_at"),
+        F.max("last_observed_at").alias("last_observed_at"),
+        F.max("last_ingested_at").alias("last_ingested_at"),
     )
     return totals.withColumns(
         {
-            "activity_hour": F.col("_hour.start"),
             "dominant_track_deg": mean_bearing(F.col("_sin"), F.col("_cos")),
             "track_concentration": resultant_length(F.col("_sin"), F.col("_cos")),
         }
-    ).drop("_hour", "_sin", "_cos")
+    ).drop("_sin", "_cos")
 
 
-def health_stream(runs: DataFrame, watermark: str = "1 hour") -> DataFrame:
-    """Hourly health over finished runs."""
-    return (
-        stage_runs(runs.where(F.col("status") != "running"))
-        .withWatermark("started_at", watermark)
-        .groupBy(F.window("started_at", "1 hour").alias("_hour"))
-        .agg(*health_measures())
-        .withColumn("health_hour", F.col("_hour.start"))
-        .drop("_hour")
-    )
-
+RUN_SUMS = ("rows_received", "rows_inserted", "rows_duplicate", "rows_rejected", "credits_estimated")
 
-def deduplicated_stream(landed: DataFrame, horizon: str = "3 hours") -> DataFrame:
-    """Drop repeats of a key within the horizon, before landing.
 
-    Repeats are first dropped within each Arrow batch: otherwise all copies of one
-    key would be shuffled to the one task that holds its state. Landing still
-    decides; this only saves it work.
-    """
-    key = list(OBSERVATION_KEY)
+def health_partials(runs: DataFrame) -> DataFrame:
+    """Mergeable parts of the hourly health, for :func:`merged_health`. The stream holds each run once."""
+    return stage_runs(runs).groupBy(F.col("started_hour").alias("health_hour"), "status").agg(
+        F.count("*").alias("run_count"),
+        *(F.sum(c).alias(c) for c in RUN_SUMS),
+        *(part for c in ("duration_seconds", "end_to_end_lag_seconds") for part in _summed(c)),
+        F.max("end_to_end_lag_seconds").alias("max_lag_seconds"),
+        F.max("finished_at").alias("last_finished_at"),
+    )
 
-    def first_of_each_key(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        for batch in batches:
-            rows = pa.table({c: batch.column(c) for c in key} | {"_row": pa.array(range(batch.num_rows))})
-            first = rows.group_by(key).aggregate([("_row", "min")])["_row_min"]
-            yield batch.take(first.combine_chunks())
 
-    thinned = landed.mapInArrow(first_of_each_key, landed.schema)
-    return thinned.withWatermark("observed_at", horizon).dropDuplicatesWithinWatermark(key)
+def merged_health(partials: DataFrame) -> DataFrame:
+    def runs_that(status: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("status") == status, F.col("run_count"))), F.lit(0))
+
+    return partials.groupBy("health_hour").agg(
+        F.sum("run_count").alias("run_count"),
+        runs_that("succeeded").alias("succeeded_count"),
+        runs_that("failed").alias("failed_count"),
+        runs_that("running").alias("still_running_count"),
+        percentage(runs_that("succeeded"), F.sum("run_count"), 1).alias("success_rate_pct"),
+        *(F.sum(c).alias(c) for c in RUN_SUMS[:4]),
+        percentage(F.sum("rows_rejected"), F.sum("rows_received"), 3).alias("reject_rate_pct"),
+        F.round(_mean("duration_seconds"), 3).alias("avg_duration_seconds"),
+        F.round(_mean("end_to_end_lag_seconds"), 1).alias("avg_lag_seconds"),
+        F.round(F.max("max_lag_seconds"), 1).alias("max_lag_seconds"),
+        F.sum("credits_estimated").alias("credits_consumed"),
+        F.max("last_finished_at").alias("last_finished_at"),
+    )
 
 
-def append_parquet(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Write what is final and stop once all present input is read."""
-    return (
-        stream.writeStream.outputMode("append")
-        .format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+def deduplicated(reports: DataFrame, order: tuple[str, ...] = ARRIVAL_ORDER) -> DataFrame:
+    """The first report of every key; as partial of a batch and again over all of them."""
+    return first_wins(reports, order)

@@ -79,8 +79,25 @@ def test_failure_of_the_job_is_recorded(lake, payloads, monkeypatch):
     assert lake.landing().count() == 0
 
 
+def test_a_load_id_is_not_taken_twice(lake, payloads):
+    land(lake, payloads(payload_text(three_rows())), "a")
+    with pytest.raises(landing.LoadConflict):
+        land(lake, payloads(payload_text(three_rows(EPOCH + 60)), prefix="other"), "a")
+    land(lake, payloads(payload_text(three_rows())), "a")
+    assert lake.landing().count() == 3 and runs(lake).count() == 1
+
+
+def test_a_file_name_may_repeat_within_a_load(spark, lake):
+    rows = [(payload_text(three_rows()), "same"), (payload_text(three_rows(EPOCH + 60), EPOCH + 60), "same")]
+    rows.append(rows[0])
+    land(lake, spark.createDataFrame(rows, "payload string, source_file string"), "a", AS_OF + dt.timedelta(minutes=5))
+    counts = sorted((r.rows_received, r.rows_inserted, r.rows_duplicate) for r in runs(lake).collect())
+    assert counts == [(3, 3, 0), (6, 3, 3)]
+    assert lake.landing().count() == 6
+
+
 def test_a_started_run_is_visible_as_running(lake, payloads):
-    started = payloads("x").select(ledger.run_id("a", F.col("source_file")).alias("run_id"))
+    started = payloads("x").select(ledger.run_id("a").alias("run_id"))
     lake.record(ledger.started(started, Feed(), "a", AS_OF))
     run = runs(lake).first()
     assert (run.status, run.finished_at, run.credits_estimated) == ("running", None, 3)

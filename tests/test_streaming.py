@@ -4,6 +4,7 @@ from conftest import AS_OF, EPOCH, SF_DIR, normal, payload_text, three_rows
 from pyspark.sql import functions as F
 
 from skytally.operators import ledger, quality
+from skytally.operators.landing import first_wins
 from skytally.plans import marts as plans
 from skytally.plans import staging
 from skytally.schemas import HOURLY_ACTIVITY, conform
@@ -20,8 +21,8 @@ def drop(folder, name, *args):
 def test_landing_stream_with_late_rows(spark, tmp_path, lake, marts):
     inbox, as_of = tmp_path / "inbox", AS_OF + dt.timedelta(hours=1)
 
-    def run(checkpoint="checkpoint"):
-        stream = landing.stream_payload_files(spark, str(inbox), files_per_batch=1)
+    def run(checkpoint="checkpoint", files=1):
+        stream = landing.stream_payload_files(spark, str(inbox), files_per_batch=files)
         landing.land_stream(stream, lake, str(tmp_path / checkpoint), as_of=as_of, marts=marts).awaitTermination()
 
     drop(inbox, "a.json", three_rows())
@@ -39,12 +40,23 @@ def test_landing_stream_with_late_rows(spark, tmp_path, lake, marts):
     run()
     assert lake.landing().count() == 6 and ledger.run_states(lake.ledger()).count() == 2
 
-    # The checkpoint is lost, so both batches are replayed under their old names.
-    before = normal(lake.landing().drop("ingestion_run_id").collect())
-    run("another-checkpoint")
-    assert normal(lake.landing().drop("ingestion_run_id").collect()) == before
+    # The checkpoint is lost: both files are read again, in other batches, as duplicates.
+    before = normal(lake.landing().collect())
+    run("another-checkpoint", None)
+    assert normal(lake.landing().collect()) == before
+    states = ledger.run_states(lake.ledger())
+    assert states.count() == 4 and states.agg(F.sum("rows_inserted")).first()[0] == 6
     assert quality.repeated_keys(lake.landing(), "icao24", "observed_at").count() == 0
-    assert quality.ledger_balance(ledger.run_states(lake.ledger())).count() == 0
+    assert quality.ledger_balance(states).count() == 0
+
+
+def test_two_feeds_share_a_lake(spark, tmp_path, lake):
+    for n, feed in enumerate(("north", "south")):
+        drop(tmp_path / feed, "a.json", three_rows(EPOCH + 600 * n), EPOCH + 600 * n)
+        stream = landing.stream_payload_files(spark, str(tmp_path / feed))
+        checkpoint = str(tmp_path / f"{feed}-checkpoint")
+        landing.land_stream(stream, lake, checkpoint, as_of=AS_OF + dt.timedelta(hours=1)).awaitTermination()
+    assert lake.landing().count() == 6 and ledger.run_states(lake.ledger()).count() == 2
 
 
 def test_files_are_read_whole(spark, tmp_path):
@@ -54,28 +66,28 @@ def test_files_are_read_whole(spark, tmp_path):
     assert len(rows) == 2 and all("/in/" in r.source_file for r in rows)
 
 
-def finished(spark, tmp_path, stream):
-    windows.append_parquet(stream, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
-    return spark.read.schema(stream.schema).parquet(str(tmp_path / "out"))
+def merged(spark, tmp_path, table, partial, files=1):
+    table.repartition(5).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", files).parquet(str(tmp_path / "in"))
+    windows.append_partials(stream, partial, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    return windows.read_partials(spark, str(tmp_path / "out"))
 
 
 def test_streamed_hours_agree_with_the_batch(spark, tmp_path):
-    streamed = finished(
-        spark, tmp_path, windows.hourly_activity_stream(src.to_observations(src.events_stream(spark, SF_DIR)))
-    )
     observed = src.to_observations(src.events(spark, SF_DIR))
+    streamed = windows.merged_hours(merged(spark, tmp_path, observed, windows.hourly_partials))
     batch = plans.hourly_activity(staging.grid_observations(staging.stage_observations(observed)))
     key = ["activity_hour", "grid_lat", "grid_lon", "altitude_band"]
     both = streamed.select(*key, F.col("observation_count").alias("n"), "approx_distinct_aircraft").join(batch, key)
-    assert both.count() == streamed.count() > 0
+    assert both.count() == streamed.count() == batch.count() > 0
     assert both.where("n <> observation_count").count() == 0
     off = F.abs(F.col("approx_distinct_aircraft") - F.col("distinct_aircraft")) > 0.1 * F.col("distinct_aircraft")
     assert both.where(off).count() == 0
 
 
-def test_repeats_are_dropped_before_landing(spark, tmp_path):
-    reports = src.to_reports(src.events_stream(spark, SF_DIR)).drop("pos")
-    kept = finished(spark, tmp_path, windows.deduplicated_stream(reports))
-    assert kept.count() == kept.select("icao24", "observed_at").distinct().count() == src.events(spark, SF_DIR).count()
-    # Nullable columns survive the way through Arrow.
-    assert kept.where("latitude is null").count() > 0 and kept.schema["category"].dataType.typeName() == "short"
+def test_the_first_report_is_kept_whatever_batch_it_is_in(spark, tmp_path):
+    reports = src.to_reports(src.events(spark, SF_DIR))
+    order = ("api_snapshot_time", "pos")
+    parts = merged(spark, tmp_path, reports, lambda batch: windows.deduplicated(batch, order), files=2)
+    kept = windows.deduplicated(parts, order)
+    assert normal(kept.collect()) == normal(first_wins(reports, order).collect())
