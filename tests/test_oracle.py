@@ -8,6 +8,7 @@ import pytest
 from conftest import SF_DIR
 
 import __spark_entry__ as contract
+from skytally import oracle, registry
 
 
 @pytest.fixture(scope="module")
@@ -26,10 +27,11 @@ def rows_of(rows, names):
 
 
 def test_every_query_has_its_sql():
-    assert set(contract.oracle_sql()) == set(contract.queries())
+    assert set(oracle.statements()) == set(registry.QUERIES)
+    assert set(oracle.statements()) <= set(contract.oracle_sql()) and set(registry.QUERIES) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query_matches_sql(spark, sql, name):
     result = contract.queries()[name](spark, SF_DIR)
     cursor = sql.execute(contract.oracle_sql()[name])
