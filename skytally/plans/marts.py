@@ -146,32 +146,35 @@ def refresh_hourly(
     *,
     full_refresh: bool = False,
     lookback_hours: int = LATE_ARRIVAL_LOOKBACK_HOURS,
-    grid_degrees: float = 1,
+    grid_degrees: float | None = None,
     min_aircraft: int | None = None,
 ) -> None:
     """Rebuild the newest hours whole, from everything landed for them.
 
     Rows older than the lookback are left out until a full refresh; the hourly
-    reconciliation reports them.
+    reconciliation reports them. Grid and suppression are stored with the table and
+    hold for every refresh; only a full refresh may change them.
     """
     if not isinstance(lookback_hours, int) or lookback_hours < 0:
         raise ValueError("the lookback must be a whole number of hours")
     newest = None if full_refresh else marts.latest_hour()
+    stored = marts.publishing()
+    grid = stored[0] if grid_degrees is None else float(grid_degrees)
+    least = stored[1] if min_aircraft is None else min_aircraft
+    if newest is not None and (grid, least) != stored:
+        raise ValueError(f"the hourly table was built with {stored}; another grid or suppression needs a full refresh")
     landed = lake.landing()
     if newest is not None:
         landed = since_bound(landed, newest - dt.timedelta(hours=lookback_hours))
-    marts.write_hourly(
-        publishable_hourly(landed, grid_degrees, min_aircraft),
-        replace_all=newest is None,
-        files_per_hour=files_per_hour(grid_degrees),
-    )
+    hourly = publishable_hourly(landed, grid, least)
+    if newest is None:
+        marts.write_publishing(grid, least)
+    marts.write_hourly(hourly, replace_all=newest is None, files_per_hour=files_per_hour(grid))
 
 
 def build_marts(lake: Lake, marts: Marts, runs: DataFrame, **hourly_options) -> None:
     """Hourly incrementally, the small daily and health tables from scratch."""
     refresh_hourly(lake, marts, **hourly_options)
-    gridded = grid_observations(
-        stage_observations(lake.landing()), hourly_options.get("grid_degrees", 1)
-    )
+    gridded = grid_observations(stage_observations(lake.landing()), marts.publishing()[0])
     marts.write_daily(daily_activity(gridded))
     marts.write_health(ingestion_health(stage_runs(runs)))

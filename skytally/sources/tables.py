@@ -11,7 +11,7 @@ import datetime as dt
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, IntegerType, StructField, StructType
+from pyspark.sql.types import DateType, DoubleType, IntegerType, StructField, StructType
 
 from skytally.schemas import (
     DAILY_ACTIVITY,
@@ -28,6 +28,8 @@ HOURLY_TABLE = StructType(
     + [StructField("activity_date", DateType()), StructField("hour_of_day", IntegerType())]
 )
 
+PUBLISHING = StructType([StructField("grid_degrees", DoubleType()), StructField("min_aircraft", IntegerType())])
+
 
 class MartsNotBuilt(RuntimeError):
     """The published tables do not exist yet."""
@@ -112,6 +114,7 @@ class Marts:
         self.spark = configure(spark)
         root = root.rstrip("/")
         self.hourly_path = f"{root}/airspace_activity_hourly"
+        self.publishing_path = f"{root}/airspace_activity_publishing"
         self.daily_path = f"{root}/airspace_activity_daily"
         self.health_path = f"{root}/ingestion_health"
 
@@ -132,7 +135,7 @@ class Marts:
         return self._open(self.health_path, INGESTION_HEALTH)
 
     def latest_hour(self) -> dt.datetime | None:
-        """Newest built hour from folder names alone; None when nothing is built."""
+        """Newest built hour, from the partition columns; None when nothing is built."""
         table = _read_if_present(self.spark, HOURLY_TABLE, self.hourly_path)
         if table is None:
             return None
@@ -140,6 +143,15 @@ class Marts:
         newest = table.agg(F.max(hours).alias("hours")).first().hours
         return None if newest is None else dt.datetime(1970, 1, 1) + dt.timedelta(hours=newest)
 
+    def publishing(self) -> tuple[float, int | None]:
+        """Grid and least number of aircraft a cell, as the hourly table was built; one degree and none by default."""
+        stored = _read_if_present(self.spark, PUBLISHING, self.publishing_path)
+        return (1.0, None) if stored is None else tuple(stored.first())
+
+    def write_publishing(self, grid_degrees: float, min_aircraft: int | None) -> None:
+        options = self.spark.createDataFrame([(grid_degrees, min_aircraft)], PUBLISHING)
+        options.coalesce(1).write.mode("overwrite").parquet(self.publishing_path)
+
     def stored_columns(self) -> dict[str, StructType]:
         """The schemas actually written, for the identity guard."""
         stored = {}

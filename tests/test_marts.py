@@ -170,6 +170,14 @@ def test_fine_grids_need_suppression(spark, lake, marts):
     lake.append(landed, "a")
     plans.refresh_hourly(lake, marts, grid_degrees=0.25, min_aircraft=2)
     assert marts.hourly().count() == 1
+    # Later refreshes keep both, and others are refused.
+    lake.append(observations(spark, [("d", HOUR, 52.6, 0.1, 90.0, False)]), "b")
+    plans.refresh_hourly(lake, marts)
+    assert marts.hourly().count() == 1
+    with pytest.raises(ValueError):
+        plans.refresh_hourly(lake, marts, min_aircraft=1)
+    plans.refresh_hourly(lake, marts, full_refresh=True, min_aircraft=1)
+    assert marts.hourly().count() == 3
 
 
 def test_schema_drift_is_an_error(spark, marts):

@@ -95,13 +95,13 @@ def test_accepted_values(payloads):
     rows = parse.accepted(judged(payloads, payload_text(three_rows()))).orderBy("pos").collect()
     first, _, third = rows
     assert len(rows) == 3
-    assert (first.icao24, first.callsign, first.origin_country) == ("4009f5", "BAW123", "United Kingdom")
-    assert first.observed_at.timestamp() == EPOCH - 5
+    assert (first.icao24, first.callsign, first.origin_country) == ("e5a001", "KITE7", "Ruritania")
+    assert first.observed_at.timestamp() == EPOCH - 7
     assert (first.baro_altitude_m, first.geo_altitude_m, first.position_source, first.category) == (
-        11277.6, 11582.4, 0, 1,
+        9300.0, 9410.0, 0, 1,
     )
     # Without a position time the last contact addresses the row.
-    assert third.time_position is None and third.observed_at.timestamp() == EPOCH - 30
+    assert third.time_position is None and third.observed_at.timestamp() == EPOCH - 40
     assert third.on_ground is True and third.latitude is None and third.callsign is None
 
 
