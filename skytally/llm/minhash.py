@@ -11,8 +11,9 @@
    whose class it is still not in. Confirmed pairs are links; classes are the
    connected components.
 4. Buckets that still hold several classes go through further rounds, each
-   comparing members with the next ``CENTRES`` members of other classes, until
-   the buckets are exhausted or a round finds no link.
+   comparing members with the next members of other classes, ``CENTRES`` at
+   first and twice as many each time, until every bucket is exhausted or one
+   class. A round that finds no link ends nothing: later members may link.
 
 Every step is a join or an aggregate on keys of bounded size; rounds read
 tables in the shared folder.
@@ -202,7 +203,10 @@ def classes_of(docs: DataFrame, nodes: DataFrame, width: int, similarity: float)
     rest = near.join(first, ["node", "centre"], "left_anti").select("node", "centre")
     classes = _merged(classes, linked(kept_table(_across(rest, classes), "pairs")))
 
-    level = 1
+    sizes = nodes.select("node", "n_shingles").join(weights.select("node"), "node", "left_semi")
+    members = kept_table(members.join(sizes, "node"), "sized")
+    percent = round(similarity * 100)
+    level, step = 1, CENTRES
     ranked = Window.partitionBy("key").orderBy(F.desc("weight"), F.desc("node"))
     while True:
         classed = members.join(classes, "node")
@@ -212,17 +216,29 @@ def classes_of(docs: DataFrame, nodes: DataFrame, width: int, similarity: float)
         # All members have met the first ``level`` ones; a bucket of no more than one other is exhausted.
         mixed = mixed.where((F.col("low") < F.col("high")) & (F.col("size") > level + 1)).select("key")
         unsettled = kept_table(classed.join(mixed, "key"), "unsettled")
-        ranks = unsettled.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= level + CENTRES)
+        if unsettled.isEmpty():
+            return classes
+        ranks = unsettled.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= level + step)
         heads = ranks.where(F.col("rank") > level).select(
-            "key", F.col("node").alias("centre"), F.col("component").alias("centre_class")
+            "key",
+            F.col("node").alias("centre"),
+            F.col("component").alias("centre_class"),
+            F.struct("weight", "node").alias("place"),
+            F.col("n_shingles").alias("centre_size"),
         )
-        pairs = unsettled.join(heads, "key").where("component <> centre_class").select("node", "centre").distinct()
-        pairs = kept_table(pairs.join(tried, ["node", "centre"], "left_anti"), "pairs")
+        # Members before a head have met it as heads themselves; sizes that far apart are no link.
+        met = unsettled.join(heads, "key").where(
+            (F.col("component") != F.col("centre_class"))
+            & (F.struct("weight", "node") < F.col("place"))
+            & (100 * F.least("n_shingles", "centre_size") >= percent * F.greatest("n_shingles", "centre_size"))
+        )
+        pairs = met.select("node", "centre").distinct().join(tried, ["node", "centre"], "left_anti")
+        pairs = kept_table(pairs, "pairs")
         found = linked(alike(pairs))
-        if found.isEmpty():
-            return classes
-        classes = _merged(classes, found)
-        tried, level = tried.unionByName(pairs), level + CENTRES
+        if not found.isEmpty():
+            classes = _merged(classes, found)
+        # Twice as many each time: a bucket of n classes that link with nothing takes log n rounds.
+        tried, level, step = tried.unionByName(pairs), level + step, 2 * step
 
 
 def near_duplicates(docs: DataFrame, width: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
@@ -238,7 +254,10 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, similarity: float = S
     usable = table.where("digest is not null and doc_id is not null")
     nodes = kept_table(
         usable.groupBy("digest").agg(
-            F.min("doc_id").alias("node"), F.first("signature").alias("signature"), F.first("bands").alias("bands")
+            F.min("doc_id").alias("node"),
+            F.first("n_shingles").alias("n_shingles"),
+            F.first("signature").alias("signature"),
+            F.first("bands").alias("bands"),
         ),
         "nodes",
     )

@@ -79,3 +79,16 @@ def test_odd_rows(spark):
     assert found[13].component_id == 12
     assert minhash.near_duplicates(documents(spark, [])).count() == 0
     assert minhash.near_duplicates(documents(spark, [(1, None), (2, "")])).where("kept").count() == 2
+
+
+def test_large_buckets_whose_first_members_link_with_nothing(spark):
+    """Texts around one passage, 0.797 alike, hold every bucket's first ranks; only the pairs after them are 0.805 alike."""
+    passage = prose(73, 200, 5000)
+    rows = [(n, passage + " " + prose(73000 + n, 25, 10**6)) for n in range(30)]
+    for n in range(6):
+        both = prose(73200 + n, 2, 10**6)
+        rows += [(100 + 10 * n + k, f"{passage} {both} {prose(73300 + 10 * n + k, 24, 10**6)}") for k in range(2)]
+    expected = brute_force(rows, 5)
+    assert [i for i, (_, c) in expected.items() if c != i] == [101 + 10 * n for n in range(6)]
+    found = by_id(minhash.near_duplicates(documents(spark, rows)))
+    assert {i: (r.n_shingles, r.component_id) for i, r in found.items()} == expected
