@@ -1,16 +1,17 @@
 """Personal data and the terms that give it away.
 
 Emails, ip addresses, card and phone numbers are found by fixed patterns. The
-words around them are then judged by information theory: of entity ``e`` and
-term ``t``, with all probabilities counted over the words of the whole corpus,
+other words of the texts that hold them are then judged by information theory:
+of entity ``e`` and term ``t``, with all probabilities counted over the words
+outside the patterns of the whole corpus,
 
     disclosure(t, e) = PMI(t; e) / IC(e) = 1 + log2 p(e | t) / -log2 p(e)
 
 is the share of the entity's information that the term reveals. p(e | t) is the
-share of t's occurrences that lie in a context of e, p(e) the share of all words
-that do. A pair must be seen in texts that differ, so that copies are no
-evidence. Terms above ``REMOVE`` are removed near the entity, those above
-``GENERALISE`` are replaced by a class.
+share of t's occurrences that lie in texts of e, p(e) the share of all words
+that do. A pair must be seen in ``LEAST_TEXTS`` texts that differ, so that copies
+are no evidence. Terms above ``REMOVE`` are removed wherever the corpus has them,
+those above ``GENERALISE`` are replaced by a class.
 
 Offsets are code points; matching runs on Spark's own regular expressions,
 possessive where nothing could be given back, so that no text backtracks.
@@ -35,11 +36,10 @@ KINDS = (*PATTERNS, "term")
 LABELS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]"}
 GENERAL = "[TERM]"
 
-REACH = 48
 GENERALISE, REMOVE = 0.9, 0.97
 LEAST_TEXTS = 2
 WORD = r"\p{L}+"
-#: Context words that may be broadcast to count them in the corpus; more are joined by a shuffle.
+#: Terms, or texts, that may be broadcast to find them in the corpus; more are joined by a shuffle.
 BROADCAST_TERMS = 500_000
 NO_ID = -(2**63)
 
@@ -77,26 +77,22 @@ def _valid(kind: Column, match: Column, digits: Column) -> Column:
 
 
 def _entries(number: int, kind: str) -> Column:
-    """The kind's matches, with the length of what lies before each and the text on both sides."""
+    """The kind's matches, with the length of what lies before each."""
     matches, pieces = F.col(f"m_{kind}"), F.col(f"p_{kind}")
 
     def entry(i):
-        before, after = F.get(pieces, i), F.get(pieces, i + 1)
         return F.struct(
             F.lit(number).alias("kind"),
             i.alias("i"),
-            F.length(before).alias("gap"),
+            F.length(F.get(pieces, i)).alias("gap"),
             F.get(matches, i).alias("match"),
-            F.right(before, F.lit(REACH)).alias("left"),
-            F.left(after, F.lit(REACH)).alias("right"),
-            F.length(after).alias("gap_after"),
         )
 
     return F.when(F.size(matches) > 0, F.transform(F.sequence(F.lit(0), F.size(matches) - 1), entry))
 
 
 def entities(docs: DataFrame) -> DataFrame:
-    """``(doc, h, kind, start, end, entity, left, right)`` of every valid match; kind is its number in KINDS.
+    """``(doc, h, kind, start, end, entity)`` of every valid match; kind is its number in KINDS.
 
     doc and h identify the text: its id (``NO_ID`` if null) and hash.
     """
@@ -110,9 +106,7 @@ def entities(docs: DataFrame) -> DataFrame:
         *[f"m_{k}" for k in PATTERNS],
         *[F.when(F.size(f"m_{k}") > 0, F.split("text", p, -1)).alias(f"p_{k}") for k, p in PATTERNS.items()],
     )
-    none = F.array().cast(
-        "array<struct<kind:int,i:int,gap:int,match:string,left:string,right:string,gap_after:int>>"
-    )
+    none = F.array().cast("array<struct<kind:int,i:int,gap:int,match:string>>")
     listed = [F.coalesce(_entries(n, k), none) for n, k in enumerate(PATTERNS)]
     rows = cut.select("doc", "h", F.explode(F.concat(*listed)).alias("e")).select("doc", "h", "e.*")
     # Equal rows of the table give equal rows here; one of each is enough.
@@ -123,9 +117,6 @@ def entities(docs: DataFrame) -> DataFrame:
     kind = F.element_at(F.array(*map(F.lit, PATTERNS)), F.col("kind") + 1)
     valid = rows.where(_valid(kind, F.col("match"), F.col("digits")))
     value = F.when(F.col("kind") < 2, F.lower("match")).otherwise(F.col("digits"))
-    # A word that the reach cuts in two is no word of the context.
-    left = F.when(F.col("gap") > REACH, F.regexp_replace("left", rf"\A{WORD}", "")).otherwise(F.col("left"))
-    right = F.when(F.col("gap_after") > REACH, F.regexp_replace("right", rf"{WORD}\z", "")).otherwise(F.col("right"))
     return valid.select(
         "doc",
         "h",
@@ -133,81 +124,128 @@ def entities(docs: DataFrame) -> DataFrame:
         (F.col("end") - F.length("match")).alias("start"),
         "end",
         F.concat_ws(":", kind, value).alias("entity"),
-        left.alias("left"),
-        right.alias("right"),
     )
 
 
-def _context_words(found: DataFrame) -> DataFrame:
-    """``(doc, h, entity, term, start, end)`` of the words within reach of each entity."""
-    sides = found.select(
-        "doc",
-        "h",
-        "entity",
-        F.explode(
-            F.array(
-                F.struct(F.col("left").alias("side"), (F.col("start") - F.length("left")).alias("at")),
-                F.struct(F.col("right").alias("side"), F.col("end").alias("at")),
-            )
-        ).alias("s"),
-    ).select("doc", "h", "entity", "s.*")
-    cut = sides.select(
-        "doc",
-        "h",
-        "entity",
-        "at",
-        F.regexp_extract_all("side", F.lit(WORD), F.lit(0)).alias("words"),
-        F.split("side", WORD, -1).alias("gaps"),
-    )
-    total = lambda parts, n: F.aggregate(
-        F.slice(parts, F.lit(1), n), F.lit(0).cast("long"), lambda sum_, part: sum_ + F.length(part)
-    )
-    # At most REACH / 2 words a side.
-    place = lambda word, i: F.struct(
-        F.lower(word).alias("term"),
-        (F.col("at") + total(F.col("gaps"), i + 1) + total(F.col("words"), i)).alias("start"),
-        F.length(word).alias("size"),
+def _islands(found: DataFrame) -> DataFrame:
+    """``(doc, h, island, start, end, label)``: spans that overlap as one, by the label of the first."""
+    in_order = Window.partitionBy("doc", "h").orderBy("start", "kind")
+    before = F.max("end").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    return (
+        found.withColumn("reached", before)
+        .withColumn("fresh", (F.col("reached").isNull() | (F.col("start") >= F.col("reached"))).cast("int"))
+        .withColumn("island", F.sum("fresh").over(in_order))
+        .groupBy("doc", "h", "island")
+        .agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min_by("label", F.struct("start", "kind")).alias("label"))
     )
-    words = cut.select("doc", "h", "entity", F.explode(F.transform("words", place)).alias("w"))
-    return words.select(
-        "doc", "h", "entity", "w.term", "w.start", (F.col("w.start") + F.col("w.size")).alias("end")
+
+
+def _cuts(islands: DataFrame) -> DataFrame:
+    """``(doc, h, cuts)``: what ``_edited`` replaces in each text."""
+    by_island = Window.partitionBy("doc", "h").orderBy("island")
+    cuts = islands.withColumn("after", F.coalesce(F.lag("end").over(by_island), F.lit(0)))
+    cuts = cuts.groupBy("doc", "h").agg(
+        F.sort_array(F.collect_list(F.struct("start", "after", "label"))).alias("cuts"), F.max("end").alias("last")
     )
+    return cuts.select("doc", "h", F.struct("cuts", "last").alias("cuts"))
 
 
-def disclosures(docs: DataFrame, words: DataFrame) -> DataFrame:
-    """``(entity, term, disclosure)`` of every pair in context rows, over the counts of the whole corpus."""
-    vocabulary = kept_table(words.select("term").distinct(), "terms")
-    spoken = docs.select(
-        F.explode(F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(WORD), F.lit(0))).alias("word")
+def _edited(text: Column, cut: Column) -> Column:
+    return F.concat(
+        F.array_join(
+            F.transform(
+                cut["cuts"],
+                lambda c: F.concat(
+                    F.substring(text, (c["after"] + 1).cast("int"), (c["start"] - c["after"]).cast("int")), c["label"]
+                ),
+            ),
+            "",
+        ),
+        F.substring(text, (cut["last"] + 1).cast("int"), F.length(text)),
     )
-    # The null group holds all words outside any context, so one pass gives the total as well.
+
+
+def _masked(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """``(doc, h, text)`` of every row with blanks for its entities, so that all offsets stay."""
+    blank = F.repeat(F.lit(" "), (F.col("end") - F.col("start")).cast("int"))
+    islands = _islands(found.withColumn("label", F.lit(""))).withColumn("label", blank)
+    joined = _keyed(docs).join(_cuts(islands), ["doc", "h"], "left")
+    text = F.when(F.col("cuts").isNotNull(), _edited(F.col("text"), F.col("cuts"))).otherwise(F.col("text"))
+    return joined.select("doc", "h", text.alias("text"))
+
+
+def _words(text: str = "text") -> Column:
+    return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+
+
+def disclosures(texts: DataFrame, found: DataFrame, least: float) -> DataFrame:
+    """``(entity, term, disclosure)`` of every pair of at least that disclosure; texts are masked."""
+    holders = found.select("entity", "h").distinct()
+    # An entity in fewer texts has no pair with enough of them.
+    often = holders.groupBy("entity").count().where(F.col("count") >= LEAST_TEXTS).select("entity")
+    holders = kept_table(holders.join(often, "entity"), "holders")
+    held = texts.join(sized_broadcast(holders.select("h").distinct(), BROADCAST_TERMS), "h", "left_semi")
+    words = held.select("h", F.explode(_words()).alias("word")).groupBy("h", F.lower("word").alias("term"))
+    words = kept_table(words.agg(F.count("*").alias("n")), "held")
+    vocabulary = kept_table(words.groupBy("term").agg(F.countDistinct("h").alias("texts")), "terms")
+    vocabulary = vocabulary.where(F.col("texts") >= LEAST_TEXTS).select("term")
+    spoken = texts.select(F.explode(_words()).alias("word")).select(F.lower("word").alias("word"))
+    # The null group holds all other words, so one pass gives the total as well.
     known = sized_broadcast(vocabulary, BROADCAST_TERMS)
     counts = kept_table(
         spoken.join(known, spoken.word == known.term, "left").groupBy("term").agg(F.count("*").alias("spoken")), "counts"
     )
-    total = counts.agg(F.sum("spoken")).first()[0] or 0
-    seen = words.groupBy("entity", "term", "h").agg(F.count("*").alias("n"))
-    pairs = seen.groupBy("entity", "term").agg(F.sum("n").alias("together"), F.count("*").alias("texts"))
-    around = pairs.groupBy("entity").agg(F.sum("together").alias("near_entity"))
-    supported = pairs.where(F.col("texts") >= LEAST_TEXTS).join(around, "entity").join(counts, "term")
+    total = float(max(counts.agg(F.sum("spoken")).first()[0] or 0, 1))
+    sizes = words.groupBy("h").agg(F.sum("n").alias("size"))
+    around = holders.join(sizes, "h").groupBy("entity").agg(F.sum("size").alias("near_entity"))
+    # A term reaches ``least`` only if p(e | t) is at least p(e) ** (1 - least), and it is not said with the
+    # entity more often than all words are: pairs that fail this by more than rounding are never counted.
+    share = F.pow(F.col("near_entity") / total, 1 - least)
+    possible = F.col("spoken") * share * 0.999 <= F.col("near_entity")
+    pairs = holders.join(around, "entity").join(words.join(counts, "term"), "h").where(possible)
+    pairs = pairs.groupBy("entity", "term").agg(
+        F.sum("n").alias("together"),
+        F.count("*").alias("texts"),
+        F.first("spoken").alias("spoken"),
+        F.first("near_entity").alias("near_entity"),
+    )
     revealed = F.log2(F.col("together") / F.col("spoken"))
-    information = -F.log2(F.col("near_entity") / F.lit(float(max(total, 1))))
-    return supported.select(
-        "entity", "term", F.when(information > 0, 1 + revealed / information).otherwise(0.0).alias("disclosure")
+    information = -F.log2(F.col("near_entity") / total)
+    value = F.when(information > 0, 1 + revealed / information).otherwise(0.0)
+    supported = pairs.where(F.col("texts") >= LEAST_TEXTS).select("entity", "term", value.alias("disclosure"))
+    return supported.where(F.col("disclosure") >= least)
+
+
+def _occurrences(texts: DataFrame, telling: DataFrame) -> DataFrame:
+    """``(doc, h, start, end, label)`` of every word of the corpus that is one of ``telling(term, label)``."""
+    known = sized_broadcast(telling, BROADCAST_TERMS)
+    said = texts.select("doc", "h", F.explode(F.array_distinct(_words())).alias("word"))
+    said = said.withColumn("term", F.lower("word")).join(known, "term", "left_semi")
+    ids = sized_broadcast(kept_table(said.select("doc", "h").distinct(), "telling_texts"), BROADCAST_TERMS)
+    cut = texts.join(ids, ["doc", "h"], "left_semi").select(
+        "doc", "h", _words().alias("words"), F.split("text", WORD, -1).alias("gaps")
+    )
+    place = lambda word, i: F.struct(
+        i.alias("i"), word.alias("word"), F.length(F.get(F.col("gaps"), i)).alias("gap")
+    )
+    rows = cut.select("doc", "h", F.explode(F.transform("words", place)).alias("w")).select("doc", "h", "w.*")
+    rows = rows.repartition("doc", "h").dropDuplicates(["doc", "h", "i"])
+    so_far = Window.partitionBy("doc", "h").orderBy("i")
+    rows = rows.withColumn("end", F.sum((F.col("gap") + F.length("word")).cast("long")).over(so_far))
+    return rows.withColumn("term", F.lower("word")).join(known, "term").select(
+        "doc", "h", (F.col("end") - F.length("word")).alias("start"), "end", "label"
     )
 
 
 def spans(docs: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
     """``(doc, h, kind, start, end, label)`` of all personal data and disclosing terms, one row per span."""
     found = kept_table(entities(docs), "entities")
-    words = kept_table(_context_words(found), "contexts")
-    telling = disclosures(docs, words).where(F.col("disclosure") >= generalise)
+    texts = kept_table(_masked(docs, found), "masked")
+    most = disclosures(texts, found, generalise).groupBy("term").agg(F.max("disclosure").alias("disclosure"))
     label = F.when(F.col("disclosure") >= remove, "").otherwise(GENERAL)
-    terms = (
-        words.join(telling, ["entity", "term"])
-        .groupBy("doc", "h", "start", "end")
-        .agg(F.min(label).alias("label"))
-        .select("doc", "h", F.lit(len(PATTERNS)).alias("kind"), "start", "end", "label")
+    telling = kept_table(most.select("term", label.alias("label")), "telling")
+    terms = _occurrences(texts, telling).select(
+        "doc", "h", F.lit(len(PATTERNS)).alias("kind"), "start", "end", "label"
     )
     labels = F.element_at(F.array(*map(F.lit, LABELS.values())), F.col("kind") + 1)
     return found.select("doc", "h", "kind", "start", "end", labels.alias("label")).unionByName(terms)
@@ -252,38 +290,15 @@ def sanitised(docs: DataFrame) -> DataFrame:
     Spans that overlap are replaced as one, by the label of the first. Texts
     without a span, nulls among them, come out as they were.
     """
-    in_order = Window.partitionBy("doc", "h").orderBy("start", "kind")
-    before = F.max("end").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
-    islands = (
-        spans(docs)
-        .withColumn("reached", before)
-        .withColumn("fresh", (F.col("reached").isNull() | (F.col("start") >= F.col("reached"))).cast("int"))
-        .withColumn("island", F.sum("fresh").over(in_order))
-        .groupBy("doc", "h", "island")
-        .agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min_by("label", F.struct("start", "kind")).alias("label"))
-    )
-    by_island = Window.partitionBy("doc", "h").orderBy("island")
-    cuts = islands.withColumn("after", F.coalesce(F.lag("end").over(by_island), F.lit(0)))
-    cuts = cuts.groupBy("doc", "h").agg(
-        F.sort_array(F.collect_list(F.struct("start", "after", "label"))).alias("cuts"), F.max("end").alias("last")
-    )
-    text, cut = F.col("text"), F.col("__cuts")
-    edited = F.concat(
-        F.array_join(
-            F.transform(
-                cut["cuts"],
-                lambda c: F.concat(
-                    F.substring(text, (c["after"] + 1).cast("int"), (c["start"] - c["after"]).cast("int")), c["label"]
-                ),
-            ),
-            "",
-        ),
-        F.substring(text, (cut["last"] + 1).cast("int"), F.length(text)),
+    # Names that no column of docs has.
+    doc, h, cuts_of = (f"{max(docs.columns, key=len)}_{name}" for name in ("doc", "h", "cuts"))
+    text, cut = F.col("text"), F.col(cuts_of)
+    keys = {doc: _id(), h: F.xxhash64(F.coalesce("text", F.lit("")))}
+    cuts = _cuts(_islands(spans(docs))).select(
+        F.col("doc").alias(doc), F.col("h").alias(h), F.col("cuts").alias(cuts_of)
     )
-    keys = {"__doc": _id(), "__h": F.xxhash64(F.coalesce("text", F.lit("")))}
-    cuts = cuts.select(F.col("doc").alias("__doc"), F.col("h").alias("__h"), F.struct("cuts", "last").alias("__cuts"))
-    joined = docs.withColumns(keys).join(cuts, ["__doc", "__h"], "left")
-    new = joined.withColumn("text", F.when(cut.isNotNull(), edited).otherwise(text))
+    joined = docs.withColumns(keys).join(cuts, [doc, h], "left")
+    new = joined.withColumn("text", F.when(cut.isNotNull(), _edited(text, cut)).otherwise(text))
     if "n_chars" in docs.columns:
         size = F.when(cut.isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType))
         new = new.withColumn("n_chars", size.otherwise(F.col("n_chars")))

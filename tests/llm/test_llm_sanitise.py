@@ -109,3 +109,20 @@ def test_sanitised_text_keeps_columns_and_rows(spark):
     revealing = {r.doc_id: r.text for r in sanitise.sanitised(told(spark)).collect()}
     assert all("quill" not in revealing[n] and "a.b@c.de" not in revealing[n] for n in range(6))
     assert sanitise.sanitised(documents(spark, [])).count() == sanitise.report(documents(spark, [])).count() == 0
+
+
+def test_terms_far_from_the_entity_and_without_it(spark):
+    """The name stands in the greeting, the address in the signature; one text has the name alone."""
+    far = " and the rest of it" * 6
+    rows = [(n, f"Quill zz{n},{far} {'it ' * n}a.b@c.de") for n in range(6)]
+    rows += [(50, "and then quill said the rest, Quill")]
+    rows += [(100 + n, f"the rest of it and at zz{n} and the rest at") for n in range(1000)]
+    docs = documents(spark, rows)
+    texts, found = dict(rows), by_id(sanitise.report(docs))
+    terms = {
+        i: [texts[i][int(a) : int(b)] for k, a, b in (s.split(":") for s in r.spans.split(",") if s) if k == "term"]
+        for i, r in found.items()
+    }
+    expect = {**{i: [] for i in texts}, **{n: ["Quill"] for n in range(6)}, 50: ["quill", "Quill"]}
+    assert terms == expect
+    assert all("quill" not in (r.text or "").lower() for r in sanitise.sanitised(docs).collect())
