@@ -46,3 +46,44 @@ SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_it
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM w LEFT JOIN n USING (doc_id) LEFT JOIN t USING (doc_id)
 """
+
+STATEMENTS["op13_filter_audit"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), l AS (
+  SELECT doc_id, max(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id
+), f AS (
+  SELECT part, coalesce(quality = 1, false) AS good, coalesce(toxic = 1, false) AS toxic,
+         len(words) < 100 AS a,
+         100 * len(list_distinct(words)) < 80 * len(words) AS b,
+         100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text) AS c,
+         regexp_matches(text, '[#$%&*|]') AS d,
+         coalesce(min(d.doc_id) OVER (PARTITION BY text) < d.doc_id, false) AS e
+  FROM d LEFT JOIN l ON l.doc_id = d.doc_id
+), m AS (
+  SELECT part, a::INT + 2 * b::INT + 4 * c::INT + 8 * d::INT + 16 * e::INT AS mask,
+         count(*) AS n, count(*) FILTER (good) AS good_n, count(*) FILTER (toxic) AS toxic_n
+  FROM f GROUP BY ALL
+), p AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS letter
+), o AS (
+  SELECT p1.letter || p2.letter || p3.letter || p4.letter || p5.letter AS filter_order
+  FROM p p1, p p2, p p3, p p4, p p5
+  WHERE len(list_distinct([p1.letter, p2.letter, p3.letter, p4.letter, p5.letter])) = 5
+), s AS (
+  SELECT filter_order, step::INT AS step, 1 << (ascii(filter_order[step]) - 65) AS bit,
+         coalesce(list_sum([1 << (ascii(filter_order[i]) - 65) FOR i IN range(1, step)]), 0)::INT AS earlier
+  FROM o, range(1, 6) r(step)
+)
+SELECT part, filter_order, step,
+       sum(CASE WHEN mask & (bit | earlier) = 0 THEN n ELSE 0 END)::BIGINT AS kept,
+       sum(CASE WHEN mask & bit <> 0 AND mask & earlier = 0 THEN n ELSE 0 END)::BIGINT AS removed,
+       sum(CASE WHEN mask & bit <> 0 AND mask & earlier <> 0 THEN n ELSE 0 END)::BIGINT AS redundant,
+       sum(CASE WHEN mask = bit THEN n ELSE 0 END)::BIGINT AS unique_fails,
+       sum(CASE WHEN mask & bit <> 0 AND mask & earlier = 0 THEN good_n ELSE 0 END)::BIGINT AS good_lost,
+       sum(CASE WHEN mask & bit <> 0 AND mask & earlier = 0 THEN toxic_n ELSE 0 END)::BIGINT AS toxic_lost,
+       sum(CASE WHEN mask & bit <> 0 THEN n * (120 // bit_count(mask)) ELSE 0 END)::BIGINT AS shapley
+FROM m, s GROUP BY part, filter_order, step
+"""

@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytally.llm import archive, bpe, decontaminate, language_id, maxent, minhash, sanitise, simhash, toxicity, url_filter
+from skytally.llm import (
+    archive,
+    bpe,
+    decontaminate,
+    filter_audit,
+    language_id,
+    maxent,
+    minhash,
+    sanitise,
+    simhash,
+    toxicity,
+    url_filter,
+)
 from skytally.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,6 +122,12 @@ def op1_disguised_toxicity(spark, sf_dir):
     )
 
 
+@query
+def op13_filter_audit(spark, sf_dir):
+    """What each of five filters removes in every order, by language."""
+    return filter_audit.audit(spark, f"{sf_dir}/documents.parquet", table(spark, sf_dir, "labels"))
+
+
 @query
 def pipeline(spark, sf_dir):
     """The corpus pipeline, from documents to token ids."""

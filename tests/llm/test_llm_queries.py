@@ -22,7 +22,7 @@ def sql():
 
 
 def test_all_are_registered():
-    assert {name.split("_")[0] for name in queries.QUERIES} == {*(f"op{n}" for n in range(1, 11)), "pipeline"}
+    assert {name.split("_")[0] for name in queries.QUERIES} == {*(f"op{n}" for n in range(1, 14)), "pipeline"}
     assert set(queries.QUERIES) <= set(contract.queries()) and set(oracle.STATEMENTS) <= set(queries.QUERIES)
 
 
