@@ -87,3 +87,36 @@ SELECT part, filter_order, step,
        sum(CASE WHEN mask & bit <> 0 THEN n * (120 // bit_count(mask)) ELSE 0 END)::BIGINT AS shapley
 FROM m, s GROUP BY part, filter_order, step
 """
+
+STATEMENTS["op11_ranked_search"] = r"""
+WITH w AS (
+  SELECT doc_id, row_number() OVER () AS r,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), q AS (
+  SELECT item_id, term, count(*) AS mult
+  FROM (SELECT item_id, unnest(regexp_extract_all(
+          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+  GROUP BY ALL
+), c AS (
+  SELECT count(*)::BIGINT AS n_docs, sum(len(words))::BIGINT AS n_terms FROM w WHERE len(words) > 0
+), m AS (
+  SELECT r, doc_id, 25 + (75 * len(words)::BIGINT * n_docs) // n_terms AS m FROM w, c WHERE len(words) > 0
+), p AS (
+  SELECT r, term, count(*)::BIGINT AS tf FROM (SELECT r, unnest(words) AS term FROM w)
+  WHERE term IN (SELECT term FROM q) GROUP BY ALL
+), d AS (
+  SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS weight
+  FROM p, c GROUP BY term
+), s AS (
+  SELECT item_id, r, sum(mult * weight * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM q JOIN d USING (term) JOIN p USING (term) JOIN m USING (r) GROUP BY item_id, r
+)
+SELECT item_id, rank::INT AS rank, doc_id, score
+FROM (SELECT item_id, doc_id, score,
+             row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id ASC NULLS LAST) AS rank
+      FROM s JOIN m USING (r) WHERE score > 0)
+WHERE rank <= 10
+"""

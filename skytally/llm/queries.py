@@ -15,6 +15,7 @@ from skytally.llm import (
     language_id,
     maxent,
     minhash,
+    ranked_search,
     sanitise,
     simhash,
     toxicity,
@@ -122,6 +123,12 @@ def op1_disguised_toxicity(spark, sf_dir):
     )
 
 
+@query
+def op11_ranked_search(spark, sf_dir):
+    """The ten highest-scoring documents of every benchmark item."""
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op13_filter_audit(spark, sf_dir):
     """What each of five filters removes in every order, by language."""
