@@ -90,8 +90,9 @@ def test_empty_tables(spark):
     assert found(spark, mixed(5), [(1, ""), (2, None)]) == set()
 
 
-def test_blocks_bound_their_documents_and_most_are_skipped(spark):
+def test_blocks_bound_their_documents_and_many_are_skipped(spark, monkeypatch):
     """Every document's score is below the bound of its block in the list of its rarest term."""
+    monkeypatch.setattr(ranked_search, "BLOCK_DOCS", 4)
     docs = mixed(880, 2000)
     items = [(i, prose(5000 + i, 20, 2000)) for i in range(6)]
     frame = documents(spark, docs)
