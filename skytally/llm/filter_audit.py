@@ -49,8 +49,13 @@ TEXTS_PER_STATE = 256
 #: Rows that a task folds in memory at a time.
 FOLDED_ROWS = 100_000
 
-ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+#: State on disk, kept as change logs, and no room set aside ahead: a store of every partition would take megabytes.
+STATE = "spark.sql.streaming.stateStore"
+STATE_SETTINGS = {
+    f"{STATE}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    f"{STATE}.rocksdb.changelogCheckpointing.enabled": "true",
+    f"{STATE}.rocksdb.allowFAllocate": "false",
+}
 
 COUNTERS = "part string, mask int, good boolean, toxic boolean, delta long"
 FOLDED = "bucket long, digest string, part string, mask int, good boolean, toxic boolean, n long, known boolean, least long, n_least long"
@@ -217,8 +222,9 @@ def counted(
         sums = batch.groupBy(*keys).agg(F.sum("delta").alias("delta"))
         sums.write.mode("overwrite").parquet(f"{folder}/counters/batch={batch_id}")
 
-    before = spark.conf.get(PROVIDER)
-    spark.conf.set(PROVIDER, ROCKS)
+    before = {key: spark.conf.get(key, None) for key in STATE_SETTINGS}
+    for key, value in STATE_SETTINGS.items():
+        spark.conf.set(key, value)
     try:
         query = (
             deltas.writeStream.foreachBatch(add)
@@ -228,7 +234,8 @@ def counted(
         )
         query.awaitTermination()
     finally:
-        spark.conf.set(PROVIDER, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     spark.createDataFrame([], COUNTERS).write.mode("overwrite").parquet(f"{folder}/counters/batch=-1")
     written = spark.read.schema(COUNTERS).option("recursiveFileLookup", True).parquet(f"{folder}/counters")
     return written.groupBy(*keys).agg(F.sum("delta").alias("n")).where("n <> 0")
