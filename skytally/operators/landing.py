@@ -79,6 +79,13 @@ def stamp(rows: DataFrame, ingested_at: dt.datetime) -> DataFrame:
     return rows.withColumnRenamed("run_id", "ingestion_run_id").withColumn("ingested_at", instant(ingested_at))
 
 
+def reject_maps(validated: DataFrame) -> DataFrame:
+    """``(run_id, reject_reasons)``: how many rows of a run were rejected for which reason."""
+    counts = validated.where(F.col("pos").isNotNull() & F.col("reason").isNotNull()).groupBy("run_id", "reason").count()
+    entries = F.array_sort(F.collect_list(F.struct("reason", "count")))  # one for each reason there is
+    return counts.groupBy("run_id").agg(F.map_from_entries(entries).alias("reject_reasons"))
+
+
 def judge(payloads: DataFrame, load_id: str, as_of: dt.datetime) -> DataFrame:
     """Payloads to validated rows, in one pass; payloads without rows keep one empty row."""
     opened = open_payloads(payloads.withColumn("run_id", ledger.run_id(load_id)))
@@ -86,7 +93,7 @@ def judge(payloads: DataFrame, load_id: str, as_of: dt.datetime) -> DataFrame:
 
 
 def _require_same_runs(lake: Lake, load_id: str, runs: DataFrame) -> None:
-    recorded = lake.ledger().where(F.col("load_id") == load_id).select("run_id").distinct()
+    recorded = lake.ledger(load_id=load_id).select("run_id").distinct()
     if recorded.isEmpty():
         return
     both = recorded.withColumn("recorded", F.lit(1)).join(runs.withColumn("given", F.lit(1)), "run_id", "full_outer")
@@ -123,30 +130,26 @@ def land_snapshots(
             F.max(F.unix_micros("observed_at")).alias("last"),
             F.collect_set(F.to_date("observed_at")).alias("dates"),
         ).first()
+        seen = lake.observations.current()
+        fresh = first_wins(valid)
         if span.dates:
-            landed = (
-                lake.landing(span.dates)
-                .where(F.col("load_id") != load_id)
-                .where(
-                    F.col("observed_at").between(
-                        F.timestamp_micros(F.lit(span.first)), F.timestamp_micros(F.lit(span.last))
-                    )
+            landed = lake.landing(span.dates, version=seen, without=load_id).where(
+                F.col("observed_at").between(
+                    F.timestamp_micros(F.lit(span.first)), F.timestamp_micros(F.lit(span.last))
                 )
             )
             wanted = valid.select(*OBSERVATION_KEY).distinct()
-            fresh = not_landed(first_wins(valid), landed, wanted=wanted)
-            lake.append(stamp(fresh, as_of), load_id)
+            fresh = not_landed(fresh, landed, wanted=wanted)
+        unread = validated.where(F.col("pos").isNotNull() & F.col("reason").isNotNull())
+        rejected = unread.select("run_id", "reason", "raw", instant(as_of).alias("ingested_at"))
+        lake.append(stamp(fresh, as_of), load_id, rejected, seen)
 
         # Counted from the table itself: what was cached could be recomputed
         # against a landing that already holds this load.
-        inserted = (
-            lake.landing(span.dates or None)
-            .where(F.col("load_id") == load_id)
-            .select(F.col("ingestion_run_id").alias("run_id"))
-        )
+        inserted = lake.landing(span.dates, load_id=load_id).select(F.col("ingestion_run_id").alias("run_id"))
         scope = ["run_id", "payload_status", "api_snapshot_time"]
         done = finished_at or dt.datetime.now(dt.timezone.utc)
-        accounting = account(validated, inserted, scope)
+        accounting = account(validated, inserted, scope).join(reject_maps(validated), "run_id", "left")
         lake.record(ledger.finished(accounting, feed, load_id, as_of, done))
     except Exception as error:
         done = finished_at or dt.datetime.now(dt.timezone.utc)

@@ -32,6 +32,7 @@ def run_id(load_id: str) -> Column:
 
 def _event(runs: DataFrame, feed: Feed, load_id: str, started_at: dt.datetime, kind, **outcome: Column) -> DataFrame:
     name, seq = kind
+    reasons = outcome.pop("reject_reasons", F.lit(None))
     known = {
         "source": F.lit(feed.source),
         "source_endpoint": F.lit(feed.endpoint),
@@ -50,6 +51,7 @@ def _event(runs: DataFrame, feed: Feed, load_id: str, started_at: dt.datetime, k
         "run_id",
         *columns,
         F.lit(seq).alias("event_seq"),
+        reasons.cast("map<string,bigint>").alias("reject_reasons"),
         F.lit(load_id).alias("load_id"),
         F.lit(name).alias("event"),
     )
@@ -63,7 +65,11 @@ def started(runs: DataFrame, feed: Feed, load_id: str, started_at: dt.datetime)
 def finished(
     accounting: DataFrame, feed: Feed, load_id: str, started_at: dt.datetime, finished_at: dt.datetime
 ) -> DataFrame:
-    """Outcome per run; a run whose payload was unusable has failed and has no counts."""
+    """Outcome per run; a run whose payload was unusable has failed and has no counts.
+
+    ``accounting`` may carry ``reject_reasons``, the counts by reason.
+    """
+    reasons = F.col("reject_reasons") if "reject_reasons" in accounting.columns else F.lit(None)
     usable = F.col("payload_status") == "ok"
     messages = F.create_map(*[F.lit(x) for pair in PAYLOAD_ERRORS.items() for x in pair])
     return _event(
@@ -77,6 +83,7 @@ def finished(
         http_status=F.when(usable, 200),
         api_snapshot_time=F.col("api_snapshot_time"),
         error_message=F.when(~usable, clipped(F.try_element_at(messages, F.col("payload_status")))),
+        reject_reasons=F.when(usable, reasons),
         **{c: F.when(usable, F.col(c)) for c in ("rows_received", "rows_rejected", "rows_inserted", "rows_duplicate")},
     )
 
@@ -110,6 +117,12 @@ def run_states(events: DataFrame) -> DataFrame:
     )
 
 
+def run_reject_reasons(events: DataFrame) -> DataFrame:
+    """``(run_id, reason, row_count)`` as the runs' last events hold them."""
+    latest = events.groupBy("run_id").agg(F.max_by("reject_reasons", "event_seq").alias("reasons"))
+    return latest.select("run_id", F.explode("reasons").alias("reason", "row_count"))
+
+
 def snapshot_lag(runs: DataFrame, as_of: dt.datetime | Column) -> DataFrame:
     """Age of the served snapshot when it was received, in seconds."""
     return runs.where(F.col("api_snapshot_time").isNotNull()).withColumn(

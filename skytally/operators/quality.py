@@ -79,6 +79,12 @@ def state_vector_rules() -> dict[str, Column]:
     }
 
 
+def landing_rules() -> dict[str, Column]:
+    """What a row must keep to be landed: its key, its run and its flag are there, and its values in range."""
+    needed = ("icao24", "observed_at", "on_ground", "ingestion_run_id")
+    return {f"{c}_missing": F.col(c).isNull() for c in needed} | state_vector_rules()
+
+
 def ingestion_run_rules() -> dict[str, Column]:
     return {
         "status_known": outside_values("status", RUN_STATUSES),
@@ -150,26 +156,17 @@ def reconcile_hourly(hourly: DataFrame, gridded: DataFrame, as_of: dt.datetime |
 
 
 def newest_ingest(landed: DataFrame) -> DataFrame:
-    """One row: ``last_ingested_at``.
-
-    On a table foldered by day, the newest day gives a lower bound first. With it
-    as a filter the row group statistics rule out nearly all older data.
-    """
-    newest = F.max("ingested_at").alias("last_ingested_at")
-    if "observed_date" not in landed.columns:
-        return landed.agg(newest)
-    day = landed.agg(F.max("observed_date")).first()[0]
-    if day is None:
-        return landed.agg(newest)
-    recent = landed.where(F.col("observed_date") == F.lit(day))
-    bound = recent.agg(F.max(F.unix_micros("ingested_at"))).first()[0]
-    if bound is None:
-        return landed.agg(newest)
-    return landed.where(F.col("ingested_at") >= F.timestamp_micros(F.lit(bound))).agg(newest)
+    """One row: ``last_ingested_at``. A frame of just that column, as a lake keeps it, is passed through."""
+    if landed.columns == ["last_ingested_at"]:
+        return landed
+    return landed.agg(F.max("ingested_at").alias("last_ingested_at"))
 
 
 def source_freshness(landed: DataFrame, as_of: dt.datetime | Column) -> DataFrame:
-    """Whether the landing is fresh, worth a warning, or an error; an empty one is an error."""
+    """Whether the landing is fresh, worth a warning, or an error; an empty one is an error.
+
+    Takes landed rows, or the one row of :func:`newest_ingest`.
+    """
     age = F.col("age_seconds")
     return (
         newest_ingest(landed)

@@ -468,14 +468,20 @@ _COST = "CASE WHEN area <= 25 THEN 1 WHEN area <= 100 THEN 2 WHEN area <= 400 TH
 _DATES = {
     "daily_activity": ("activity_date",),
     "daily_profile": ("activity_date",),
+    "daily_refresh": ("activity_date",),
+    "quarantined_rows": ("day",),
     **dict.fromkeys(
-        ("staged_profile", "idempotent_insert", "region_filter", "dup_keys", "not_null_violations", "range_violations"),
+        (
+            "staged_profile", "idempotent_insert", "region_filter", "dup_keys", "not_null_violations",
+            "range_violations", "compacted_landing",
+        ),
         ("observed_date",),
     ),
 }
 _SPARSE = {
     "staged_runs": ("http_status",),
     "ledger_state": ("rows_received", "rows_inserted"),
+    "compacted_ledger": ("rows_received", "rows_inserted"),
     "reconcile_hourly": ("mart_observations", "source_observations"),
     "stream_land": ("rows_received", "rows_rejected", "rows_inserted", "rows_duplicate"),
 }
@@ -487,6 +493,21 @@ def _plain(name: str, sql: str) -> str:
     return f"SELECT * REPLACE ({', '.join(casts)}) FROM ({sql})" if casts else sql
 
 
+def _two_feeds() -> str:
+    return _with(
+        STATES,
+        select="""SELECT 2 * count(*) AS runs,
+            CAST(2 * sum(rows_received) FILTER (WHERE payload_status = 'ok') AS BIGINT) AS rows_received,
+            CAST(2 * sum(rows_rejected) FILTER (WHERE payload_status = 'ok') AS BIGINT) AS rows_rejected,
+            CAST(sum(rows_inserted) FILTER (WHERE payload_status = 'ok') AS BIGINT) AS rows_inserted,
+            CAST(sum(2 * rows_received - 2 * rows_rejected - rows_inserted)
+                FILTER (WHERE payload_status = 'ok') AS BIGINT) AS rows_duplicate,
+            CAST(sum(rows_inserted) AS BIGINT) AS landed_rows,
+            CAST(sum(rows_inserted) AS BIGINT) AS landed_keys
+        FROM accounting""",
+    )
+
+
 def statements() -> dict[str, str]:
     return {name: _plain(name, sql) for name, sql in _statements().items()}
 
@@ -779,6 +800,49 @@ def _statements() -> dict[str, str]:
             UNION ALL SELECT 'daily', count(*), CAST(sum(observation_count) AS BIGINT) FROM daily
             UNION ALL SELECT 'health', count(*), CAST(sum(run_count) AS BIGINT) FROM health""",
         ),
+        "daily_refresh": _with(*_TO_GRID, DAILY, select="SELECT * FROM daily"),
+        "quarantined_rows": _with(
+            FAULTY_OBS,
+            """judged AS (SELECT *, CASE WHEN icao24 IS NULL THEN 'icao24_missing'
+                    WHEN on_ground IS NULL THEN 'on_ground_missing'
+                    WHEN latitude NOT BETWEEN -90 AND 90 THEN 'latitude_range'
+                    WHEN longitude NOT BETWEEN -180 AND 180 THEN 'longitude_range'
+                    WHEN NOT (true_track_deg >= 0 AND true_track_deg < 360) THEN 'true_track_range'
+                    WHEN icao24 <> lower(icao24) OR length(icao24) NOT BETWEEN 1 AND 12 THEN 'icao24_form'
+                END AS reason FROM obs)""",
+            select="""SELECT reason, CAST(CASE WHEN reason IS NULL THEN observed_at ELSE ingested_at END AS DATE) AS day,
+                count(*) AS row_count, count(DISTINCT ingestion_run_id) AS run_count
+            FROM judged GROUP BY 1, 2""",
+        ),
+        "run_reject_reasons": _with(
+            STATES,
+            select="""SELECT api_snapshot_time, reason, count(*) AS row_count FROM states
+            WHERE reason IS NOT NULL GROUP BY k, api_snapshot_time, reason""",
+        ),
+        "stored_identity_guard": """SELECT * FROM (VALUES ('airspace_activity_hourly', 16, 0),
+            ('airspace_activity_daily', 11, 0), ('ingestion_health', 16, 0))
+            AS t(table_name, column_count, identity_columns)""",
+        "stored_freshness": _with(
+            OBS,
+            select="""SELECT *, CASE WHEN age_seconds > 21600 THEN 'error' WHEN age_seconds > 1800 THEN 'warn'
+                ELSE 'pass' END AS status
+            FROM (SELECT max(ingested_at) AS last_ingested_at,
+                (epoch_us(TIMESTAMP '2024-01-31 08:00:00') - epoch_us(max(ingested_at))) / 1e6 AS age_seconds
+                FROM obs)""",
+        ),
+        "compacted_ledger": _with(
+            RUNS,
+            select="""SELECT run_id, status, started_at, finished_at, rows_received, rows_inserted, error_message
+            FROM runs""",
+        ),
+        "compacted_landing": _with(
+            OBS,
+            f"""loads AS (SELECT CAST(observed_at AS DATE) AS observed_date, count(*) AS row_count,
+                    count(DISTINCT CAST(ingestion_run_id AS BIGINT) % 5) AS loads FROM obs GROUP BY 1)""",
+            select=f"""SELECT observed_date, row_count, loads,
+                CASE WHEN observed_date < {LANDED_UNTIL} THEN 1 ELSE loads END AS folders FROM loads""",
+        ),
+        "stream_two_writers": _two_feeds(),
         "stream_land": _with(
             STATES,
             select="""SELECT api_snapshot_time,
@@ -793,18 +857,7 @@ def _statements() -> dict[str, str]:
                 CASE WHEN payload_status = 'ok' THEN CAST(rows_duplicate AS INTEGER) END AS rows_duplicate
             FROM accounting""",
         ),
-        "stream_two_feeds": _with(
-            STATES,
-            select="""SELECT 2 * count(*) AS runs,
-                CAST(2 * sum(rows_received) FILTER (WHERE payload_status = 'ok') AS BIGINT) AS rows_received,
-                CAST(2 * sum(rows_rejected) FILTER (WHERE payload_status = 'ok') AS BIGINT) AS rows_rejected,
-                CAST(sum(rows_inserted) FILTER (WHERE payload_status = 'ok') AS BIGINT) AS rows_inserted,
-                CAST(sum(2 * rows_received - 2 * rows_rejected - rows_inserted)
-                    FILTER (WHERE payload_status = 'ok') AS BIGINT) AS rows_duplicate,
-                CAST(sum(rows_inserted) AS BIGINT) AS landed_rows,
-                CAST(sum(rows_inserted) AS BIGINT) AS landed_keys
-            FROM accounting""",
-        ),
+        "stream_two_feeds": _two_feeds(),
         "stream_hourly": _with(
             *_TO_HOURLY,
             select="""SELECT activity_hour, grid_lat, grid_lon, altitude_band, observation_count,

@@ -30,6 +30,7 @@ from skytally.schemas import (
     OBSERVATION_KEY,
     RUN_STATUSES,
 )
+from skytally.sources.tables import Marts
 
 
 @dataclass(frozen=True)
@@ -164,3 +165,13 @@ def contract_report(tables: dict[str, DataFrame]) -> DataFrame:
             count = lost.agg(F.coalesce(F.sum("row_count"), F.lit(0)).alias("_n"))
             parts.append(count.select(*_outcome(table, "relationships", column, F.col("_n"))))
     return reduce(DataFrame.unionByName, parts)
+
+
+def stored_identity(marts: Marts) -> DataFrame:
+    """``(table_name, column_count, identity_columns)`` of what the published tables' files hold.
+
+    Read from the footers of every file, whoever wrote it, so a column that no
+    declared schema has is found too.
+    """
+    found = [(name, len(kind.fields), len(identity_columns(kind))) for name, kind in marts.stored_columns().items()]
+    return marts.spark.createDataFrame(found, "table_name string, column_count long, identity_columns long")

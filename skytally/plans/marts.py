@@ -14,6 +14,7 @@ from skytally.functions.columns import (
     percentage,
     resultant_length,
 )
+from skytally.operators.ledger import run_states
 from skytally.plans.staging import grid_observations, stage_observations, stage_runs
 from skytally.schemas import (
     ALTITUDE_BANDS,
@@ -163,18 +164,60 @@ def refresh_hourly(
     least = stored[1] if min_aircraft is None else min_aircraft
     if newest is not None and (grid, least) != stored:
         raise ValueError(f"the hourly table was built with {stored}; another grid or suppression needs a full refresh")
-    landed = lake.landing()
-    if newest is not None:
-        landed = since_bound(landed, newest - dt.timedelta(hours=lookback_hours))
-    hourly = publishable_hourly(landed, grid, least)
-    if newest is None:
-        marts.write_publishing(grid, least)
-    marts.write_hourly(hourly, replace_all=newest is None, files_per_hour=files_per_hour(grid))
+    bound = None if newest is None else newest - dt.timedelta(hours=lookback_hours)
+    landed = lake.landing() if bound is None else since_bound(lake.landing(since=bound.date()), bound)
+    marts.write_hourly(
+        publishable_hourly(landed, grid, least),
+        replace_all=bound is None,
+        since=bound,
+        files_per_hour=files_per_hour(grid),
+        grid_degrees=grid,
+        min_aircraft=least,
+    )
 
 
-def build_marts(lake: Lake, marts: Marts, runs: DataFrame, **hourly_options) -> None:
-    """Hourly incrementally, the small daily and health tables from scratch."""
+def refresh_daily(lake: Lake, marts: Marts, *, full_refresh: bool = False) -> None:
+    """Rebuild the days that rows have been landed for since the last build, however old they are."""
+    landed = lake.observations.current().number
+    built = marts.daily_table.current()
+    grid, least = marts.publishing()
+    facts = {"landing_version": landed, "grid_degrees": grid, "min_aircraft": least}
+    same = all(built.facts.get(k, facts[k]) == facts[k] for k in ("grid_degrees", "min_aircraft"))
+    if full_refresh or not built.number or not same:
+        rows = lake.landing()
+        kept = None
+    else:
+        days = lake.changed_days(built.facts["landing_version"])
+        if not days:
+            return
+        rows = lake.landing(days)
+        kept = marts.daily().where(~F.col("activity_date").isin(days))
+    daily = daily_activity(grid_observations(stage_observations(rows), grid))
+    # A row per day and band: the whole table is a small file.
+    marts.write_daily((daily if kept is None else kept.unionByName(daily)).coalesce(1), facts)
+
+
+def refresh_health(lake: Lake, marts: Marts) -> None:
+    """Rebuild the hours of the days whose runs have new events."""
+    recorded = lake.events.current().number
+    built = marts.health_table.current()
+    kept = None
+    events = lake.ledger()
+    if built.number and "ledger_version" in built.facts:
+        days = lake.changed_starts(built.facts["ledger_version"])
+        if not days:
+            return
+        events = lake.ledger(days)
+        kept = marts.health().where(~F.to_date("health_hour").isin(days))
+    health = ingestion_health(stage_runs(run_states(events)))
+    marts.write_health((health if kept is None else kept.unionByName(health)).coalesce(1), {"ledger_version": recorded})
+
+
+def build_marts(lake: Lake, marts: Marts, runs: DataFrame | None = None, **hourly_options) -> None:
+    """All three tables, each brought up to date; health from ``runs`` instead of the ledger if they are given."""
     refresh_hourly(lake, marts, **hourly_options)
-    gridded = grid_observations(stage_observations(lake.landing()), marts.publishing()[0])
-    marts.write_daily(daily_activity(gridded))
-    marts.write_health(ingestion_health(stage_runs(runs)))
+    refresh_daily(lake, marts, full_refresh=hourly_options.get("full_refresh", False))
+    if runs is None:
+        refresh_health(lake, marts)
+    else:
+        marts.write_health(ingestion_health(stage_runs(runs)))

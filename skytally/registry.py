@@ -343,12 +343,14 @@ def load_accounting(spark, sf_dir):
     return landing.account(judged, landing.first_wins(valid), scope)
 
 
+def _ledger_columns(states: DataFrame) -> DataFrame:
+    counts = ("rows_received", "rows_inserted")
+    return _sparse(states.select("run_id", "status", "started_at", "finished_at", *counts, "error_message"), *counts)
+
+
 @query
 def ledger_state(spark, sf_dir):
-    states = run_states(src.to_ledger_events(src.orders(spark, sf_dir))).select(
-        "run_id", "status", "started_at", "finished_at", "rows_received", "rows_inserted", "error_message"
-    )
-    return _sparse(states, "rows_received", "rows_inserted")
+    return _ledger_columns(run_states(src.to_ledger_events(src.orders(spark, sf_dir))))
 
 
 @query
@@ -592,6 +594,134 @@ def built_marts(spark, sf_dir):
     return totals[0].unionByName(totals[1]).unionByName(totals[2])
 
 
+@query
+def daily_refresh(spark, sf_dir):
+    """Late rows for old days rebuild those days of the daily table, and no others."""
+    root = shared_folder(spark, "daily")
+    lake, published = Lake(spark, f"{root}/raw"), Marts(spark, f"{root}/marts")
+    observed = _observations(spark, sf_dir)
+    late = (F.day("observed_at") % 7 == 3) & (F.hour("observed_at") == 5)
+    for name, part in (("early", ~late), ("late", late)):
+        lake.append(observed.where(part), name)
+        marts.refresh_daily(lake, published)
+    return published.daily()
+
+
+@query
+def quarantined_rows(spark, sf_dir):
+    """Where the rows of a faulty table went: landed by day, or set aside by day and first broken rule."""
+    lake = Lake(spark, f"{shared_folder(spark, 'quarantine')}/raw")
+    lake.append(_faulty_observations(spark, sf_dir), "all")
+    landed = lake.landing().groupBy(F.lit(None).cast("string").alias("reason"), F.col("observed_date").alias("day"))
+    aside = lake.quarantine().groupBy("reason", F.col("set_aside_date").alias("day"))
+    key = F.get_json_object("raw", "$.ingestion_run_id")
+    return (
+        landed.agg(F.count("*").alias("row_count"), F.countDistinct("ingestion_run_id").alias("run_count"))
+        .unionByName(aside.agg(F.count("*").alias("row_count"), F.countDistinct(key).alias("run_count")))
+    )
+
+
+@query
+def run_reject_reasons(spark, sf_dir):
+    """Rejected rows by reason, as the ledger keeps them for every run of a load."""
+    lake = Lake(spark, f"{shared_folder(spark, 'reasons')}/raw")
+    landing.land_snapshots(_payloads(spark, sf_dir), lake, "all", PAYLOADS_NOW)
+    times = run_states(lake.ledger()).select("run_id", "api_snapshot_time")
+    return ledger.run_reject_reasons(lake.ledger()).join(times, "run_id").drop("run_id")
+
+
+@query
+def stored_identity_guard(spark, sf_dir):
+    """Columns of the files that a build wrote, and how many of them would identify an aircraft."""
+    root = shared_folder(spark, "guard")
+    lake, published = Lake(spark, f"{root}/raw"), Marts(spark, f"{root}/marts")
+    lake.append(_observations(spark, sf_dir), "all")
+    marts.build_marts(lake, published, _runs(spark, sf_dir))
+    return contracts.stored_identity(published)
+
+
+@query
+def stored_freshness(spark, sf_dir):
+    """Freshness of a lake, from what its writers noted."""
+    lake = Lake(spark, f"{shared_folder(spark, 'freshness')}/raw")
+    observed = _observations(spark, sf_dir)
+    for name, even in (("even", True), ("odd", False)):
+        lake.append(observed.where((F.day("observed_at") % 2 == 0) == even), name)
+    return quality.source_freshness(lake.newest_ingest(), dt.datetime(2024, 1, 31, 8))
+
+
+@query
+def compacted_ledger(spark, sf_dir):
+    """The present state of runs whose events came in four loads and were gathered by day."""
+    lake = Lake(spark, f"{shared_folder(spark, 'ledger')}/raw")
+    events = src.to_ledger_events(src.orders(spark, sf_dir)).withColumn("reject_reasons", F.lit(None))
+    for part in range(4):
+        mine = events.where(F.pmod(F.crc32("run_id"), F.lit(4)) == part).withColumn("load_id", F.lit(f"load-{part}"))
+        for seq, name in (ledger.STARTED[::-1], ledger.FINISHED[::-1]):
+            lake.record(mine.where(F.col("event_seq") == seq).withColumn("event", F.lit(name)))
+    lake.compact(RUNS_NOW.date() + dt.timedelta(days=15))
+    return _ledger_columns(run_states(lake.ledger()))
+
+
+@query
+def compacted_landing(spark, sf_dir):
+    """Five loads of all days, gathered: folders, rows and loads of each day."""
+    lake = Lake(spark, f"{shared_folder(spark, 'compact')}/raw")
+    for part in range(5):
+        rows = _observations(spark, sf_dir).where(F.col("ingestion_run_id").cast("bigint") % 5 == part)
+        lake.append(rows, f"load-{part}")
+    lake.compact(LANDED_UNTIL.date())
+    folder = F.regexp_extract(F.col("_metadata.file_path"), "commit=([0-9a-f]+)", 1)
+    return (
+        lake.landing()
+        .groupBy("observed_date")
+        .agg(
+            F.countDistinct(folder).alias("folders"),
+            F.countDistinct("load_id").alias("loads"),
+            F.count("*").alias("row_count"),
+        )
+    )
+
+
+class _InterruptedLake(Lake):
+    """A lake in which another writer commits between this one's look and its own commit."""
+
+    meanwhile: Callable[[], None] | None = None
+
+    def append(self, *args, **kwargs):
+        work, self.meanwhile = self.meanwhile, None
+        if work:
+            work()
+        return super().append(*args, **kwargs)
+
+
+def _both_feeds(lake: Lake) -> DataFrame:
+    totals = run_states(lake.ledger()).agg(
+        F.count("*").alias("runs"),
+        *(F.sum(c).alias(c) for c in ("rows_received", "rows_rejected", "rows_inserted", "rows_duplicate")),
+    )
+    landed = lake.landing().agg(
+        F.count("*").alias("landed_rows"), F.countDistinct("icao24", "observed_at").alias("landed_keys")
+    ).first()
+    return totals.withColumns({name: F.lit(n) for name, n in landed.asDict().items()})
+
+
+@query
+def stream_two_writers(spark, sf_dir):
+    """Two streams land the same payloads; the second commits while the first is under way."""
+    root = shared_folder(spark, "writers")
+    _payloads(spark, sf_dir).write.parquet(f"{root}/inbox")
+    lake = _InterruptedLake(spark, f"{root}/raw")
+
+    def land(feed: str, into: Lake) -> None:
+        inbox = stream_landing.stream_payload_archive(spark, f"{root}/inbox")
+        stream_landing.land_stream(inbox, into, f"{root}/{feed}", name=feed, as_of=PAYLOADS_NOW).awaitTermination()
+
+    lake.meanwhile = lambda: land("second", Lake(spark, f"{root}/raw"))
+    land("first", lake)
+    return _both_feeds(lake)
+
+
 @query
 def stream_two_feeds(spark, sf_dir):
     """The payloads landed twice into one lake: by one stream, then by another in smaller batches.
@@ -604,14 +734,7 @@ def stream_two_feeds(spark, sf_dir):
     for feed, files in (("first", None), ("second", 1)):
         inbox = stream_landing.stream_payload_archive(spark, f"{root}/inbox", files)
         stream_landing.land_stream(inbox, lake, f"{root}/{feed}", as_of=PAYLOADS_NOW).awaitTermination()
-    totals = run_states(lake.ledger()).agg(
-        F.count("*").alias("runs"),
-        *(F.sum(c).alias(c) for c in ("rows_received", "rows_rejected", "rows_inserted", "rows_duplicate")),
-    )
-    landed = lake.landing().agg(
-        F.count("*").alias("landed_rows"), F.countDistinct("icao24", "observed_at").alias("landed_keys")
-    ).first()
-    return totals.withColumns({name: F.lit(n) for name, n in landed.asDict().items()})
+    return _both_feeds(lake)
 
 
 @query

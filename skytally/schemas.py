@@ -8,6 +8,7 @@ from pyspark.sql.types import (
     DoubleType,
     IntegerType,
     LongType,
+    MapType,
     ShortType,
     StringType,
     StructField,
@@ -98,7 +99,7 @@ INGESTION_RUNS = StructType(
     ]
 )
 
-# The landing and the ledger carry their partition columns after the data.
+# Landing and ledger carry the day they are foldered by, and the load, after the data.
 LANDING_TABLE = StructType(
     STATE_VECTORS.fields
     + [StructField("observed_date", DateType()), StructField("load_id", StringType())]
@@ -107,11 +108,18 @@ LEDGER_TABLE = StructType(
     INGESTION_RUNS.fields
     + [
         StructField("event_seq", IntegerType()),
+        StructField("reject_reasons", MapType(StringType(), LongType())),
         StructField("load_id", StringType()),
         StructField("event", StringType()),
     ]
 )
 
+# What a writer set aside: rows that could not be read or break a rule.
+QUARANTINE_TABLE = StructType(
+    [StructField(name, StringType()) for name in ("run_id", "reason", "raw", "load_id")]
+    + [StructField("set_aside_date", DateType())]
+)
+
 PAYLOADS = StructType(
     [StructField("payload", StringType()), StructField("source_file", StringType())]
 )

@@ -9,9 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from skytally.operators.landing import land_snapshots
-from skytally.operators.ledger import run_states
-from skytally.plans.marts import LATE_ARRIVAL_LOOKBACK_HOURS, ingestion_health, refresh_hourly
-from skytally.plans.staging import stage_runs
+from skytally.plans.marts import LATE_ARRIVAL_LOOKBACK_HOURS, refresh_health, refresh_hourly
 from skytally.schemas import PAYLOADS
 from skytally.settings import Feed
 from skytally.sources.tables import Lake, Marts
@@ -64,7 +62,7 @@ def land_stream(
         land_snapshots(batch, lake, load_name(lake.spark, name, checkpoint, batch_id), now, feed)
         if marts is not None:
             refresh_hourly(lake, marts, lookback_hours=lookback_hours)
-            marts.write_health(ingestion_health(stage_runs(run_states(lake.ledger()))))
+            refresh_health(lake, marts)
 
     return (
         payloads.writeStream.queryName(name)

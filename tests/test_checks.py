@@ -97,9 +97,12 @@ def test_source_freshness(spark, ago, status):
 def test_newest_ingest_may_lie_in_an_old_day(spark, lake):
     rows = landed(spark, 500, 3)
     rows = rows.withColumn("observed_at", F.when(F.minute("ingested_at") == 57, NOW - dt.timedelta(days=9)).otherwise(F.lit(NOW)))
-    lake.append(rows.withColumn("icao24", F.lit("a")), "a")
+    # Only rows with a key, a run and a flag are landed.
+    needed = {"icao24": F.lit("a"), "on_ground": F.lit(False), "ingestion_run_id": F.lit("run")}
+    lake.append(rows.withColumns(needed), "a")
     newest = only(quality.newest_ingest(lake.landing())).last_ingested_at
     assert newest == only(rows.agg(F.max("ingested_at").alias("m"))).m
+    assert only(lake.newest_ingest()).last_ingested_at == newest
 
 
 def test_ranges(spark):
