@@ -65,27 +65,55 @@ def epoch_to_timestamp(seconds: Column) -> Column:
     return F.when(in_calendar(seconds), F.timestamp_micros(micros))
 
 
-def open_payloads(payloads: DataFrame) -> DataFrame:
+def is_json(text: Column) -> Column:
+    """Whether a text is one JSON value; reads it token by token, so of any size."""
+    return F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
+
+
+def open_payloads(payloads: DataFrame, by_rows: bool = False) -> DataFrame:
     """Judge each payload as a whole.
 
+    A payload that does not fit a variant (16 MiB) is read row by row: every
+    element of ``states`` becomes a variant of its own, with the same outcome.
+    ``by_rows`` reads all of them that way.
+
     Adds ``payload_status`` ('ok' or a key of PAYLOAD_ERRORS), ``api_snapshot_time``
     and ``states`` (array of variants, empty unless the status is 'ok'), and drops
     the text. Whether ``states`` is a list is settled by the cast that is needed
     anyway: asking for the type of the whole list would merge the types of all rows.
     """
     repaired = F.regexp_replace("payload", NON_FINITE_WORDS, "1e400")
-    parsed = payloads.withColumn(
-        "_json", F.coalesce(F.try_parse_json("payload"), F.try_parse_json(repaired))
+    plain, mended = is_json(F.col("payload")), is_json(repaired)
+    whole = F.when(plain, F.try_parse_json("payload")).when(mended, F.try_parse_json(repaired))
+    parsed = payloads.withColumn("_json", F.lit(None).cast("variant") if by_rows else whole)
+    # Only what could not be parsed as a whole is looked at again. A row holds a
+    # large text once: no step carries on what a later one does not need.
+    large = F.when(plain, F.col("payload")).when(mended, repaired)
+    kept = [c for c in payloads.columns if c != "payload"]
+    texts = parsed.select(
+        *kept,
+        "_json",
+        F.startswith(F.ltrim(F.col("payload"), F.lit(" \t\r\n")), F.lit("{")).alias("_object"),
+        F.when(F.col("_json").isNull(), large).alias("_text"),
     )
-    parts = parsed.select(
-        "*",
-        F.try_variant_get("_json", "$.time", "variant").alias("_time"),
-        F.try_variant_get("_json", "$.states", "variant").alias("_states"),
+
+    def field(kind: str, name: str) -> Column:
+        return F.from_json("_text", f"{name} {kind}")[name]
+
+    inner = F.try_variant_get("_json", "$.states", "variant")
+    parts = texts.select(
+        *kept,
+        "_object",
+        (F.col("_json").isNotNull() | F.col("_text").isNotNull()).alias("_sound"),
+        # A value that is there but too large for a variant is not empty.
+        F.coalesce(F.array_contains(F.json_object_keys("_text"), "states"), F.lit(False)).alias("_there"),
+        F.coalesce(F.try_variant_get("_json", "$.time", "variant"), field("variant", "time")).alias("_time"),
+        F.coalesce(inner, field("variant", "states")).alias("_states"),
+        F.coalesce(inner.try_cast("array<variant>"), field("array<variant>", "states")).alias("_list"),
     ).select(
         "*",
         kind_of(F.col("_time")).alias("_time_kind"),
         as_double(F.col("_time")).alias("_seconds"),
-        F.expr("try_cast(_states AS ARRAY<VARIANT>)").alias("_list"),
     )
     # Anything empty counts as "no rows": null, false, zero, "" and {}.
     kind = kind_of(F.col("_states"))
@@ -97,15 +125,15 @@ def open_payloads(payloads: DataFrame) -> DataFrame:
         | F.coalesce((kind == "STRING") & (F.try_variant_get("_states", "$", "string") == ""), F.lit(False))
         | (kind == "OBJECT<>")
     )
+    empty = empty & ~(F.col("_states").isNull() & F.col("_there"))
     status = (
-        F.when(F.col("_json").isNull(), "not_json")
-        .when(~F.startswith(F.ltrim(F.col("payload"), F.lit(" \t\r\n")), F.lit("{")), "not_object")
+        F.when(~F.col("_sound"), "not_json")
+        .when(~F.col("_object"), "not_object")
         .when(F.col("_time").isNull() | ~is_number(F.col("_time_kind")), "time_unusable")
         .when(~in_calendar(F.col("_seconds")), "time_out_of_range")
         .when(F.col("_list").isNull() & ~empty, "states_not_list")
         .otherwise("ok")
     )
-    kept = [c for c in payloads.columns if c != "payload"]
     return parts.select(
         *kept,
         status.alias("payload_status"),
