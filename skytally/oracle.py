@@ -858,13 +858,7 @@ def _statements() -> dict[str, str]:
             FROM accounting""",
         ),
         "stream_two_feeds": _two_feeds(),
-        "stream_hourly": _with(
-            *_TO_HOURLY,
-            select="""SELECT activity_hour, grid_lat, grid_lon, altitude_band, observation_count,
-                avg_baro_altitude_ft, avg_velocity_kts, track_sample_count, dominant_track_deg, track_concentration,
-                first_observed_at, last_observed_at, last_ingested_at
-            FROM hourly""",
-        ),
+        "stream_hourly": _with(*_TO_HOURLY, select="SELECT * FROM hourly"),
         "stream_health": _with(*_TO_HEALTH, select="SELECT * FROM health"),
         "stream_dedup": _with(REPORTS, select=KEPT_PER_HOUR),
     }

@@ -750,33 +750,32 @@ def stream_land(spark, sf_dir):
     return _sparse(states, *counts)
 
 
-def _streamed(spark, purpose: str, table: DataFrame, keys: tuple, partial) -> DataFrame:
-    """Partials of a table that arrives in four batches, each holding rows of all times."""
+def _streamed(spark, purpose: str, table: DataFrame, keys: tuple, partial, merge) -> DataFrame:
+    """Partials of a table that arrives in five batches, each holding rows of all times; four are merged."""
     root = shared_folder(spark, purpose)
-    table.repartition(4, *keys).write.parquet(f"{root}/in")
+    table.repartition(5, *keys).write.parquet(f"{root}/in")
     stream = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
-    windows.append_partials(stream, partial, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    windows.append_partials(stream, partial, f"{root}/out", f"{root}/checkpoint", merge).awaitTermination()
     return windows.read_partials(spark, f"{root}/out")
 
 
 @query
 def stream_hourly(spark, sf_dir):
     events = src.events(spark, sf_dir)
-    parts = _streamed(spark, "hourly", events, ("event_id",), lambda b: windows.hourly_partials(src.to_observations(b)))
-    # Approximate counts have no exact counterpart to compare with.
-    return windows.merged_hours(parts).drop("approx_distinct_aircraft", "approx_contributing_runs")
+    partial = lambda batch: windows.hourly_partials(src.to_observations(batch))
+    return windows.merged_hours(_streamed(spark, "hourly", events, ("event_id",), partial, windows.merge_hours))
 
 
 @query
 def stream_health(spark, sf_dir):
     orders = src.orders(spark, sf_dir)
-    parts = _streamed(spark, "health", orders, ("o_orderkey",), lambda b: windows.health_partials(src.to_runs(b)))
-    return windows.merged_health(parts)
+    partial = lambda batch: windows.health_partials(src.to_runs(batch))
+    return windows.merged_health(_streamed(spark, "health", orders, ("o_orderkey",), partial, windows.merge_health))
 
 
 @query
 def stream_dedup(spark, sf_dir):
     order = ("api_snapshot_time", "pos")
     reports = src.to_reports(src.events(spark, sf_dir))
-    parts = _streamed(spark, "dedup", reports, ("icao24", "pos"), lambda b: windows.deduplicated(b, order))
-    return _kept_per_hour(windows.deduplicated(parts, order))
+    first = lambda rows: windows.deduplicated(rows, order)
+    return _kept_per_hour(first(_streamed(spark, "dedup", reports, ("icao24", "pos"), first, first)))

@@ -31,10 +31,14 @@ def stream_payload_archive(spark: SparkSession, path: str, files_per_batch: int
     return reader.parquet(path)
 
 
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id by which a checkpoint knows its query; batch ids start anew with each."""
+    return spark.read.schema("id string").json(f"{checkpoint.rstrip('/')}/metadata").first().id
+
+
 def load_name(spark: SparkSession, name: str, checkpoint: str, batch_id: int) -> str:
-    """Unique to a micro-batch: batch ids start anew with each checkpoint, the query's id in it does not."""
-    query = spark.read.schema("id string").json(f"{checkpoint.rstrip('/')}/metadata").first().id
-    return f"{name}-{query}-{batch_id:012d}"
+    """Unique to a micro-batch."""
+    return f"{name}-{query_id(spark, checkpoint)}-{batch_id:012d}"
 
 
 def land_stream(
