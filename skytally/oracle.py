@@ -415,7 +415,7 @@ def _fixed(value: str, places: int) -> str:
 
 _FAILURES = f"""
     SELECT 'run_failure_rate' AS name, rate <= 20 AS ok,
-        failed || '/' || total || ' runs failed in the last hour (' || {_fixed('rate', 1)} || '%)' AS detail,
+        'failed within the hour: ' || failed || ' of ' || total || ' runs, ' || {_fixed('rate', 1)} || '%' AS detail,
         round(rate, 1) AS value, 20e0 AS threshold
     FROM (SELECT count(*) AS total, count(*) FILTER (WHERE status = 'failed') AS failed,
             100e0 * count(*) FILTER (WHERE status = 'failed') / count(*) AS rate
@@ -425,8 +425,8 @@ _FAILURES = f"""
 def _stuck(now: str) -> str:
     return f"""
     SELECT 'no_stuck_runs' AS name, n = 0 AS ok,
-        CASE WHEN n = 0 THEN 'no abandoned runs'
-            ELSE n || ' run(s) still marked running after 15 min' END AS detail,
+        CASE WHEN n = 0 THEN 'every run has finished or is recent'
+            ELSE n || ' unfinished for more than 15 minutes' END AS detail,
         CAST(n AS DOUBLE) AS value, 0e0 AS threshold
     FROM (SELECT count(*) AS n FROM runs
           WHERE status = 'running' AND started_at < {now} - INTERVAL 15 MINUTE)"""
@@ -434,7 +434,7 @@ def _stuck(now: str) -> str:
 
 _REJECTS = f"""
     SELECT 'reject_rate' AS name, rate <= 1 AS ok,
-        rejected || '/' || received || ' rows rejected in the last hour (' || {_fixed('rate', 3)} || '%)' AS detail,
+        'rejected within the hour: ' || rejected || ' of ' || received || ' rows, ' || {_fixed('rate', 3)} || '%' AS detail,
         round(rate, 3) AS value, 1e0 AS threshold
     FROM (SELECT CAST(sum(rows_received) AS BIGINT) AS received, CAST(sum(rows_rejected) AS BIGINT) AS rejected,
             100e0 * CAST(sum(rows_rejected) AS BIGINT) / CAST(sum(rows_received) AS BIGINT) AS rate
@@ -442,7 +442,7 @@ _REJECTS = f"""
 
 _CREDITS = f"""
     SELECT 'credit_budget' AS name, spent <= 3600 AS ok,
-        {_fixed('spent', 0)} || ' credits spent in 24h against a 4000 allowance (oauth2_client_credentials)' AS detail,
+        {_fixed('spent', 0)} || ' of 4000 daily credits used (oauth2_client_credentials)' AS detail,
         spent AS value, 3600e0 AS threshold
     FROM (SELECT CAST(sum(credits_estimated) AS DOUBLE) AS spent FROM runs
           WHERE started_at >= {RUNS_NOW} - INTERVAL 24 HOUR)"""
@@ -451,7 +451,7 @@ _CREDITS = f"""
 def _fresh(now: str) -> str:
     return f"""
     SELECT 'freshness' AS name, age <= 6 AS ok,
-        'most recent row landed ' || {_fixed('age', 1)} || ' min ago (threshold 6.0 min)' AS detail,
+        'last landed ' || {_fixed('age', 1)} || ' minutes ago, allowed are 6.0' AS detail,
         round(age, 1) AS value, 6e0 AS threshold
     FROM (SELECT (epoch_us({now}) - epoch_us(max(ingested_at))) / 1e6 / 60 AS age FROM obs)"""
 
@@ -469,6 +469,7 @@ _DATES = {
     "daily_activity": ("activity_date",),
     "daily_profile": ("activity_date",),
     "daily_refresh": ("activity_date",),
+    "protected_marts": ("activity_date",),
     "quarantined_rows": ("day",),
     **dict.fromkeys(
         (
@@ -801,6 +802,27 @@ def _statements() -> dict[str, str]:
             UNION ALL SELECT 'health', count(*), CAST(sum(run_count) AS BIGINT) FROM health""",
         ),
         "daily_refresh": _with(*_TO_GRID, DAILY, select="SELECT * FROM daily"),
+        "protected_marts": _with(
+            *_TO_HOURLY,
+            DAILY,
+            """marked AS (SELECT *, CAST(activity_hour AS DATE) AS day, distinct_aircraft < 3 AS small,
+                    bool_or(distinct_aircraft < 3) OVER (PARTITION BY CAST(activity_hour AS DATE), altitude_band) AS any_small,
+                    row_number() OVER (PARTITION BY CAST(activity_hour AS DATE), altitude_band, distinct_aircraft < 3
+                        ORDER BY observation_count, activity_hour, grid_lat, grid_lon) AS place
+                FROM hourly)""",
+            """cells AS (SELECT day, altitude_band, count(*) AS published_cells,
+                    CAST(sum(observation_count) AS BIGINT) AS published_observations
+                FROM marked WHERE NOT small AND NOT (any_small AND place = 1) GROUP BY 1, 2)""",
+            select="""SELECT activity_date, altitude_band, observation_count, distinct_aircraft,
+                coalesce(published_cells, 0) AS published_cells,
+                coalesce(published_observations, 0) AS published_observations
+            FROM daily LEFT JOIN cells USING (altitude_band) WHERE day IS NOT DISTINCT FROM activity_date
+                AND distinct_aircraft >= 3
+            UNION ALL
+            SELECT activity_date, altitude_band, observation_count, distinct_aircraft, 0, 0
+            FROM daily WHERE distinct_aircraft >= 3
+                AND NOT EXISTS (SELECT 1 FROM cells WHERE day = activity_date AND cells.altitude_band = daily.altitude_band)""",
+        ),
         "quarantined_rows": _with(
             FAULTY_OBS,
             """judged AS (SELECT *, CASE WHEN icao24 IS NULL THEN 'icao24_missing'

@@ -21,17 +21,16 @@ MAX_FAILURE_PCT = 20.0
 MAX_REJECT_PCT = 1.0
 CREDIT_FRACTION = 0.9
 
-# Wording of the results; fixed values.
 DETAIL = {
-    "freshness_empty": "raw.state_vectors is empty; no ingestion has succeeded yet",
-    "freshness": "most recent row landed %.1f min ago (threshold %.1f min)",
-    "no_runs": "no runs in the last hour; nothing to judge",
-    "failures": "%d/%d runs failed in the last hour (%.1f%%)",
-    "stuck": "%d run(s) still marked running after %d min",
-    "none_stuck": "no abandoned runs",
-    "no_rows": "no rows received in the last hour; nothing to judge",
-    "rejects": "%d/%d rows rejected in the last hour (%.3f%%)",
-    "credits": "%.0f credits spent in 24h against a %d allowance (%s)",
+    "freshness_empty": "no observation has been landed yet",
+    "freshness": "last landed %.1f minutes ago, allowed are %.1f",
+    "no_runs": "not judged: no run started within the hour",
+    "failures": "failed within the hour: %d of %d runs, %.1f%%",
+    "stuck": "%d unfinished for more than %d minutes",
+    "none_stuck": "every run has finished or is recent",
+    "no_rows": "not judged: no row received within the hour",
+    "rejects": "rejected within the hour: %d of %d rows, %.3f%%",
+    "credits": "%.0f of %d daily credits used (%s)",
 }
 
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skytally.functions.columns import (
@@ -121,10 +122,40 @@ def suppress_small_cells(hourly: DataFrame, min_aircraft: int) -> DataFrame:
     return hourly.where(F.col("distinct_aircraft") >= min_aircraft)
 
 
+def protect_totals(hourly: DataFrame, min_aircraft: int) -> DataFrame:
+    """Withhold small cells, and with them one more cell of the same day and band.
+
+    A total over the day less the cells that are published is what was withheld.
+    With the smallest cell that is large enough among it, that difference always
+    counts at least ``min_aircraft`` aircraft in two cells or more. Where no cell
+    is large enough, nothing of that day and band is published by the hour.
+    """
+    group = Window.partitionBy(F.to_date("activity_hour"), "altitude_band")
+    small = F.col("distinct_aircraft") < min_aircraft
+    place = F.struct("observation_count", "activity_hour", "grid_lat", "grid_lon")
+    marked = hourly.withColumns(
+        {
+            "_place": place,
+            "_small": F.max(small).over(group),
+            "_next": F.min(F.when(~small, place)).over(group),
+        }
+    )
+    return marked.where(~small & ~(F.col("_small") & (F.col("_place") == F.col("_next")))).select(hourly.columns)
+
+
+def protected_daily(daily: DataFrame, min_aircraft: int | None) -> DataFrame:
+    """The daily table without rows of too few aircraft."""
+    return daily if min_aircraft is None else suppress_small_cells(daily, min_aircraft)
+
+
+def hourly_cells(landed: DataFrame, grid_degrees: float = 1) -> DataFrame:
+    return hourly_activity(grid_observations(stage_observations(landed), grid_degrees))
+
+
 def publishable_hourly(landed: DataFrame, grid_degrees: float = 1, min_aircraft: int | None = None) -> DataFrame:
     if grid_degrees < COARSE_GRID_DEGREES and min_aircraft is None:
         raise ValueError("a grid finer than 1 degree needs min_aircraft")
-    hourly = hourly_activity(grid_observations(stage_observations(landed), grid_degrees))
+    hourly = hourly_cells(landed, grid_degrees)
     return hourly if min_aircraft is None else suppress_small_cells(hourly, min_aircraft)
 
 
@@ -149,12 +180,18 @@ def refresh_hourly(
     lookback_hours: int = LATE_ARRIVAL_LOOKBACK_HOURS,
     grid_degrees: float | None = None,
     min_aircraft: int | None = None,
+    beside_daily: bool | None = None,
 ) -> None:
     """Rebuild the newest hours whole, from everything landed for them.
 
     Rows older than the lookback are left out until a full refresh; the hourly
     reconciliation reports them. Grid and suppression are stored with the table and
     hold for every refresh; only a full refresh may change them.
+
+    With ``beside_daily`` a table with suppression can stand beside daily totals
+    (:func:`protect_totals`). It is then rebuilt by whole days, from the first one
+    that has new rows on: a total that counts more than the hours do would tell
+    what was withheld, or what came late.
     """
     if not isinstance(lookback_hours, int) or lookback_hours < 0:
         raise ValueError("the lookback must be a whole number of hours")
@@ -162,37 +199,61 @@ def refresh_hourly(
     stored = marts.publishing()
     grid = stored[0] if grid_degrees is None else float(grid_degrees)
     least = stored[1] if min_aircraft is None else min_aircraft
+    current = marts.hourly_table.current().facts
+    protected = current.get("protected", False) if beside_daily is None else beside_daily
+    protected = protected and least is not None
+    if newest is not None and protected != current.get("protected", False):
+        raise ValueError("the hourly table was built otherwise; protecting totals needs a full refresh")
     if newest is not None and (grid, least) != stored:
         raise ValueError(f"the hourly table was built with {stored}; another grid or suppression needs a full refresh")
     bound = None if newest is None else newest - dt.timedelta(hours=lookback_hours)
-    landed = lake.landing() if bound is None else since_bound(lake.landing(since=bound.date()), bound)
+    version = lake.observations.current()
+    if bound is not None and protected:
+        first = min([bound.date(), *lake.changed_days(current["landing_version"])])
+        bound = dt.datetime.combine(first, dt.time())
+    landed = lake.landing(version=version)
+    if bound is not None:
+        landed = since_bound(lake.landing(since=bound.date(), version=version), bound)
+    hourly = protect_totals(hourly_cells(landed, grid), least) if protected else publishable_hourly(landed, grid, least)
     marts.write_hourly(
-        publishable_hourly(landed, grid, least),
+        hourly,
         replace_all=bound is None,
         since=bound,
         files_per_hour=files_per_hour(grid),
         grid_degrees=grid,
         min_aircraft=least,
+        protected=protected,
+        landing_version=version.number,
     )
 
 
 def refresh_daily(lake: Lake, marts: Marts, *, full_refresh: bool = False) -> None:
-    """Rebuild the days that rows have been landed for since the last build, however old they are."""
-    landed = lake.observations.current().number
+    """Rebuild the days that rows have been landed for since the last build, however old they are.
+
+    With suppression, after the hourly table and from the same rows.
+    """
+    facts_hourly = marts.hourly_table.current().facts
+    version = lake.observations.current()
+    if facts_hourly.get("min_aircraft") is not None:
+        if not facts_hourly["protected"]:
+            raise ValueError("daily totals would undo the suppression: build the hourly table beside them")
+        version = replace(version, parts=tuple(p for p in version.parts if p.added <= facts_hourly["landing_version"]))
+        version = replace(version, number=facts_hourly["landing_version"])
+    landed = version.number
     built = marts.daily_table.current()
     grid, least = marts.publishing()
     facts = {"landing_version": landed, "grid_degrees": grid, "min_aircraft": least}
     same = all(built.facts.get(k, facts[k]) == facts[k] for k in ("grid_degrees", "min_aircraft"))
     if full_refresh or not built.number or not same:
-        rows = lake.landing()
+        rows = lake.landing(version=version)
         kept = None
     else:
-        days = lake.changed_days(built.facts["landing_version"])
+        days = lake.changed_days(built.facts["landing_version"], version)
         if not days:
             return
-        rows = lake.landing(days)
+        rows = lake.landing(days, version=version)
         kept = marts.daily().where(~F.col("activity_date").isin(days))
-    daily = daily_activity(grid_observations(stage_observations(rows), grid))
+    daily = protected_daily(daily_activity(grid_observations(stage_observations(rows), grid)), least)
     # A row per day and band: the whole table is a small file.
     marts.write_daily((daily if kept is None else kept.unionByName(daily)).coalesce(1), facts)
 
@@ -215,7 +276,7 @@ def refresh_health(lake: Lake, marts: Marts) -> None:
 
 def build_marts(lake: Lake, marts: Marts, runs: DataFrame | None = None, **hourly_options) -> None:
     """All three tables, each brought up to date; health from ``runs`` instead of the ledger if they are given."""
-    refresh_hourly(lake, marts, **hourly_options)
+    refresh_hourly(lake, marts, beside_daily=True, **hourly_options)
     refresh_daily(lake, marts, full_refresh=hourly_options.get("full_refresh", False))
     if runs is None:
         refresh_health(lake, marts)

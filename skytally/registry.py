@@ -607,6 +607,23 @@ def daily_refresh(spark, sf_dir):
     return published.daily()
 
 
+@query
+def protected_marts(spark, sf_dir):
+    """Daily rows beside what the hours of their day tell, both with small numbers withheld, late rows included."""
+    root = shared_folder(spark, "protected")
+    lake, published = Lake(spark, f"{root}/raw"), Marts(spark, f"{root}/marts")
+    observed = _observations(spark, sf_dir)
+    late = (F.day("observed_at") % 7 == 3) & (F.hour("observed_at") == 5)
+    for name, part in (("early", ~late), ("late", late)):
+        lake.append(observed.where(part), name)
+        marts.refresh_hourly(lake, published, min_aircraft=3, beside_daily=True)
+        marts.refresh_daily(lake, published)
+    hours = published.hourly().groupBy("activity_date", "altitude_band")
+    told = hours.agg(F.count("*").alias("published_cells"), F.sum("observation_count").alias("published_observations"))
+    daily = published.daily().select("activity_date", "altitude_band", "observation_count", "distinct_aircraft")
+    return daily.join(told, ["activity_date", "altitude_band"], "left").na.fill(0)
+
+
 @query
 def quarantined_rows(spark, sf_dir):
     """Where the rows of a faulty table went: landed by day, or set aside by day and first broken rule."""

@@ -192,11 +192,11 @@ class Lake:
         fresh = landed.join(keys.select(*OBSERVATION_KEY), list(OBSERVATION_KEY), "left_anti")
         return self._written(fresh.select(rows.columns).unionByName(aside), part.facts["load_id"])
 
-    def changed_days(self, since: int) -> list[dt.date]:
-        """Days that a version after ``since`` brought rows for."""
+    def changed_days(self, since: int, version: Version | None = None) -> list[dt.date]:
+        """Days that versions after ``since``, up to ``version``, brought rows for."""
         days = {
             self.observations.day_of(leaf)
-            for part in self.observations.current().parts
+            for part in (version or self.observations.current()).parts
             if part.added > since
             for leaf in part.leaves
             if _outcome(LANDED)(leaf)
@@ -343,6 +343,8 @@ class Marts:
         files_per_hour: int = 1,
         grid_degrees: float = 1.0,
         min_aircraft: int | None = None,
+        protected: bool = False,
+        landing_version: int | None = None,
     ) -> None:
         """Replace every hour, or those from ``since`` on.
 
@@ -354,7 +356,13 @@ class Marts:
         if not replace_all and since is None:
             raise ValueError("name the first hour to replace")
         current = self.hourly_table.current()
-        facts = {"schema": _shape(HOURLY_TABLE), "grid_degrees": grid_degrees, "min_aircraft": min_aircraft}
+        facts = {
+            "schema": _shape(HOURLY_TABLE),
+            "grid_degrees": grid_degrees,
+            "min_aircraft": min_aircraft,
+            "protected": protected,
+            "landing_version": landing_version,
+        }
         table = hourly.withColumn("activity_date", F.to_date("activity_hour")).withColumn(
             "hour_of_day", F.hour("activity_hour")
         )

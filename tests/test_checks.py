@@ -43,31 +43,31 @@ def only(df):
 def test_freshness(spark):
     fresh = only(checks.check_freshness(landed(spark, 300, 5), NOW))
     assert (fresh.name, fresh.ok, fresh.value, fresh.threshold) == ("freshness", True, 5.0, 6.0)
-    assert fresh.detail == "most recent row landed 5.0 min ago (threshold 6.0 min)"
+    assert fresh.detail == "last landed 5.0 minutes ago, allowed are 6.0"
     assert not only(checks.check_freshness(landed(spark, 7), NOW)).ok
     assert only(checks.check_freshness(landed(spark, 7), NOW, Feed(poll_interval_seconds=300))).ok
     empty = only(checks.check_freshness(landed(spark), NOW))
-    assert (empty.ok, empty.value, empty.threshold) == (False, None, 6.0) and "empty" in empty.detail
+    assert (empty.ok, empty.value, empty.threshold) == (False, None, 6.0) and empty.detail == "no observation has been landed yet"
 
 
 def test_failure_rate(spark):
     assert only(checks.check_run_failure_rate(run_rows(spark, *[(5, "failed", None, None, 3)] * 3), NOW)).value == 100.0
     row = only(checks.check_run_failure_rate(run_rows(spark, (5, "failed", None, None, 3), *[(9, "succeeded", 1, 0, 3)] * 4), NOW))
-    assert (row.ok, row.value, row.detail) == (True, 20.0, "1/5 runs failed in the last hour (20.0%)")
+    assert (row.ok, row.value, row.detail) == (True, 20.0, "failed within the hour: 1 of 5 runs, 20.0%")
     old = only(checks.check_run_failure_rate(run_rows(spark, (61, "failed", None, None, 3)), NOW))
-    assert (old.ok, old.value, old.threshold) == (True, None, None) and "nothing to judge" in old.detail
+    assert (old.ok, old.value, old.threshold) == (True, None, None) and old.detail.startswith("not judged")
 
 
 def test_stuck_runs(spark):
     row = only(checks.check_no_stuck_runs(run_rows(spark, (120, "running", None, None, 3), (3000, "running", None, None, 3), (14, "running", None, None, 3)), NOW))
     assert (row.ok, row.value) == (False, 2.0)
-    assert row.detail == "2 run(s) still marked running after 15 min"
+    assert row.detail == "2 unfinished for more than 15 minutes"
     assert only(checks.check_no_stuck_runs(run_rows(spark, (15, "running", None, None, 3)), NOW)).ok
 
 
 def test_reject_rate(spark):
     row = only(checks.check_reject_rate(run_rows(spark, (5, "succeeded", 100, 50, 3), (5, "failed", 900, 0, 3)), NOW))
-    assert (row.ok, row.value, row.detail) == (False, 50.0, "50/100 rows rejected in the last hour (50.000%)")
+    assert (row.ok, row.value, row.detail) == (False, 50.0, "rejected within the hour: 50 of 100 rows, 50.000%")
     assert only(checks.check_reject_rate(run_rows(spark, (5, "succeeded", 100, 1, 3)), NOW)).ok
     assert only(checks.check_reject_rate(run_rows(spark, (5, "succeeded", 0, 0, 3)), NOW)).value is None
 
@@ -76,7 +76,7 @@ def test_credit_budget(spark):
     many = run_rows(spark, *[(10 + i, "succeeded", 1, 0, 3) for i in range(130)], (1500, "succeeded", 1, 0, 4))
     row = only(checks.check_credit_budget(many, NOW))
     assert (row.ok, row.value, row.threshold) == (False, 390.0, 360.0)
-    assert row.detail == "390 credits spent in 24h against a 400 allowance (anonymous)"
+    assert row.detail == "390 of 400 daily credits used (anonymous)"
     assert only(checks.check_credit_budget(many, NOW, Feed(registered=True))).ok
 
 

@@ -233,3 +233,28 @@ def test_a_foreign_file_with_an_identity_is_found(spark, lake, marts):
     nested.write.parquet(f"{marts.hourly_table.root}/data/somebody")
     leaks = {r.table_name: r.identity_columns for r in contracts.stored_identity(marts).collect()}
     assert leaks["airspace_activity_hourly"] == 1 and leaks["airspace_activity_daily"] == 0
+
+
+@pytest.mark.parametrize("least", [2, 4])
+def test_no_total_tells_of_fewer_aircraft_than_allowed(spark, lake, marts, least):
+    import random
+
+    rng = random.Random(8)
+    rows = some_rows(rng, 0, 40, 400, "a") + [("alone", HOUR + 3 * DAY, 51.5, 0.5, 1.0, False)]
+    rows = [(f"a{rng.randrange(9)}", t, la, lo, tr, g) if a != "alone" else (a, t, la, lo, tr, g) for a, t, la, lo, tr, g in rows]
+    for n, part in enumerate((rows[:300], rows[300:], [("late", HOUR, 51.5, 0.5, 1.0, False)])):
+        lake.append(observations(spark, part), f"load-{n}")
+        plans.build_marts(lake, marts, min_aircraft=least)
+    seen = plans.grid_observations(plans.stage_observations(lake.landing())).select(
+        "observed_date", "altitude_band", "observed_hour", "grid_lat", "grid_lon", "icao24"
+    )
+    told = marts.hourly().selectExpr("activity_hour AS observed_hour", "grid_lat", "grid_lon", "altitude_band")
+    withheld = seen.join(told, ["observed_hour", "grid_lat", "grid_lon", "altitude_band"], "left_anti")
+    hidden = withheld.groupBy("observed_date", "altitude_band").agg(F.countDistinct("icao24").alias("n"))
+    daily = marts.daily().withColumnRenamed("activity_date", "observed_date")
+    assert daily.where(F.col("distinct_aircraft") < least).count() == 0 and daily.count() > 0
+    # What a day's total counts beyond its hours is nothing, or enough aircraft.
+    assert daily.join(hidden, ["observed_date", "altitude_band"]).where(F.col("n") < least).count() == 0
+    assert marts.hourly().where(F.col("distinct_aircraft") < least).count() == 0
+    counted = seen.groupBy("observed_date", "altitude_band").agg(F.count("*").alias("n"))
+    assert daily.join(counted, ["observed_date", "altitude_band"]).where("n <> observation_count").count() == 0
