@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 from collections.abc import Callable
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -41,7 +42,45 @@ def kept_table(df: DataFrame, purpose: str) -> DataFrame:
     """
     path = shared_folder(df.sparkSession, purpose)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    if _SCRATCH:
+        _SCRATCH[-1].append(path)
+    kept = df.sparkSession.read.schema(df.schema).parquet(path)
+    kept.kept_at = path
+    return kept
+
+
+#: Folders of the ``scratch`` blocks that are open, innermost last.
+_SCRATCH: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Deletes what ``kept_table`` wrote within the block, but for tables given to what it yields.
+
+    Results that are still to be computed must not depend on the rest.
+    """
+    spared: set[str] = set()
+
+    def keep(df: DataFrame) -> DataFrame:
+        spared.add(df.kept_at)
+        return df
+
+    _SCRATCH.append([])
+    try:
+        yield keep
+    finally:
+        folders = _SCRATCH.pop()
+        for folder in folders:
+            if folder in spared:
+                if _SCRATCH:
+                    _SCRATCH[-1].append(folder)
+                continue
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+#: Longer keys are computed each time they are asked for, so that a memory is bounded in bytes too.
+MEMO_KEY = 256
 
 
 class Memo(dict):
@@ -56,6 +95,8 @@ class Memo(dict):
         self.compute, self.most, self.older = compute, most, {}
 
     def __missing__(self, key):
+        if isinstance(key, (str, bytes)) and len(key) > MEMO_KEY:
+            return self.compute(key)
         if len(self) >= self.most:
             self.older = self.copy()
             self.clear()

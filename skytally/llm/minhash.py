@@ -10,13 +10,16 @@
    has its most alike centre confirmed on the full sets, then those centres
    whose class it is still not in. Confirmed pairs are links; classes are the
    connected components.
-4. Buckets that still hold several classes go through further rounds, each
-   comparing members with the next members of other classes, ``CENTRES`` at
-   first and twice as many each time, until every bucket is exhausted or one
-   class. A round that finds no link ends nothing: later members may link.
-
-Every step is a join or an aggregate on keys of bounded size; rounds read
-tables in the shared folder.
+4. Buckets that still hold several classes are settled at once and exactly, by
+   what their members have unlike their centre. Of two sets that are alike but
+   not both linked with the centre, those differences overlap, by an amount that
+   follows from the sizes; so they share one of the first few differences, in an
+   order common to all (what the centre lacks first), and a join on these finds
+   every such pair. Texts around one passage differ by what only they have, so
+   they make no pairs however many they are.
+
+Every step is a join or an aggregate; steps read tables in the shared folder,
+which are deleted when they have been used.
 """
 
 from __future__ import annotations
@@ -29,13 +32,12 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skytally.llm.common import Memo, arrow_map, kept_table, map_texts, sized_broadcast, words_of
+from skytally.llm.common import Memo, arrow_map, kept_table, map_texts, scratch, sized_broadcast, words_of
 from skytally.llm.graph import components
 
 SHINGLE, SIMILARITY = 5, 0.8
 #: A pair of similarity 0.8 shares no bucket with probability (1 - 0.8**4)**20, 3 in 100,000.
 BANDS, ROWS = 20, 4
-CENTRES = 3
 #: Standard errors by which the signature may understate a pair that is then confirmed.
 SLACK = 4.5
 MEMO_WORDS = 200_000
@@ -84,10 +86,6 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-def _word_hashes() -> Memo:
-    return Memo(xxhash.xxh3_64_intdigest, MEMO_WORDS)
-
-
 def sketches(docs: DataFrame, width: int) -> DataFrame:
     """``(doc_id, n_shingles, digest, signature, bands)`` of every text; no words: null digest."""
 
@@ -203,42 +201,82 @@ def classes_of(docs: DataFrame, nodes: DataFrame, width: int, similarity: float)
     rest = near.join(first, ["node", "centre"], "left_anti").select("node", "centre")
     classes = _merged(classes, linked(kept_table(_across(rest, classes), "pairs")))
 
-    sizes = nodes.select("node", "n_shingles").join(weights.select("node"), "node", "left_semi")
-    members = kept_table(members.join(sizes, "node"), "sized")
-    percent = round(similarity * 100)
-    level, step = 1, CENTRES
-    ranked = Window.partitionBy("key").orderBy(F.desc("weight"), F.desc("node"))
-    while True:
-        classed = members.join(classes, "node")
-        mixed = classed.groupBy("key").agg(
-            F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size")
-        )
-        # All members have met the first ``level`` ones; a bucket of no more than one other is exhausted.
-        mixed = mixed.where((F.col("low") < F.col("high")) & (F.col("size") > level + 1)).select("key")
-        unsettled = kept_table(classed.join(mixed, "key"), "unsettled")
-        if unsettled.isEmpty():
-            return classes
-        ranks = unsettled.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= level + step)
-        heads = ranks.where(F.col("rank") > level).select(
-            "key",
-            F.col("node").alias("centre"),
-            F.col("component").alias("centre_class"),
-            F.struct("weight", "node").alias("place"),
-            F.col("n_shingles").alias("centre_size"),
-        )
-        # Members before a head have met it as heads themselves; sizes that far apart are no link.
-        met = unsettled.join(heads, "key").where(
-            (F.col("component") != F.col("centre_class"))
-            & (F.struct("weight", "node") < F.col("place"))
-            & (100 * F.least("n_shingles", "centre_size") >= percent * F.greatest("n_shingles", "centre_size"))
-        )
-        pairs = met.select("node", "centre").distinct().join(tried, ["node", "centre"], "left_anti")
-        pairs = kept_table(pairs, "pairs")
-        found = linked(alike(pairs))
-        if not found.isEmpty():
-            classes = _merged(classes, found)
-        # Twice as many each time: a bucket of n classes that link with nothing takes log n rounds.
-        tried, level, step = tried.unionByName(pairs), level + step, 2 * step
+    classed = members.join(classes, "node").groupBy("key")
+    ends = classed.agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"))
+    mixed = ends.where("low < high and size > 2").join(centres, "key").select("key", "centre")
+    around = kept_table(members.join(mixed, "key").where("node <> centre").select("node", "centre").distinct(), "around")
+    if around.isEmpty():
+        return classes
+    firsts = _first_differences(_joined(around, sets, "shingles"), similarity).join(classes, "node")
+    return _merged(classes, linked(kept_table(_overlapping(kept_table(firsts, "firsts"), similarity), "pairs")))
+
+
+def _first_differences(pairs: DataFrame, similarity: float) -> DataFrame:
+    """``(centre, node, size, linked, differing, place, element)``: the first of the elements that only one end has.
+
+    For sets s, x of similarity t or more, |s - x| + |x - s| <= (|s| + |x|) (1 - t) / (1 + t), and |x| <= |s| / t.
+    With D_s, D_x their differences to a centre, the overlap of these is at least half of |D_s| + |D_x| less that,
+    and no more than |D_x|; so it is at least |D_s| - |s| (1 - t) / t, which leaves this many places for the first.
+    """
+
+    def kept(batches):
+        for batch in batches:
+            made: list[list] = [[] for _ in range(7)]
+            ends = zip(*(batch.column(c).to_pylist() for c in ("node", "centre", "a", "b")))
+            for node, centre, *sets in ends:
+                own, its = (np.frombuffer(s, np.uint64) for s in sets)
+                more = np.setdiff1d(own, its, assume_unique=True)
+                less = np.setdiff1d(its, own, assume_unique=True)
+                differing, both = len(more) + len(less), len(own) - len(more)
+                linked = 100 * both >= round(100 * similarity) * (len(its) + len(more))
+                count = min(differing, int(len(own) * (1 - similarity) / similarity + 1e-9) + 1)
+                elements = np.concatenate([more, less])[:count].view(np.int64)
+                for values, value in zip(made, (centre, node, len(own), linked, differing)):
+                    values.append(np.full(count, value))
+                made[5].append(np.arange(count))
+                made[6].append(elements)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(v) if v else [], f.type) for v, f in zip(made, _FIRSTS)], schema=_FIRSTS
+            )
+
+    return arrow_map(
+        pairs.select("node", "centre", "a", "b"),
+        kept,
+        "centre long, node long, size int, linked boolean, differing int, place int, element long",
+    )
+
+
+_FIRSTS = pa.schema(
+    [
+        ("centre", pa.int64()),
+        ("node", pa.int64()),
+        ("size", pa.int32()),
+        ("linked", pa.bool_()),
+        ("differing", pa.int32()),
+        ("place", pa.int32()),
+        ("element", pa.int64()),
+    ]
+)
+
+
+def _overlapping(firsts: DataFrame, similarity: float) -> DataFrame:
+    """``(node, centre)``: pairs of two classes whose differences share an element early enough for their sizes."""
+    a, b = firsts.alias("a"), firsts.alias("b")
+    sizes = F.col("a.size") + F.col("b.size")
+    apart = (1 - similarity) / (2 * (1 + similarity))
+    overlap = F.greatest(F.lit(1.0), (F.col("a.differing") + F.col("b.differing")) / 2 - sizes * apart - 1e-6)
+    met = a.join(
+        b,
+        (F.col("a.centre") == F.col("b.centre"))
+        & (F.col("a.element") == F.col("b.element"))
+        & (F.col("a.node") < F.col("b.node"))
+        & (F.col("a.component") != F.col("b.component"))
+        & ~(F.col("a.linked") & F.col("b.linked"))
+        & (F.least("a.size", "b.size") >= similarity * F.greatest("a.size", "b.size") - 1e-6)
+        & (F.col("a.place") <= F.col("a.differing") - overlap)
+        & (F.col("b.place") <= F.col("b.differing") - overlap),
+    )
+    return met.select(F.col("b.node").alias("node"), F.col("a.node").alias("centre")).distinct()
 
 
 def near_duplicates(docs: DataFrame, width: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
@@ -250,6 +288,11 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, similarity: float = S
     null. Rows that repeat a doc_id are one vertex, which has the links of all
     of their texts. Other columns are ignored, an empty table gives an empty result.
     """
+    with scratch(docs.sparkSession) as keep:
+        return keep(_near_duplicates(docs, width, similarity))
+
+
+def _near_duplicates(docs: DataFrame, width: int, similarity: float) -> DataFrame:
     table = kept_table(sketches(docs, width), "sketches")
     usable = table.where("digest is not null and doc_id is not null")
     nodes = kept_table(
@@ -271,9 +314,10 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, similarity: float = S
     by_digest = nodes.select("digest", "node").join(classes, "node", "left")
     by_digest = by_digest.select("digest", F.coalesce("component", "node").alias("found"))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("found", "doc_id"))
-    return (
+    found = (
         table.select("doc_id", "n_shingles", "digest")
         .join(by_digest, "digest", "left")
         .select("doc_id", "n_shingles", component.alias("component_id"))
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )
+    return kept_table(found, "near-duplicates")

@@ -92,3 +92,40 @@ def test_large_buckets_whose_first_members_link_with_nothing(spark):
     assert [i for i, (_, c) in expected.items() if c != i] == [101 + 10 * n for n in range(6)]
     found = by_id(minhash.near_duplicates(documents(spark, rows)))
     assert {i: (r.n_shingles, r.component_id) for i, r in found.items()} == expected
+
+
+def test_three_thousand_texts_around_one_passage_make_no_pairs(spark, monkeypatch):
+    """All 0.78 alike and in the same buckets; of 3,000, only the planted pairs reach the full sets."""
+    passage = prose(74, 100, 5000)
+    rows = [(n, f"{passage} {prose(74000 + n, 14, 10**6)}") for n in range(3000)]
+    rows += [(5000 + n, f"{passage} {prose(74000 + n, 14, 10**6)} end") for n in range(5)]
+    counted = []
+    original = minhash._overlapping
+
+    def overlapping(firsts, similarity):
+        pairs = original(firsts, similarity)
+        counted.append((firsts.select("node").distinct().count(), pairs.count()))
+        return pairs
+
+    monkeypatch.setattr(minhash, "_overlapping", overlapping)
+    found = by_id(minhash.near_duplicates(documents(spark, rows), width=5))
+    assert {i: r.component_id for i, r in found.items() if r.component_id != i} == {5000 + n: n for n in range(5)}
+    assert counted and counted[0][0] > 2000 and counted[0][1] < 1000
+
+
+def test_differences_find_every_pair_that_is_not_linked_with_the_centre(spark):
+    """Against all pairs, for random edits of one text at many distances from it."""
+    rng = random.Random(6)
+    base = [f"b{i}" for i in range(120)]
+    rows = [(0, " ".join(base))]
+    parents = [base]
+    for n in range(1, 260):
+        words = list(rng.choice(parents))
+        for _ in range(rng.choice((1, 3, 6, 9, 14))):
+            at = rng.randrange(len(words))
+            words[at : at + rng.randrange(3)] = [f"e{rng.randrange(40)}"] * rng.randrange(1, 3)
+        parents.append(words)
+        rows.append((n, " ".join(words)))
+    expected = brute_force(rows, 2)
+    found = by_id(minhash.near_duplicates(documents(spark, rows), width=2))
+    assert {i: (r.n_shingles, r.component_id) for i, r in found.items()} == expected
