@@ -110,7 +110,10 @@ def alias_links(pages: DataFrame) -> DataFrame:
 
 def _rules_table(spark, rules: Sequence[tuple[str, str, str]] | DataFrame) -> DataFrame:
     if not isinstance(rules, DataFrame):
-        rules = spark.createDataFrame(list(rules), "verdict string, host string, path string")
+        # Literals, so that the rules are part of the plan and not rows that the driver hands over.
+        listed = [F.struct(*[F.lit(x).alias(n) for x, n in zip(rule, ("verdict", "host", "path"))]) for rule in rules]
+        none = F.array().cast("array<struct<verdict:string,host:string,path:string>>")
+        rules = spark.range(1).select(F.inline(F.array(*listed) if listed else none))
     return rules.select(
         F.translate("host", UPPER, LOWER).alias("rule_host"),
         F.struct(
