@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skytally.llm.common import kept_table, sized_broadcast
+from skytally.llm.common import kept_table, scratch, sized_broadcast
 
 #: Fixed values of the query, in the order of kinds. The look-behinds only skip
 #: starts inside a run, which cannot match where the run's start did not.
@@ -166,10 +166,16 @@ def _edited(text: Column, cut: Column) -> Column:
 
 
 def _masked(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """``(doc, h, text)`` of every row with blanks for its entities, so that all offsets stay."""
+    """``(doc, h, text)`` of every row with blanks for its entities, so that all offsets stay.
+
+    Texts are edited where they are read: of the few with entities the places
+    are sent to them, and it is cheaper to do that each time than to store a
+    second corpus.
+    """
     blank = F.repeat(F.lit(" "), (F.col("end") - F.col("start")).cast("int"))
     islands = _islands(found.withColumn("label", F.lit(""))).withColumn("label", blank)
-    joined = _keyed(docs).join(_cuts(islands), ["doc", "h"], "left")
+    cuts = sized_broadcast(kept_table(_cuts(islands), "blanks"), BROADCAST_TERMS)
+    joined = _keyed(docs).join(cuts, ["doc", "h"], "left")
     text = F.when(F.col("cuts").isNotNull(), _edited(F.col("text"), F.col("cuts"))).otherwise(F.col("text"))
     return joined.select("doc", "h", text.alias("text"))
 
@@ -240,7 +246,7 @@ def _occurrences(texts: DataFrame, telling: DataFrame) -> DataFrame:
 def spans(docs: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
     """``(doc, h, kind, start, end, label)`` of all personal data and disclosing terms, one row per span."""
     found = kept_table(entities(docs), "entities")
-    texts = kept_table(_masked(docs, found), "masked")
+    texts = _masked(docs, found)
     most = disclosures(texts, found, generalise).groupBy("term").agg(F.max("disclosure").alias("disclosure"))
     label = F.when(F.col("disclosure") >= remove, "").otherwise(GENERAL)
     telling = kept_table(most.select("term", label.alias("label")), "telling")
@@ -267,7 +273,9 @@ def report(docs: DataFrame) -> DataFrame:
     """
     entry = F.struct("start", "kind", "end")
     count = lambda n: F.count(F.when(F.col("kind") == n, 1))
-    summary = spans(docs).groupBy("doc", "h").agg(
+    with scratch(docs.sparkSession) as keep:
+        found = keep(kept_table(spans(docs), "spans"))
+    summary = found.groupBy("doc", "h").agg(
         *[count(n).alias(f"n_{kind}") for n, kind in enumerate(KINDS)], F.sort_array(F.collect_list(entry)).alias("all")
     )
     rows = _keyed(docs).select("doc", "h").join(summary, ["doc", "h"], "left")
@@ -294,10 +302,11 @@ def sanitised(docs: DataFrame) -> DataFrame:
     doc, h, cuts_of = (f"{max(docs.columns, key=len)}_{name}" for name in ("doc", "h", "cuts"))
     text, cut = F.col("text"), F.col(cuts_of)
     keys = {doc: _id(), h: F.xxhash64(F.coalesce("text", F.lit("")))}
-    cuts = _cuts(_islands(spans(docs))).select(
-        F.col("doc").alias(doc), F.col("h").alias(h), F.col("cuts").alias(cuts_of)
-    )
-    joined = docs.withColumns(keys).join(cuts, [doc, h], "left")
+    with scratch(docs.sparkSession) as keep:
+        cuts = keep(kept_table(_cuts(_islands(spans(docs))), "cuts"))
+    cuts = cuts.select(F.col("doc").alias(doc), F.col("h").alias(h), F.col("cuts").alias(cuts_of))
+    # Only the texts that are edited need their places; the others go through unshuffled.
+    joined = docs.withColumns(keys).join(sized_broadcast(cuts, BROADCAST_TERMS), [doc, h], "left")
     new = joined.withColumn("text", F.when(cut.isNotNull(), _edited(text, cut)).otherwise(text))
     if "n_chars" in docs.columns:
         size = F.when(cut.isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType))
