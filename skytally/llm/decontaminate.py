@@ -43,8 +43,13 @@ def _words(text: str) -> Column:
     return F.regexp_extract_all(ascii_lower(F.col(text)), F.lit(WORD), F.lit(0))
 
 
-def _doc(doc_id: str) -> Column:
-    return F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID))
+def text_hash() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
+def _doc() -> Column:
+    """What a row is known by: its id and its text. Rows that agree in both have the same hits."""
+    return F.struct(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), text_hash().alias("text_hash"))
 
 
 def build_index(docs: DataFrame, benchmark: DataFrame) -> Index:
@@ -58,7 +63,7 @@ def build_index(docs: DataFrame, benchmark: DataFrame) -> Index:
     vocabulary = kept_table(
         places.select("term").distinct().select("term", F.monotonically_increasing_id().alias("term_id")), "vocabulary"
     )
-    words = docs.select(_doc("doc_id").alias("doc"), F.posexplode(_words("text")).alias("pos", "term"))
+    words = docs.select(_doc().alias("doc"), F.posexplode(_words("text")).alias("pos", "term"))
     postings = kept_table(
         words.join(sized_broadcast(vocabulary, BROADCAST_TERMS), "term").select("term_id", "doc", "pos"), "postings"
     )
@@ -158,7 +163,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) ->
 
     Null and empty texts have no words and are hit by nothing, as is every text
     when the benchmark has no words. Rows that repeat a doc_id, and rows without
-    one, share the hits of all of their texts. An item without an item_id is
+    one, are each judged by their own text; ``text_hash`` tells them apart. An item without an item_id is
     written as an empty string; items that repeat an id count once. Other
     columns are ignored, an empty table gives an empty result.
     """
@@ -169,7 +174,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) ->
     summary = named.groupBy("doc").agg(
         F.countDistinct("pos").alias("n_hit"), F.array_sort(F.collect_set(item_id)).alias("item_ids")
     )
-    counted = docs.select("doc_id", _doc("doc_id").alias("doc"), F.regexp_count("text", F.lit(ANY_CASE_WORD)).alias("n"))
+    counted = docs.select("doc_id", _doc().alias("doc"), F.regexp_count("text", F.lit(ANY_CASE_WORD)).alias("n"))
     joined = counted.join(summary, "doc", "left")
     items = F.coalesce("item_ids", F.array().cast("array<string>"))
     return joined.select(
@@ -179,4 +184,5 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) ->
         F.size(items).cast("long").alias("n_items"),
         F.sha2(F.array_join(items, ",").cast("binary"), 256).alias("items_sha256"),
         (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
+        F.col("doc.text_hash").alias("text_hash"),
     )

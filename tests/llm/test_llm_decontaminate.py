@@ -79,6 +79,12 @@ def test_null_and_repeated_ids_and_empty_tables(spark):
     found = decontaminate.contamination(docs, benchmark(spark, [*ITEMS, (None, "clean")])).collect()
     assert sorted((repr(r.doc_id), r.n_hit, r.n_items) for r in found) == [("1", 10, 1), ("1", 10, 1), ("2", 1, 1), ("None", 10, 1)]
     assert decontaminate.contamination(documents(spark, []), benchmark(spark, ITEMS)).count() == 0
+    # Rows that share an id, or have none, are judged each by its own text.
+    mixed = documents(spark, [(i, t) for i in (7, None) for t in (ITEMS[1][1], "clean", None)])
+    found = decontaminate.contamination(mixed, benchmark(spark, ITEMS)).collect()
+    assert sorted((repr(r.doc_id), r.n_words, r.n_hit) for r in found) == sorted(
+        (i, n, hit) for i in ("7", "None") for n, hit in ((len(ITEMS[1][1].split()), 10), (1, 0), (0, 0))
+    )
     clean = decontaminate.contamination(docs, benchmark(spark, [])).collect()
     assert len(clean) == 4 and not any(r.contaminated for r in clean)
 
@@ -92,5 +98,5 @@ def test_proximity(spark):
         (4, "alpha beta"),
     ]
     index = decontaminate.build_index(documents(spark, texts), benchmark(spark, items))
-    assert {r.doc for r in decontaminate.proximity_hits(index, span=10).collect()} == {1, 3}
-    assert {r.doc for r in decontaminate.proximity_hits(index, span=80).collect()} == {1, 2, 3}
+    assert {r.doc.id for r in decontaminate.proximity_hits(index, span=10).collect()} == {1, 3}
+    assert {r.doc.id for r in decontaminate.proximity_hits(index, span=80).collect()} == {1, 2, 3}
