@@ -174,6 +174,27 @@ def decode_ids(encoded: DataFrame, encoder: Encoder) -> DataFrame:
     return map_texts(encoded, lambda: text, {"text": "string"}, column="ids")
 
 
+def encoded_texts(docs: DataFrame, encoder: Encoder) -> DataFrame:
+    """``(doc_id, n_tokens, ids, decoded_sha256)``: each text encoded, decoded again and compared.
+
+    Nulls, repeats and other columns as in ``encode_texts``; a null text counts as an empty one.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(encoder)
+
+    def setup():
+        coder = shared.value
+
+        def encoded(text):
+            ids, text = coder.encode(text or ""), text or ""
+            if coder.decode(ids) != text:
+                raise ValueError("the ids of a text do not decode to it")
+            return len(ids), ids, hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()
+
+        return encoded
+
+    return map_texts(docs, setup, {"n_tokens": "long", "ids": "array<int>", "decoded_sha256": "string"})
+
+
 def encoded_digests(docs: DataFrame, encoder: Encoder) -> DataFrame:
     """Each text encoded and decoded again in one pass: token count and the digests of ids and text.
 
