@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections import Counter
 from typing import NamedTuple
 
@@ -33,6 +34,8 @@ LOOK_ALIKES = {
 }
 #: Negative logs of channel probabilities.
 STAND_IN, DROPPED_SIGN, DROPPED_REPEAT, DROPPED_SPACE, DROPPED_OTHER = 1.2, 0.7, 0.5, 0.2, 9.0
+#: Look-alikes that may end a word or open one as punctuation too.
+SPARED = "(<*|!$@€£¢¥+"
 SIGNS = frozenset(".-_'*~^,:;/\\\"`´’")
 
 #: Trigrams that the character model keeps, the most frequent; all others back off.
@@ -44,7 +47,14 @@ THRESHOLD = 0.7
 MEMO_TOKENS = 150_000
 FLUSH = 200_000
 
-_EDGES = re.compile(r"\A[\"'(\[{<«‘“¿¡#>*_~|-]+|(?:[.,;:?!\"')\]}>»’”|]|([^\w\s])\1+)+\Z")
+#: Punctuation before and after a word. Some of it is also written for letters.
+LEADING = frozenset("\"'([{<«‘“¿¡#>*_~|-")
+TRAILING = frozenset(".,;:?!\"')]}>»’”|")
+#: Negative log of the probability that a sign at a word's end is punctuation.
+DROPPED_EDGE = 0.3
+#: Of a look-alike that follows itself: who has written it once does so again.
+STAND_IN_AGAIN = 0.3
+_DOUBLE = re.compile(r"(.)\1")
 _TRIPLE = re.compile(r"(.)\1\1")
 _DOUBLES = re.compile(r"(.)\1.*(.)\2")
 
@@ -56,9 +66,26 @@ class Model(NamedTuple):
     bias: float
 
 
-def stripped(token: str) -> str:
-    """The token in lower case without quotes, brackets and punctuation at its ends."""
-    return _EDGES.sub("", token.lower())
+def _is_sign(character: str) -> bool:
+    return not (character.isalnum() or character == "_" or character.isspace())
+
+
+def stripped(token: str, spared: str = "") -> str:
+    """The token in lower case without quotes, brackets, punctuation and doubled signs at its ends.
+
+    One walk from either end, however long the runs of signs are. Signs in ``spared`` stay.
+    """
+    word = token.lower()
+    start, end = 0, len(word)
+    while start < end and word[start] in LEADING and word[start] not in spared:
+        start += 1
+    while end > start:
+        last = word[end - 1]
+        doubled = end - start > 1 and word[end - 2] == last or end < len(word) and word[end] == last
+        if last in spared or not (last in TRAILING or doubled and _is_sign(last)):
+            break
+        end -= 1
+    return word[start:end]
 
 
 def is_plain(word: str) -> bool:
@@ -122,8 +149,8 @@ class Restorer:
             p += 0.6 * self.three.get(gram, 0) / self.context[gram[:2]]
         return -math.log(p)
 
-    def _readings(self, characters: str, i: int):
-        """What the character at ``i`` may stand for, with the channel's cost."""
+    def _readings(self, characters: str, i: int, first: int, last: int):
+        """What the character at ``i`` may stand for, with the channel's cost; signs before first and after last may be punctuation."""
         c = characters[i]
         if c == " ":
             yield from ((" ", 0.0), ("", DROPPED_SPACE))
@@ -132,9 +159,12 @@ class Restorer:
             if i and characters[i - 1] == c:
                 yield "", DROPPED_REPEAT
         else:
+            again = i > 0 and characters[i - 1] == c
             for letter in LOOK_ALIKES.get(c, ""):
-                yield letter, STAND_IN
-            if i and characters[i - 1] == c and c in LOOK_ALIKES:
+                yield letter, STAND_IN_AGAIN if again else STAND_IN
+            if not first <= i <= last and (c in LEADING if i < first else c in TRAILING):
+                yield "", DROPPED_EDGE
+            elif again and c in LOOK_ALIKES:
                 yield "", DROPPED_REPEAT
             else:
                 yield "", DROPPED_SIGN if c in SIGNS else DROPPED_OTHER
@@ -142,10 +172,11 @@ class Restorer:
     def decode(self, characters: str) -> str:
         """The likeliest reading; words in it are parted by spaces."""
         cost = self.cost
+        inner = [i for i, c in enumerate(characters) if c.isalnum()] or [0]
         # By the last two characters of the reading: its cost and its backward chain of characters.
         best: dict[str, tuple[float, tuple | None]] = {"  ": (0.0, None)}
         for i in range(len(characters)):
-            readings = list(self._readings(characters, i))
+            readings = list(self._readings(characters, i, inner[0], inner[-1]))
             step: dict[str, tuple[float, tuple | None]] = {}
             for state, (spent, chain) in best.items():
                 for letter, price in readings:
@@ -168,12 +199,16 @@ class Restorer:
         return "".join(reversed(out)).strip()
 
     def words_of(self, token: str) -> tuple[str, ...]:
-        """The token as a word, and the words of its reading where it is not plainly one."""
-        word = stripped(token)
-        if not word or is_plain(word):
-            return (word,) if word else ()
-        read = self.decode(word).split()
-        return tuple(dict.fromkeys([word, *read]))
+        """The token as a word, and the words of its reading where it is not plainly one.
+
+        Signs at its ends that may stand for letters are left to the lattice, and
+        so is every doubled letter.
+        """
+        word, whole = stripped(token), stripped(token, SPARED)
+        if word == whole and word.isalpha() and not _DOUBLE.search(word):
+            return (word,)
+        read = self.decode(whole).split() if whole else []
+        return tuple(dict.fromkeys(w for w in (word, *read) if w))
 
 
 def spaced_runs(tokens: list[str]):
@@ -254,11 +289,22 @@ class _Reader:
         return out
 
 
+_READERS: dict[str, object] = {}
+
+
+def _lasting(key: str, made):
+    """What ``made()`` gives, once for each worker and key, so that a worker's tasks share the memory of tokens."""
+    if key not in _READERS:
+        _READERS.clear()
+        _READERS[key] = made()
+    return _READERS[key]
+
+
 def _feature_counts(sample: DataFrame, trigrams) -> DataFrame:
     """``(feature, toxic, clean)``: documents of sample(text, toxic) that have the feature."""
 
     def counted(batches):
-        reader = _Reader(shared.value, lambda feature: feature)
+        reader = _lasting(key, lambda: _Reader(shared.value, lambda feature: feature))
         counts = (Counter(), Counter())
 
         def flushed():
@@ -277,7 +323,7 @@ def _feature_counts(sample: DataFrame, trigrams) -> DataFrame:
                     yield flushed()
         yield flushed()
 
-    shared = sample.sparkSession.sparkContext.broadcast(trigrams)
+    shared, key = sample.sparkSession.sparkContext.broadcast(trigrams), uuid.uuid4().hex
     parts = arrow_map(sample.select("text", "toxic"), counted, "feature string, toxic long, clean long")
     return parts.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
@@ -329,10 +375,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         .limit(FEATURES)
     )
     features = {row.feature: n for n, row in enumerate(best.collect())}
-    shared = docs.sparkSession.sparkContext.broadcast((trigrams, features))
+    shared, key = docs.sparkSession.sparkContext.broadcast((trigrams, features)), uuid.uuid4().hex
 
     def seen(batches):
-        reader = _Reader(shared.value[0], shared.value[1].get)
+        reader = _lasting(key, lambda: _Reader(shared.value[0], shared.value[1].get))
         for batch in batches:
             found = [sorted(reader.features(text)) for text in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -362,10 +408,10 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     Null and empty texts have no features and score as the model's bias does.
     Other columns are ignored, an empty table gives an empty result.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared, key = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
 
     def setup():
-        scored = _scorer(shared.value)
+        scored = _lasting(key, lambda: _scorer(shared.value))
         return lambda text: (scored(text),)
 
     return map_texts(docs, setup, {"score": "double"})
@@ -373,11 +419,11 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 def accepted(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of docs, all columns, whose text scores below the threshold; nothing is shuffled."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared, key = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
     place = docs.columns.index("text")
 
     def kept(batches):
-        scored = _scorer(shared.value)
+        scored = _lasting(key, lambda: _scorer(shared.value))
         for batch in batches:
             for start in range(0, batch.num_rows, TASK_ROWS):
                 part = batch.slice(start, TASK_ROWS)

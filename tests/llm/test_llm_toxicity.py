@@ -1,4 +1,7 @@
+import itertools
+import time
 import zlib
+from collections import Counter
 
 import pytest
 from conftest import SF_DIR
@@ -91,3 +94,54 @@ def test_query_on_held_out_rows(spark):
     clean = [found[r.doc_id].predicted for r in labels if r.toxic == 0 and r.doc_id in found and found[r.doc_id].held_out]
     assert sum(clean) <= 0.05 * len(clean)
     assert all(r.predicted == int(r.score >= 0.7) for r in found.values())
+
+
+@pytest.mark.parametrize("token", ["!" * 10_000 + "a", "." * 40 + "12", "chapter" + "." * 24 + "12", "a" + "!?" * 5000, "$" * 9000])
+def test_runs_of_signs_take_no_time(token):
+    begin = time.perf_counter()
+    toxicity.stripped(token)
+    assert time.perf_counter() - begin < 0.2
+
+
+@pytest.mark.parametrize(
+    ("token", "word"),
+    [("word", "word"), ('"Word!"', "word"), ("(word),", "word"), ("word...", "word"), ("--word--", "word"), ("a$$", "a"), ("...", "..."[:0])],
+)
+def test_ends_are_stripped(token, word):
+    assert toxicity.stripped(token) == word
+
+
+def test_disguises_at_the_ends_of_words():
+    said = "idiot stupid piss ass cunt idiot the word letter is all but good and that was an idiot in a class of stupid".split()
+    grams = Counter()
+    for word in said * 50:
+        shown = f"  {word} "
+        grams.update(shown[i : i + 3] for i in range(len(shown) - 2))
+    restorer = toxicity.Restorer(grams)
+    for token, word in [("|diot", "idiot"), ("*diot", "idiot"), ("(unt", "cunt"), ("pi$$", "piss"), ("a$$", "ass"),
+                        ("iddiot", "idiot"), ("stupiid!", "stupid"), ("(idiot)!!", "idiot"), ("letter!", "letter")]:
+        assert word in restorer.words_of(token), (token, restorer.words_of(token))
+
+
+def test_decoding_finds_the_cheapest_of_all_readings():
+    """Against every combination of readings, for short tokens."""
+    grams = Counter()
+    for word in "bad cat tin lot bee see".split():
+        shown = f"  {word} "
+        grams.update({shown[i : i + 3]: 9 for i in range(len(shown) - 2)})
+    restorer = toxicity.Restorer(grams)
+
+    def price(characters, chosen):
+        text, total = "  ", 0.0
+        for letter, paid in chosen:
+            total += paid
+            if letter:
+                total += restorer.cost[text[-2:] + letter]
+                text += letter
+        return total + restorer.cost[text[-2:] + " "], text.strip()
+
+    for token in ("b4d", "(at", "t1n!", "l0t", "b33", "$ee", "s3e*"):
+        inner = [i for i, c in enumerate(token) if c.isalnum()]
+        ways = [list(restorer._readings(token, i, inner[0], inner[-1])) for i in range(len(token))]
+        best = min(price(token, chosen) for chosen in itertools.product(*ways))
+        assert restorer.decode(token) == best[1], token
