@@ -65,3 +65,22 @@ def test_empty_documents(spark, planted):
     docs = spark.createDataFrame([], SCHEMA)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, sf_dir).count() == 0
+
+
+def test_rows_without_an_id_are_judged_too(spark, planted):
+    sf_dir, texts = planted
+    plain, leaked, copied = prose(950, 60, 5000), texts[304], texts[301]
+    rows = [(None, t, "en", "s", len(t or "")) for t in (plain, plain, leaked, copied, None, "", "")] + [(301, copied, "en", "s", 1)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    kept = corpus_pipeline.reject_contaminated(spark, corpus_pipeline.keep_one_of_each(spark, docs, sf_dir), sf_dir)
+    assert sorted((r.doc_id or 0, r.text or "") for r in kept.collect()) == sorted([(0, plain), (301, copied)] + [(0, "")] * 3)
+
+
+def test_nothing_is_left_but_what_results_need(spark, planted):
+    import os
+
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(shared))
+    corpus_pipeline.run(spark, planted[0]).count()
+    left = {name.split("-")[1] for name in set(os.listdir(shared)) - before}
+    assert left <= {"toxicity", "near", "near_duplicates", "decontamination", "personal", "personal_data"}, left
