@@ -12,17 +12,38 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skytally.llm import bpe, decontaminate, minhash, sanitise, toxicity
-from skytally.llm.common import kept_table, remainder, sized_broadcast, table
+from skytally.llm.common import kept_table, remainder, scratch, sized_broadcast, table
+from skytally.llm.decontaminate import NO_ID, text_hash
 from skytally.llm.queries import vocabulary_path
 
 #: SQL cannot express the learned and iterative stages; tests hold them against brute force.
 ORACLE_SQL = None
 
 
-def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """The rows of docs whose doc_id is not among the rejected; rows without an id stay."""
-    ids = kept_table(rejected.select("doc_id").distinct(), "rejected")
-    return docs.join(sized_broadcast(ids, minhash.BROADCAST_IDS), "doc_id", "left_anti").select(docs.columns)
+def _without(docs: DataFrame, rejected: DataFrame, *keys: str) -> DataFrame:
+    """The rows of docs that agree with none of the rejected in all of ``doc_id`` and ``text_hash`` that are named."""
+    prefix = max(docs.columns, key=len)  # names that no column of docs has
+    values = {"doc_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "text_hash": text_hash()}
+    with scratch(docs.sparkSession) as keep:
+        named = [F.coalesce(F.col(k).cast("long"), F.lit(NO_ID)).alias(f"{prefix}_{k}") for k in keys]
+        gone = keep(kept_table(rejected.select(*named).distinct(), "rejected"))
+    keyed = docs.withColumns({f"{prefix}_{k}": values[k] for k in keys})
+    return keyed.join(sized_broadcast(gone, minhash.BROADCAST_IDS), gone.columns, "left_anti").select(docs.columns)
+
+
+def _one_of_each_text(docs: DataFrame) -> DataFrame:
+    """Rows without a doc_id, which near-duplicate classes leave alone: one of each text, if no row with an id has it."""
+    unnamed = docs.where("doc_id is null")
+    if unnamed.isEmpty():
+        return docs
+    named = docs.where("doc_id is not null")
+    h = f"{max(docs.columns, key=len)}_text_hash"
+    # Texts without words are copies of nothing.
+    empty = F.coalesce(F.trim("text"), F.lit("")) == ""
+    spoken = unnamed.where(~empty).withColumn(h, text_hash())
+    texts = named.select(text_hash().alias(h)).distinct()
+    one = spoken.dropDuplicates([h]).join(texts, h, "left_anti").select(docs.columns)
+    return named.unionByName(unnamed.where(empty)).unionByName(one)
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,16 +56,17 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest doc_id of each near-duplicate class.
 
-    Rows that share a doc_id are one document and stay or go together.
+    Rows that share a doc_id are one document and stay or go together. Of rows
+    without one, exact copies go.
     """
     copies = minhash.near_duplicates(docs).where(~F.col("kept"))
-    return _without(docs, copies)
+    return _one_of_each_text(_without(docs, copies, "doc_id"))
 
 
 def reject_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no window of ten words of a benchmark item."""
+    """Documents that hold no window of ten words of a benchmark item; each row is judged by its own text."""
     found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
-    return _without(docs, found.where("contaminated"))
+    return _without(docs, found.where("contaminated"), "doc_id", "text_hash")
 
 
 def remove_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,9 +75,11 @@ def remove_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``(doc_id, n_tokens, ids)``: the token ids of each document."""
-    encoded = bpe.encode_texts(docs, bpe.Encoder.from_file(vocabulary_path()))
-    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
+    """``(doc_id, n_tokens, ids, decoded_sha256)``: the token ids of each document, and the digest of their decoding.
+
+    Each text is encoded and decoded in one pass; a decoding that is not the text ends the job.
+    """
+    return bpe.encoded_texts(docs, bpe.Encoder.from_file(vocabulary_path()))
 
 
 STAGES = [
@@ -71,5 +95,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents; each but the last is written to the shared folder and reread."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = kept_table(stage(spark, docs, sf_dir), name)
+        with scratch(spark) as keep:  # what a stage has kept in between goes once its output is written
+            docs = keep(kept_table(stage(spark, docs, sf_dir), name))
     return STAGES[-1][1](spark, docs, sf_dir)
