@@ -52,8 +52,8 @@ LEADING = frozenset("\"'([{<«‘“¿¡#>*_~|-")
 TRAILING = frozenset(".,;:?!\"')]}>»’”|")
 #: Negative log of the probability that a sign at a word's end is punctuation.
 DROPPED_EDGE = 0.3
-#: Of a look-alike that follows itself: who has written it once does so again.
-STAND_IN_AGAIN = 0.3
+#: Of a look-alike that follows itself: it stands for a letter again, or is drawn out.
+STAND_IN_AGAIN, DROPPED_AGAIN = 0.1, 0.8
 _DOUBLE = re.compile(r"(.)\1")
 _TRIPLE = re.compile(r"(.)\1\1")
 _DOUBLES = re.compile(r"(.)\1.*(.)\2")
@@ -165,7 +165,7 @@ class Restorer:
             if not first <= i <= last and (c in LEADING if i < first else c in TRAILING):
                 yield "", DROPPED_EDGE
             elif again and c in LOOK_ALIKES:
-                yield "", DROPPED_REPEAT
+                yield "", DROPPED_AGAIN
             else:
                 yield "", DROPPED_SIGN if c in SIGNS else DROPPED_OTHER
 
