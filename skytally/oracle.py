@@ -823,6 +823,57 @@ def _statements() -> dict[str, str]:
             FROM daily WHERE distinct_aircraft >= 3
                 AND NOT EXISTS (SELECT 1 FROM cells WHERE day = activity_date AND cells.altitude_band = daily.altitude_band)""",
         ),
+        "payload_files": _with(
+            STATES,
+            select="""SELECT payload_status, count(*) AS payload_count, count(*) AS file_count
+            FROM payloads GROUP BY payload_status""",
+        ),
+        "failed_load": _with(
+            STATES,
+            select="""SELECT 'failed' AS status, 'OSError: no space left' AS error_message, count(*) AS run_count,
+                0 AS counted_runs, 0 AS landed_rows FROM payloads""",
+        ),
+        "landed_provenance": _with(
+            STATES,
+            select="""SELECT api_snapshot_time, TIMESTAMP '2024-02-02 00:00:00' AS ingested_at, count(*) AS row_count,
+                1 AS loads, CAST(count(*) AS DOUBLE) AS rows_inserted
+            FROM firsts GROUP BY k, api_snapshot_time""",
+        ),
+        "json_rows": _with(
+            *_TO_HOURLY,
+            TOTALS,
+            select=f"""SELECT *, '2024-01-31T00:00:00' AS generated_at, 48 AS window_hours FROM totals
+            WHERE activity_hour >= {NOW} - INTERVAL 48 HOUR""",
+        ),
+        "windowed_reads": _with(
+            *_TO_HOURLY,
+            TOTALS,
+            select=f"""SELECT window_hours, activity_hour, observation_count
+            FROM totals JOIN (VALUES (1), (24), (100)) AS w(window_hours)
+                ON activity_hour >= {NOW} - to_hours(window_hours)""",
+        ),
+        "fine_cells": _with(
+            *_TO_GRID,
+            select="""SELECT floor(latitude / 0.25e0) * 0.25e0 AS grid_lat, floor(longitude / 0.25e0) * 0.25e0 AS grid_lon,
+                count(*) AS row_count FROM gridded GROUP BY 1, 2""",
+        ),
+        "freshness_classes": _with(
+            *_TO_HOURLY,
+            """newest AS (SELECT max(last_ingested_at) AS last_ingested_at, max(activity_hour) AS latest_activity_hour
+                FROM hourly)""",
+            select="""SELECT minutes, last_ingested_at, latest_activity_hour, minutes * 60e0 AS age_seconds, freshness_class
+            FROM newest, (VALUES (5, 'ok'), (30, 'warn'), (1440, 'bad')) AS w(minutes, freshness_class)
+            UNION ALL SELECT 0, NULL, NULL, NULL, NULL""",
+        ),
+        "not_built": _with(
+            *_TO_HOURLY,
+            DAILY,
+            *_TO_HEALTH,
+            select="""SELECT false AS built, unnest(['hourly', 'daily', 'health']) AS table_name, -1 AS row_count
+            UNION ALL SELECT true, 'hourly', count(*) FROM hourly
+            UNION ALL SELECT true, 'daily', count(*) FROM daily
+            UNION ALL SELECT true, 'health', count(*) FROM health""",
+        ),
         "quarantined_rows": _with(
             FAULTY_OBS,
             """judged AS (SELECT *, CASE WHEN icao24 IS NULL THEN 'icao24_missing'

@@ -20,8 +20,8 @@ from skytally.plans import checks, contracts, marts, reads, staging, views
 from skytally.session import shared_folder
 from skytally.settings import Feed, Region
 from skytally.sources import driver_tables as src
-from skytally.sources.payloads import open_payloads
-from skytally.sources.tables import Lake, Marts
+from skytally.sources.payloads import open_payloads, read_payload_files
+from skytally.sources.tables import Lake, Marts, MartsNotBuilt, write_rows_json
 from skytally.streaming import landing as stream_landing
 from skytally.streaming import windows
 
@@ -624,6 +624,108 @@ def protected_marts(spark, sf_dir):
     return daily.join(told, ["activity_date", "altitude_band"], "left").na.fill(0)
 
 
+@query
+def payload_files(spark, sf_dir):
+    """Payloads as files, one each, read whole and judged."""
+    path = f"{shared_folder(spark, 'files')}/inbox"
+    _payloads(spark, sf_dir).repartition("source_file").write.partitionBy("source_file").text(path)
+    opened = open_payloads(read_payload_files(spark, f"{path}/*"))
+    return opened.groupBy("payload_status").agg(
+        F.count("*").alias("payload_count"), F.countDistinct("source_file").alias("file_count")
+    )
+
+
+@query
+def failed_load(spark, sf_dir):
+    """A load whose write dies: its runs have failed with the error, and nothing was landed."""
+    lake = _DyingLake(spark, f"{shared_folder(spark, 'failed')}/raw")
+    try:
+        landing.land_snapshots(_payloads(spark, sf_dir), lake, "all", PAYLOADS_NOW)
+    except OSError:
+        pass
+    states = run_states(lake.ledger()).groupBy("status", "error_message").agg(
+        F.count("*").alias("run_count"), F.count("rows_received").alias("counted_runs")
+    )
+    return states.withColumn("landed_rows", F.lit(lake.landing().count()))
+
+
+class _DyingLake(Lake):
+    def append(self, *args, **kwargs):
+        raise OSError("no space left")
+
+
+@query
+def landed_provenance(spark, sf_dir):
+    """Landed rows by the run that brought them: when it was served, when it landed."""
+    lake = Lake(spark, f"{shared_folder(spark, 'provenance')}/raw")
+    landing.land_snapshots(_payloads(spark, sf_dir), lake, "all", PAYLOADS_NOW)
+    rows = lake.landing().groupBy("ingestion_run_id", "api_snapshot_time", "ingested_at")
+    runs = run_states(lake.ledger()).select(F.col("run_id").alias("ingestion_run_id"), "rows_inserted")
+    counted = rows.agg(F.count("*").alias("row_count"), F.countDistinct("load_id").alias("loads"))
+    return _sparse(counted.join(runs, "ingestion_run_id").drop("ingestion_run_id"), "rows_inserted")
+
+
+@query
+def json_rows(spark, sf_dir):
+    """A read query's rows written as JSON and read back."""
+    path = f"{shared_folder(spark, 'json')}/rows"
+    totals = reads.hourly_totals(_hourly(spark, sf_dir), NOW, 48)
+    write_rows_json(totals, path, NOW, window_hours=48)
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in totals.schema)
+    return spark.read.schema(f"{kinds}, generated_at string, window_hours int").json(path)
+
+
+@query
+def windowed_reads(spark, sf_dir):
+    """Three windows of one table: only hours that start within them count."""
+    hourly = _hourly(spark, sf_dir).persist()
+    parts = [
+        reads.hourly_totals(hourly, NOW, hours).select(F.lit(hours).alias("window_hours"), "activity_hour", "observation_count")
+        for hours in (1, 24, 100)
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query
+def fine_cells(spark, sf_dir):
+    """Observations on a grid of a quarter of a degree."""
+    cells = staging.grid_observations(_staged(spark, sf_dir), 0.25).groupBy("grid_lat", "grid_lon")
+    return cells.agg(F.count("*").alias("row_count"))
+
+
+@query
+def freshness_classes(spark, sf_dir):
+    """One table looked at five minutes, half an hour and a day after its newest row, and an empty one."""
+    hourly = _hourly(spark, sf_dir)
+    newest = hourly.agg(F.max("last_ingested_at")).scalar()
+    looks = [
+        reads.freshness(part, newest + F.make_dt_interval(mins=F.lit(minutes))).withColumn("minutes", F.lit(minutes))
+        for part, minutes in ((hourly, 5), (hourly, 30), (hourly, 1440), (hourly.where(F.lit(False)), 0))
+    ]
+    seen = looks[0]
+    for look in looks[1:]:
+        seen = seen.unionByName(look)
+    return views.classified_freshness(seen)
+
+
+@query
+def not_built(spark, sf_dir):
+    """Whether each published table can be opened, before and after a build."""
+    root = shared_folder(spark, "absent")
+    lake, published = Lake(spark, f"{root}/raw"), Marts(spark, f"{root}/marts")
+    lake.append(_observations(spark, sf_dir), "all")
+    found = []
+    for built in (False, True):
+        if built:
+            marts.build_marts(lake, published, _runs(spark, sf_dir))
+        for name, open_table in (("hourly", published.hourly), ("daily", published.daily), ("health", published.health)):
+            try:
+                found.append((built, name, open_table().count()))
+            except MartsNotBuilt:
+                found.append((built, name, -1))
+    return spark.createDataFrame(found, "built boolean, table_name string, row_count long")
+
+
 @query
 def quarantined_rows(spark, sf_dir):
     """Where the rows of a faulty table went: landed by day, or set aside by day and first broken rule."""
