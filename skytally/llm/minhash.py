@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skytally.llm.common import Memo, arrow_map, kept_table, map_texts, scratch, sized_broadcast, words_of
+from skytally.llm.common import TASK_ROWS, Memo, arrow_map, kept_table, map_texts, scratch, sized_broadcast, words_of
 from skytally.llm.graph import components
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -126,13 +126,20 @@ def _joined(pairs: DataFrame, values: DataFrame, column: str) -> DataFrame:
     return pairs.join(values.select("node", F.col(column).alias("a")), "node").join(theirs, "centre")
 
 
+def _slices(batches):
+    """Batches of so few rows that what a task makes of one is small beside the batch."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, TASK_ROWS):
+            yield batch.slice(start, TASK_ROWS)
+
+
 def _alike(pairs: DataFrame, similarity: float) -> DataFrame:
     """Pairs whose signatures agree nearly as often as the similarity asks for."""
     size = BANDS * ROWS
     least = size * (similarity - SLACK * (similarity * (1 - similarity) / size) ** 0.5)
 
     def kept(batches):
-        for batch in batches:
+        for batch in _slices(batches):
             ends = [np.frombuffer(b"".join(batch.column(e).to_pylist()), np.uint32).reshape(-1, size) for e in "ab"]
             agree = (ends[0] == ends[1]).sum(axis=1)
             out = batch.select(["node", "centre"]).append_column("agree", pa.array(agree, pa.int32()))
@@ -152,7 +159,7 @@ def _confirmed(pairs: DataFrame, similarity: float) -> DataFrame:
         return 100 * both >= percent * (len(a) + len(b) - both)
 
     def kept(batches):
-        for batch in batches:
+        for batch in _slices(batches):
             ends = zip(batch.column("a"), batch.column("b"))
             ok = [linked(*(np.frombuffer(end.as_py(), np.uint64) for end in pair)) for pair in ends]
             yield batch.select(["node", "centre"]).filter(pa.array(ok, pa.bool_()))
@@ -220,7 +227,7 @@ def _first_differences(pairs: DataFrame, similarity: float) -> DataFrame:
     """
 
     def kept(batches):
-        for batch in batches:
+        for batch in _slices(batches):
             made: list[list] = [[] for _ in range(7)]
             ends = zip(*(batch.column(c).to_pylist() for c in ("node", "centre", "a", "b")))
             for node, centre, *sets in ends:
