@@ -1,5 +1,7 @@
 import random
 
+from conftest import SF_DIR
+
 from skytally.llm import graph, url_filter
 
 SCHEMA = "page_id long, url string, html string, host string, rule string, component long"
@@ -103,3 +105,63 @@ def test_components_equal_union_find(spark):
     found = graph.components(spark.createDataFrame([*edges, (None, 3)], "u long, v long"))
     assert {r.node: r.component for r in found.collect()} == {n: find(n) for n in linked}
     assert graph.components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
+         ("block", "net", "/es/"), ("block", "net", "/fr/")]
+
+
+def parts(url):
+    """Host, path and address of a url by hand."""
+    if url is None or "://" not in url:
+        return "", "", None
+    scheme, rest = url.split("://", 1)
+    cut = min([rest.index(c) for c in "/?#" if c in rest], default=len(rest))
+    host = "".join(c.lower() if "A" <= c <= "Z" else c for c in rest[:cut])
+    tail = rest[cut:].split("#")[0]
+    path = tail.split("?")[0]
+    return host, path, f"{scheme.lower()}://{host}{tail if tail.startswith('/') else '/' + tail}"
+
+
+def ruling(host, path):
+    fits = [
+        (len(h + p), len(h), h + p, verdict)
+        for verdict, h, p in RULES
+        if (host == h or host.endswith("." + h)) and path.startswith(p)
+    ]
+    return max(fits)[2:] if fits else (None, None)
+
+
+def test_pages_with_planted_links_equal_brute_force(spark):
+    """The given pages with random canonical links and refreshes between them, and to urls outside, some of them blocked."""
+    pages = [(r.page_id, r.url) for r in spark.read.parquet(f"{SF_DIR}/pages.parquet").select("page_id", "url").collect()]
+    rng = random.Random(12)
+    pages += [(10_000 + n, f"http://site{n % 40}.org/p/{n}?q={n % 3}#f{n}") for n in range(150)]
+    urls = [u for _, u in pages if u and "://" in u] + ["http://x.net/es/1", "https://WWW.X.NET/fr/", "http://y.net/de/"]
+    rows, edges = [], []
+    for page, url in pages:
+        html = "<p>text</p>"
+        if url and "://" in url and rng.random() < 0.5:
+            target = rng.choice(urls)
+            html += (canonical if rng.random() < 0.5 else refresh)(target.replace("&", "&amp;"))
+            edges.append((parts(url)[2], parts(target)[2]))
+        rows.append((page, url, html))
+    parent = {a: a for edge in edges for a in edge}
+
+    def find(a):
+        while parent[a] != a:
+            a = parent[a]
+        return a
+
+    for a, b in edges:
+        parent[find(a)] = find(b)
+    blocked = {find(a) for a in parent if ruling(*parts(a)[:2])[1] == "block"}
+    expected = {}
+    for page, url in pages:
+        host, path, address = parts(url)
+        rule, verdict = ruling(host, path)
+        alias = address in parent and find(address) in blocked
+        expected[page] = (host, path, rule, verdict or ("block" if alias else "allow"))
+    found = judged(spark, rows)
+    assert {p: (r.host, r.path, r.rule, r.verdict) for p, r in found.items()} == expected
+    assert sum(r.by == "alias" for r in found.values()) > 10
