@@ -95,6 +95,11 @@ def ingestion_run_rules() -> dict[str, Column]:
     }
 
 
+def ledger_rules() -> dict[str, Column]:
+    """What an event must keep to be recorded: its run and its start are there, and its values are known."""
+    return {f"{c}_missing": F.col(c).isNull() for c in ("run_id", "started_at")} | ingestion_run_rules()
+
+
 def with_broken_rules(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     """Adds ``broken_rules``; rows where it is empty may be written, the others are set aside."""
     hits = F.array(*[F.when(broken, F.lit(name)) for name, broken in rules.items()])

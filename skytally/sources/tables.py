@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, IntegerType, StringType, StructField, StructType
 
 from skytally.functions.columns import count_where, instant
-from skytally.operators.quality import ingestion_run_rules, landing_rules, with_broken_rules
+from skytally.operators.quality import landing_rules, ledger_rules, with_broken_rules
 from skytally.schemas import (
     DAILY_ACTIVITY,
     HOURLY_ACTIVITY,
@@ -228,7 +228,7 @@ class Lake:
 
     def record(self, events: DataFrame) -> None:
         """Add events of one load and one kind; recorded again, they replace themselves."""
-        judged = _judged(conform(events, LEDGER_TABLE), ingestion_run_rules(), INGESTION_RUNS)
+        judged = _judged(conform(events, LEDGER_TABLE), ledger_rules(), INGESTION_RUNS)
         dated = judged.withColumn("started_date", F.to_date("started_at"))
         part = self.events.write(
             conform(dated, LEDGER_SINK).hint("rebalance", F.col("started_date")),

@@ -128,9 +128,11 @@ def test_broken_events_stay_out_of_the_ledger(spark, lake):
         {"event_seq": F.lit(1), "reject_reasons": F.lit(None), "load_id": F.lit("a"), "event": F.lit("finished")}
     )
     lake.record(events)
-    kept = quality.with_broken_rules(lake.ledger(), quality.ingestion_run_rules())
+    lake.record(events.limit(1).withColumns({"started_at": F.lit(None), "load_id": F.lit("b")}))
+    assert lake.ledger(load_id="b").count() == 0 and lake.changed_starts(0)
+    kept = quality.with_broken_rules(lake.ledger(), quality.ledger_rules())
     assert kept.where(F.size("broken_rules") > 0).count() == 0
-    assert lake.broken_events().count() > 0 and lake.ledger().count() + lake.broken_events().count() == events.count()
+    assert lake.broken_events().count() > 1 and lake.ledger().count() + lake.broken_events().count() == events.count() + 1
     with pytest.raises(ValueError):
         lake.record(events.withColumn("load_id", F.col("run_id")))
 
