@@ -13,9 +13,8 @@
 4. Buckets that still hold several classes are settled at once and exactly, by
    what their members have unlike their centre. Of two sets that are alike but
    not both linked with the centre, those differences overlap, by an amount that
-   follows from the sizes; so they share one of the first few differences, in an
-   order common to all (what the centre lacks first), and a join on these finds
-   every such pair. Texts around one passage differ by what only they have, so
+   follows from the sizes; so they share one of their rarest few differences, and
+   a join on these finds every such pair. Texts around one passage differ by what only they have, so
    they make no pairs however many they are.
 
 Every step is a join or an aggregate; steps read tables in the shared folder,
@@ -38,6 +37,8 @@ from skytally.llm.graph import components
 SHINGLE, SIMILARITY = 5, 0.8
 #: A pair of similarity 0.8 shares no bucket with probability (1 - 0.8**4)**20, 3 in 100,000.
 BANDS, ROWS = 20, 4
+#: Cells, as a power of two, of the table that tells common differences from rare ones.
+COUNT_BITS = 22
 #: Standard errors by which the signature may understate a pair that is then confirmed.
 SLACK = 4.5
 MEMO_WORDS = 200_000
@@ -214,40 +215,98 @@ def classes_of(docs: DataFrame, nodes: DataFrame, width: int, similarity: float)
     around = kept_table(members.join(mixed, "key").where("node <> centre").select("node", "centre").distinct(), "around")
     if around.isEmpty():
         return classes
-    firsts = _first_differences(_joined(around, sets, "shingles"), similarity).join(classes, "node")
+    differences = kept_table(_differences(_joined(around, sets, "shingles"), similarity), "differences")
+    firsts = _first_differences(differences, _commonness(differences), similarity).join(classes, "node")
     return _merged(classes, linked(kept_table(_overlapping(kept_table(firsts, "firsts"), similarity), "pairs")))
 
 
-def _first_differences(pairs: DataFrame, similarity: float) -> DataFrame:
-    """``(centre, node, size, linked, differing, place, element)``: the first of the elements that only one end has.
+def _differences(pairs: DataFrame, similarity: float) -> DataFrame:
+    """``(centre, node, size, linked, elements)``: the elements that only one end of each pair has, as bytes."""
+    percent = round(100 * similarity)
+
+    def kept(batches):
+        for batch in _slices(batches):
+            rows = []
+            for node, centre, *sets in zip(*(batch.column(c).to_pylist() for c in ("node", "centre", "a", "b"))):
+                own, its = (np.frombuffer(s, np.uint64) for s in sets)
+                more = np.setdiff1d(own, its, assume_unique=True)
+                less = np.setdiff1d(its, own, assume_unique=True)
+                linked = 100 * (len(own) - len(more)) >= percent * (len(its) + len(more))
+                rows.append((centre, node, len(own), linked, np.concatenate([more, less]).tobytes()))
+            columns = zip(*rows) if rows else [[]] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _DIFFERENCES)], schema=_DIFFERENCES)
+
+    return arrow_map(
+        pairs.select("node", "centre", "a", "b"), kept, "centre long, node long, size int, linked boolean, elements binary"
+    )
+
+
+_DIFFERENCES = pa.schema(
+    [
+        ("centre", pa.int64()),
+        ("node", pa.int64()),
+        ("size", pa.int32()),
+        ("linked", pa.bool_()),
+        ("elements", pa.binary()),
+    ]
+)
+
+
+def _cells(centre: int, elements: np.ndarray) -> np.ndarray:
+    """Where the count of an element among the differences to a centre is kept."""
+    return (_mixed(elements ^ _mixed(np.array([centre], np.int64).view(np.uint64))) >> np.uint64(64 - COUNT_BITS)).astype(np.int64)
+
+
+def _commonness(differences: DataFrame) -> np.ndarray:
+    """How many differences hold an element, in a table of fixed size.
+
+    Elements that share a cell seem more common than they are. That costs
+    candidates, never links: any order that all members of a bucket share will do.
+    """
+
+    def counted(batches):
+        counts = np.zeros(1 << COUNT_BITS, np.int32)
+        for batch in batches:
+            for centre, elements in zip(batch.column("centre").to_pylist(), batch.column("elements").to_pylist()):
+                np.add.at(counts, _cells(centre, np.frombuffer(elements, np.uint64)), 1)
+        seen = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(counts[seen], pa.int64())], names=["cell", "n"])
+
+    # A row per cell at most.
+    parts = arrow_map(differences.select("centre", "elements"), counted, "cell long, n long")
+    table = parts.groupBy("cell").agg(F.sum("n").alias("n")).where("n > 1").toArrow()
+    counts = np.zeros(1 << COUNT_BITS, np.int32)
+    counts[table.column("cell").to_numpy()] = np.minimum(table.column("n").to_numpy(), np.iinfo(np.int32).max)
+    return counts
+
+
+def _first_differences(differences: DataFrame, commonness: np.ndarray, similarity: float) -> DataFrame:
+    """``(centre, node, size, linked, differing, place, element)``: the rarest of the elements that only one end has.
 
     For sets s, x of similarity t or more, |s - x| + |x - s| <= (|s| + |x|) (1 - t) / (1 + t), and |x| <= |s| / t.
     With D_s, D_x their differences to a centre, the overlap of these is at least half of |D_s| + |D_x| less that,
     and no more than |D_x|; so it is at least |D_s| - |s| (1 - t) / t, which leaves this many places for the first.
     """
+    shared = differences.sparkSession.sparkContext.broadcast(commonness)
 
     def kept(batches):
         for batch in _slices(batches):
             made: list[list] = [[] for _ in range(7)]
-            ends = zip(*(batch.column(c).to_pylist() for c in ("node", "centre", "a", "b")))
-            for node, centre, *sets in ends:
-                own, its = (np.frombuffer(s, np.uint64) for s in sets)
-                more = np.setdiff1d(own, its, assume_unique=True)
-                less = np.setdiff1d(its, own, assume_unique=True)
-                differing, both = len(more) + len(less), len(own) - len(more)
-                linked = 100 * both >= round(100 * similarity) * (len(its) + len(more))
-                count = min(differing, int(len(own) * (1 - similarity) / similarity + 1e-9) + 1)
-                elements = np.concatenate([more, less])[:count].view(np.int64)
-                for values, value in zip(made, (centre, node, len(own), linked, differing)):
+            rows = zip(*(batch.column(c).to_pylist() for c in ("centre", "node", "size", "linked", "elements")))
+            for centre, node, size, linked, elements in rows:
+                elements = np.frombuffer(elements, np.uint64)
+                count = min(len(elements), int(size * (1 - similarity) / similarity + 1e-9) + 1)
+                order = np.lexsort((elements, shared.value[_cells(centre, elements)]))[:count]
+                for values, value in zip(made, (centre, node, size, linked, len(elements))):
                     values.append(np.full(count, value))
                 made[5].append(np.arange(count))
-                made[6].append(elements)
+                made[6].append(elements[order].view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(v) if v else [], f.type) for v, f in zip(made, _FIRSTS)], schema=_FIRSTS
             )
 
     return arrow_map(
-        pairs.select("node", "centre", "a", "b"),
+        differences,
         kept,
         "centre long, node long, size int, linked boolean, differing int, place int, element long",
     )
