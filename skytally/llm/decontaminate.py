@@ -23,9 +23,8 @@ from pyspark.sql import functions as F
 from skytally.llm.common import ascii_lower, kept_table, sized_broadcast
 
 WINDOW = 10
-#: Words, as fixed by the query, of lower-cased text.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-ANY_CASE_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: What parts the words fixed by the query, ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of lower-cased text; the same in any case.
+BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Terms and diagonal starts of the benchmark that may be broadcast; beyond that joins shuffle.
 BROADCAST_TERMS = 500_000
 BROADCAST_DOCS = 1_000_000
@@ -39,8 +38,13 @@ class Index(NamedTuple):
     postings: DataFrame  # term_id, doc, pos
 
 
+def _any_case_words(text: Column) -> Column:
+    """Split, because an extraction of all matches copies the text for each of them."""
+    return F.array_remove(F.split(text, BETWEEN), "")
+
+
 def _words(text: str) -> Column:
-    return F.regexp_extract_all(ascii_lower(F.col(text)), F.lit(WORD), F.lit(0))
+    return _any_case_words(ascii_lower(F.col(text)))
 
 
 def text_hash() -> Column:
@@ -63,7 +67,9 @@ def build_index(docs: DataFrame, benchmark: DataFrame) -> Index:
     vocabulary = kept_table(
         places.select("term").distinct().select("term", F.monotonically_increasing_id().alias("term_id")), "vocabulary"
     )
-    words = docs.select(_doc().alias("doc"), F.posexplode(_words("text")).alias("pos", "term"))
+    # Both are computed once a text, not once a word, and an outer explosion does not test the array ahead.
+    split = docs.select(_doc().alias("doc"), _words("text").alias("words"))
+    words = split.select("doc", F.posexplode_outer("words").alias("pos", "term"))
     postings = kept_table(
         words.join(sized_broadcast(vocabulary, BROADCAST_TERMS), "term").select("term_id", "doc", "pos"), "postings"
     )
@@ -174,7 +180,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) ->
     summary = named.groupBy("doc").agg(
         F.countDistinct("pos").alias("n_hit"), F.array_sort(F.collect_set(item_id)).alias("item_ids")
     )
-    counted = docs.select("doc_id", _doc().alias("doc"), F.regexp_count("text", F.lit(ANY_CASE_WORD)).alias("n"))
+    counted = docs.select("doc_id", _doc().alias("doc"), F.size(_any_case_words(F.col("text"))).alias("n"))
     joined = counted.join(summary, "doc", "left")
     items = F.coalesce("item_ids", F.array().cast("array<string>"))
     return joined.select(

@@ -100,3 +100,13 @@ def test_proximity(spark):
     index = decontaminate.build_index(documents(spark, texts), benchmark(spark, items))
     assert {r.doc.id for r in decontaminate.proximity_hits(index, span=10).collect()} == {1, 3}
     assert {r.doc.id for r in decontaminate.proximity_hits(index, span=80).collect()} == {1, 2, 3}
+
+
+def test_texts_are_split_in_one_pass(spark):
+    texts = ["", " ", "a", " Éa-B  c.", "x\x00y\x7fz\u0085w", "\U0001f600a b", "[A]`{z}", None]
+    docs = documents(spark, list(enumerate(texts)))
+    split = docs.select("doc_id", decontaminate._words("text").alias("words"))
+    assert {r.doc_id: r.words for r in split.collect()} == {n: t if t is None else words(t) for n, t in enumerate(texts)}
+    # Extracting all matches copies the text for every word.
+    plan = decontaminate.contamination(docs, benchmark(spark, ITEMS))._jdf.queryExecution().executedPlan().toString()
+    assert "regexp_extract_all" not in plan
