@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import uuid
 from collections.abc import Callable
 from contextlib import contextmanager
 from pathlib import Path
@@ -106,6 +107,22 @@ class Memo(dict):
         self[key] = value
         return value
 
+    def recalled(self, key):
+        """An older entry, which moves up; null if there is none."""
+        value = self.older.get(key)
+        if value is not None:
+            self.keep(key, value)
+        return value
+
+    def keep(self, key, value) -> None:
+        """Enter a value that was computed elsewhere, unless its key is too long."""
+        if len(key) > MEMO_KEY:
+            return
+        if len(self) >= self.most:
+            self.older = self.copy()
+            self.clear()
+        self[key] = value
+
 
 def sized_broadcast(small: DataFrame, rows: int) -> DataFrame:
     """``small`` with a broadcast hint if it was counted to have at most ``rows`` rows.
@@ -124,10 +141,34 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 _SHIPPED: set[str] = set()
+#: In a worker: whose tasks it ran last, and what they left for the next of them.
+_LASTING: dict[str, object] = {}
+
+
+def lasting(made: Callable):
+    """What ``made()`` gives, once for each worker and ``arrow_map``, so that a worker's tasks share it."""
+    if "made" not in _LASTING:
+        _LASTING["made"] = made()
+    return _LASTING["made"]
+
+
+def _turn_to(owner: str) -> None:
+    if _LASTING.get("owner") != owner:
+        _LASTING.clear()
+        _LASTING["owner"] = owner
 
 
 def arrow_map(df: DataFrame, function: Callable, schema) -> DataFrame:
-    """``df.mapInArrow`` with this package sent along, so that executors need not have it installed."""
+    """``df.mapInArrow`` with this package sent along, so that executors need not have it installed.
+
+    A worker that turns to another call of this forgets what ``lasting`` kept for the one before.
+    """
+    key = uuid.uuid4().hex
+
+    def run(batches):
+        _turn_to(key)
+        return function(batches)
+
     context = df.sparkSession.sparkContext
     if context.applicationId not in _SHIPPED:
         _SHIPPED.add(context.applicationId)
@@ -135,7 +176,7 @@ def arrow_map(df: DataFrame, function: Callable, schema) -> DataFrame:
         folder = tempfile.mkdtemp()  # on the driver, which serves the file as long as it runs
         atexit.register(shutil.rmtree, folder, ignore_errors=True)
         context.addPyFile(shutil.make_archive(f"{folder}/{package.name}", "zip", package.parent, package.name))
-    return df.mapInArrow(function, schema)
+    return df.mapInArrow(run, schema)
 
 
 _ARROW = {

@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import math
 import re
-import uuid
 from collections import Counter
 from typing import NamedTuple
 
@@ -24,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skytally.llm.common import TASK_ROWS, Memo, arrow_map, map_texts
+from skytally.llm.common import TASK_ROWS, Memo, arrow_map, lasting, map_texts
 
 # Characters that are written for letters.
 LOOK_ALIKES = {
@@ -44,17 +43,21 @@ SAMPLE = 40_000
 FEATURES = 8192
 LEAST_DOCS, LEAST_LOG_ODDS = 4, 1.5
 THRESHOLD = 0.7
-MEMO_TOKENS = 150_000
+#: Tokens whose features a worker remembers, as numbers or as names.
+MEMO_TOKENS, MEMO_NAMED = 100_000, 30_000
 FLUSH = 200_000
 
 #: Punctuation before and after a word. Some of it is also written for letters.
 LEADING = frozenset("\"'([{<«‘“¿¡#>*_~|-")
 TRAILING = frozenset(".,;:?!\"')]}>»’”|")
+#: Of these one is punctuation whatever is spared.
+CLOSING = (".", ",", ";", ":", "?")
 #: Negative log of the probability that a sign at a word's end is punctuation.
 DROPPED_EDGE = 0.3
 #: Of a look-alike that follows itself: it stands for a letter again, or is drawn out.
 STAND_IN_AGAIN, DROPPED_AGAIN = 0.1, 0.8
 _DOUBLE = re.compile(r"(.)\1")
+_RUN = re.compile(r"(.)\1+")
 _TRIPLE = re.compile(r"(.)\1\1")
 _DOUBLES = re.compile(r"(.)\1.*(.)\2")
 
@@ -76,6 +79,10 @@ def stripped(token: str, spared: str = "") -> str:
     One walk from either end, however long the runs of signs are. Signs in ``spared`` stay.
     """
     word = token.lower()
+    if word.isalpha():
+        return word
+    if word[-1:] in CLOSING and word[:-1].isalpha():
+        return word[:-1]
     start, end = 0, len(word)
     while start < end and word[start] in LEADING and word[start] not in spared:
         start += 1
@@ -96,6 +103,25 @@ def is_plain(word: str) -> bool:
 # --- character model -------------------------------------------------------------
 
 
+def _trigrams(words: list[tuple[str, int]]) -> dict[str, int]:
+    """Counts of the character trigrams of counted words; three characters are one number of 63 bits."""
+    if not words:
+        return {}
+    shown = np.frombuffer("".join([f"  {word} " for word, _ in words]).encode("utf-32-le", "surrogatepass"), np.uint32)
+    shown, lengths = shown.astype(np.int64), np.array([len(word) + 3 for word, _ in words])
+    starts = np.ones(len(shown), bool)  # the last two characters of a word start no trigram of it
+    ends = np.cumsum(lengths)
+    starts[ends - 1] = starts[ends - 2] = False
+    at = np.flatnonzero(starts)
+    codes = shown[at] << 42 | shown[at + 1] << 21 | shown[at + 2]
+    counts = np.repeat(np.array([n for _, n in words]), lengths)[at]
+    found, place = np.unique(codes, return_inverse=True)
+    totals = np.zeros(len(found), np.int64)
+    np.add.at(totals, place, counts)
+    low = (1 << 21) - 1
+    return {chr(g >> 42) + chr(g >> 21 & low) + chr(g & low): n for g, n in zip(found.tolist(), totals.tolist())}
+
+
 def trigram_counts(docs: DataFrame, most: int = TRIGRAMS) -> dict[str, int]:
     """Counts of character trigrams over the plain words of all texts; a space is a word's border."""
 
@@ -103,12 +129,8 @@ def trigram_counts(docs: DataFrame, most: int = TRIGRAMS) -> dict[str, int]:
         words, grams = Counter(), Counter()
 
         def spread():
-            for token, n in words.items():
-                word = stripped(token)
-                if word.isalpha() and not _TRIPLE.search(word):
-                    shown = f"  {word} "
-                    for i in range(len(shown) - 2):
-                        grams[shown[i : i + 3]] += n
+            plain = [(word, n) for token, n in words.items() if (word := stripped(token)).isalpha() and not _TRIPLE.search(word)]
+            grams.update(_trigrams(plain))
             words.clear()
 
         for batch in batches:
@@ -174,8 +196,13 @@ class Restorer:
         cost = self.cost
         inner = [i for i, c in enumerate(characters) if c.isalnum()] or [0]
         # By the last two characters of the reading: its cost and its backward chain of characters.
-        best: dict[str, tuple[float, tuple | None]] = {"  ": (0.0, None)}
-        for i in range(len(characters)):
+        # Letters that open it and do not follow themselves have one reading, and come as one piece.
+        sure = 0
+        while sure < len(characters) and characters[sure].isalpha() and (not sure or characters[sure] != characters[sure - 1]):
+            sure += 1
+        opening = characters[:sure]
+        best: dict[str, tuple[float, tuple | None]] = {("  " + opening)[-2:]: (0.0, (opening, None) if sure else None)}
+        for i in range(sure, len(characters)):
             readings = list(self._readings(characters, i, inner[0], inner[-1]))
             step: dict[str, tuple[float, tuple | None]] = {}
             for state, (spent, chain) in best.items():
@@ -198,6 +225,29 @@ class Restorer:
             chain = chain[1]
         return "".join(reversed(out)).strip()
 
+    def undoubled(self, word: str) -> str:
+        """``decode`` of a word of letters alone.
+
+        Only repeats are in doubt there. The reading always ends with the letter
+        last seen, so each run of one letter is settled by its two neighbours.
+        """
+        cost, out, at = self.cost, [], 0
+        for run in _RUN.finditer(word):
+            start, end = run.span()
+            letter, n = word[start], end - start
+            before, after = word[start - 1] if start else " ", word[end] if end < len(word) else " "
+            inside = cost[letter * 3] if n > 2 else 0.0
+            best, kept = (n - 1) * DROPPED_REPEAT + cost[before + letter + after], 1
+            border = cost[before + letter * 2] + cost[letter * 2 + after]
+            # Between two and all letters the price is linear in their number.
+            for m in {2, n}:
+                price = (n - m) * DROPPED_REPEAT + border + (m - 2) * inside
+                if price < best:
+                    best, kept = price, m
+            out.append(word[at:start] + letter * kept)
+            at = end
+        return "".join(out) + word[at:]
+
     def words_of(self, token: str) -> tuple[str, ...]:
         """The token as a word, and the words of its reading where it is not plainly one.
 
@@ -205,8 +255,9 @@ class Restorer:
         so is every doubled letter.
         """
         word, whole = stripped(token), stripped(token, SPARED)
-        if word == whole and word.isalpha() and not _DOUBLE.search(word):
-            return (word,)
+        if word == whole and word.isalpha():
+            read = self.undoubled(word) if _DOUBLE.search(word) else word
+            return (word,) if read == word else (word, read)
         read = self.decode(whole).split() if whole else []
         return tuple(dict.fromkeys(w for w in (word, *read) if w))
 
@@ -258,53 +309,101 @@ def restored(docs: DataFrame, trigrams: dict[str, int]) -> DataFrame:
 # --- classifier --------------------------------------------------------------------
 
 
-def _features_of(word: str):
+def _features_of(word: str) -> list[str]:
     shown = f" {word} "
-    yield word
-    for i in range(len(shown) - 3):
-        yield "~" + shown[i : i + 4]
+    return [word, *["~" + shown[i : i + 4] for i in range(len(shown) - 3)]]
+
+
+class _Grams:
+    """The character 4-grams among features, looked up for many words at once.
+
+    Four characters are one number: only those that the features use count.
+    """
+
+    def __init__(self, features: dict[str, int]):
+        grams = {name[1:]: n for name, n in features.items() if len(name) == 5 and name[0] == "~"}
+        self.ids = np.zeros(0x110000, np.uint16)
+        for n, character in enumerate(sorted(set("".join(grams)))):
+            self.ids[ord(character)] = n + 1
+        codes = self._codes("".join(grams))[::4]
+        order = np.argsort(codes)
+        self.codes, self.numbers = codes[order], np.array(list(grams.values()), np.int64)[order]
+
+    def _codes(self, text: str) -> np.ndarray:
+        ids = self.ids[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)].astype(np.uint64)
+        return ids[:-3] << np.uint64(48) | ids[1:-2] << np.uint64(32) | ids[2:-1] << np.uint64(16) | ids[3:]
+
+    def of(self, words: list[str]):
+        """Pairs of a word's place and the number of a feature it has."""
+        if not words or not len(self.codes):
+            return ()
+        codes = self._codes("".join([f" {word} " for word in words]))
+        ends = np.cumsum([len(word) + 2 for word in words])
+        at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
+        hit = self.codes[at] == codes
+        for n in (1, 2, 3):  # a gram lies within one word
+            hit[ends[:-1] - n] = False
+        places = np.flatnonzero(hit)
+        return zip(np.searchsorted(ends, places, side="right").tolist(), self.numbers[at[places]].tolist())
 
 
 class _Reader:
-    """Features of a text, as whatever ``name`` makes of their names; empty tuples are dropped."""
+    """Features of a text: their names, or the numbers of those that ``features`` lists."""
 
-    def __init__(self, trigrams: dict[str, int], name):
+    def __init__(self, trigrams: dict[str, int], features: dict[str, int] | None = None):
         self.restorer = Restorer(trigrams)
-        self.name = name
-        self.memo = Memo(lambda token: self._named(self.restorer.words_of(token)), MEMO_TOKENS)
-
-    def _named(self, words) -> tuple:
-        found = (self.name(feature) for word in words for feature in _features_of(word))
-        return tuple(dict.fromkeys(f for f in found if f is not None))
+        self.numbers = features
+        self.grams = None if features is None else _Grams(features)
+        self.memo = Memo(None, MEMO_TOKENS if self.grams else MEMO_NAMED)
+
+    def _named(self, parts: list) -> list[tuple]:
+        """The features of each part, a sequence of words."""
+        if self.grams is None:
+            return [tuple(dict.fromkeys(f for word in words for f in _features_of(word))) for words in parts]
+        known = self.numbers
+        found: list = [()] * len(parts)
+        words, owners = [], []
+        for n, part in enumerate(parts):
+            for word in part:
+                words.append(word)
+                owners.append(n)
+                if word in known:
+                    found[n] = (*found[n], known[word])
+        for place, number in self.grams.of(words):
+            n = owners[place]
+            if number not in found[n]:
+                found[n] = (*found[n], number)
+        return found
 
     def features(self, text: str | None) -> set:
         tokens = (text or "").split()
-        memo, out = self.memo, set()
+        memo, out, unread = self.memo, set(), []
+        get = memo.get
         for token in set(tokens):
-            named = memo[token]
+            named = get(token)
             if named:
                 out.update(named)
-        for run in spaced_runs(tokens):
-            out.update(self._named(self.restorer.decode(run).split()))
+            elif named is None:
+                named = memo.recalled(token)
+                if named is None:
+                    unread.append(token)
+                else:
+                    out.update(named)
+        parts = [self.restorer.words_of(token) for token in unread]
+        parts += [self.restorer.decode(run).split() for run in spaced_runs(tokens)]
+        made = self._named(parts)
+        for named in made:
+            out.update(named)
+        for token, named in zip(unread, made):
+            memo.keep(token, named)
         return out
 
 
-_READERS: dict[str, object] = {}
-
-
-def _lasting(key: str, made):
-    """What ``made()`` gives, once for each worker and key, so that a worker's tasks share the memory of tokens."""
-    if key not in _READERS:
-        _READERS.clear()
-        _READERS[key] = made()
-    return _READERS[key]
-
-
 def _feature_counts(sample: DataFrame, trigrams) -> DataFrame:
     """``(feature, toxic, clean)``: documents of sample(text, toxic) that have the feature."""
 
     def counted(batches):
-        reader = _lasting(key, lambda: _Reader(shared.value, lambda feature: feature))
+        reader = lasting(lambda: _Reader(shared.value))
         counts = (Counter(), Counter())
 
         def flushed():
@@ -317,13 +416,15 @@ def _feature_counts(sample: DataFrame, trigrams) -> DataFrame:
             )
 
         for batch in batches:
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                counts[toxic].update(reader.features(text))
-                if len(counts[0]) + len(counts[1]) > 2 * FLUSH:
+            for start in range(0, batch.num_rows, TASK_ROWS):
+                part = batch.slice(start, TASK_ROWS)
+                for text, toxic in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    counts[toxic].update(reader.features(text))
+                if len(counts[0]) + len(counts[1]) > FLUSH:
                     yield flushed()
         yield flushed()
 
-    shared, key = sample.sparkSession.sparkContext.broadcast(trigrams), uuid.uuid4().hex
+    shared = sample.sparkSession.sparkContext.broadcast(trigrams)
     parts = arrow_map(sample.select("text", "toxic"), counted, "feature string, toxic long, clean long")
     return parts.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
@@ -375,15 +476,17 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         .limit(FEATURES)
     )
     features = {row.feature: n for n, row in enumerate(best.collect())}
-    shared, key = docs.sparkSession.sparkContext.broadcast((trigrams, features)), uuid.uuid4().hex
+    shared = docs.sparkSession.sparkContext.broadcast((trigrams, features))
 
     def seen(batches):
-        reader = _lasting(key, lambda: _Reader(shared.value[0], shared.value[1].get))
+        reader = lasting(lambda: _Reader(*shared.value))
         for batch in batches:
-            found = [sorted(reader.features(text)) for text in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(found, pa.list_(pa.int32())), batch.column(1)], names=["features", "toxic"]
-            )
+            for start in range(0, batch.num_rows, TASK_ROWS):
+                part = batch.slice(start, TASK_ROWS)
+                found = [sorted(reader.features(text)) for text in part.column(0).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(found, pa.list_(pa.int32())), part.column(1)], names=["features", "toxic"]
+                )
 
     # At most 2 * sample rows of the chosen features.
     table = arrow_map(rows.select("text", "toxic"), seen, "features array<int>, toxic int").collect()
@@ -393,10 +496,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
 def _scorer(model: Model):
     """Function from a text to its score."""
-    reader = _Reader(model.trigrams, model.features.get)
+    reader, weights = _Reader(model.trigrams, model.features), model.weights.tolist()
 
     def scored(text):
-        margin = model.bias + sum(model.weights[f] for f in sorted(reader.features(text)))
+        total = 0.0
+        for feature in sorted(reader.features(text)):
+            total += weights[feature]
+        margin = model.bias + total
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, margin))))
 
     return scored
@@ -408,10 +514,10 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     Null and empty texts have no features and score as the model's bias does.
     Other columns are ignored, an empty table gives an empty result.
     """
-    shared, key = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def setup():
-        scored = _lasting(key, lambda: _scorer(shared.value))
+        scored = lasting(lambda: _scorer(shared.value))
         return lambda text: (scored(text),)
 
     return map_texts(docs, setup, {"score": "double"})
@@ -419,11 +525,11 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 def accepted(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of docs, all columns, whose text scores below the threshold; nothing is shuffled."""
-    shared, key = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
+    shared = docs.sparkSession.sparkContext.broadcast(model)
     place = docs.columns.index("text")
 
     def kept(batches):
-        scored = _lasting(key, lambda: _scorer(shared.value))
+        scored = lasting(lambda: _scorer(shared.value))
         for batch in batches:
             for start in range(0, batch.num_rows, TASK_ROWS):
                 part = batch.slice(start, TASK_ROWS)

@@ -7,7 +7,7 @@ import pytest
 from conftest import SF_DIR
 from llm_tables import by_id, documents, prose
 
-from skytally.llm import toxicity
+from skytally.llm import common, toxicity
 
 PLAIN = "the quiet river ran past a green field while people walked home and talked about bread "
 BAD = ("wretch", "scoundrel", "vermin", "blighter")
@@ -145,3 +145,30 @@ def test_decoding_finds_the_cheapest_of_all_readings():
         ways = [list(restorer._readings(token, i, inner[0], inner[-1])) for i in range(len(token))]
         best = min(price(token, chosen) for chosen in itertools.product(*ways))
         assert restorer.decode(token) == best[1], token
+
+
+def test_words_of_letters_are_read_without_the_lattice(model, monkeypatch):
+    restorer = toxicity.Restorer(model.trigrams)
+    words = ["".join(w) for n in range(1, 6) for w in itertools.product("eotß", repeat=n)] + ["gr" + "e" * n + "n" for n in range(9)]
+    lattice = {word: restorer.decode(word) for word in words}
+    monkeypatch.setattr(toxicity.Restorer, "decode", None)
+    for word in words:
+        assert restorer.words_of(word) == tuple(dict.fromkeys((word, lattice[word])))
+
+
+def test_numbers_of_features_are_those_of_their_names(model):
+    texts = ["you wretch, SCOUNDREL!! été éé a ab x.y w r e t c h", "", None, "gr€€n f1eld " * 9, "~abcd " + "z" * 400]
+    names = [toxicity._Reader(model.trigrams).features(t) for t in texts]
+    chosen = {name: n for n, name in enumerate(sorted(set().union(*names))) if n % 2}
+    reader = toxicity._Reader(model.trigrams, chosen)
+    for _ in range(2):
+        assert [reader.features(t) for t in texts] == [{chosen[n] for n in found if n in chosen} for found in names]
+
+
+def test_a_worker_forgets_what_another_stage_left():
+    common._turn_to("first")
+    assert common.lasting(lambda: 1) == 1 and common.lasting(lambda: 2) == 1
+    common._turn_to("first")
+    assert common.lasting(lambda: 2) == 1
+    common._turn_to("second")
+    assert common.lasting(lambda: 3) == 3
