@@ -86,3 +86,25 @@ def test_rebuild_reads_only_recent_days(spark, lake):
 
     text = plan(since_bound(lake.landing(), registry.LANDED_UNTIL))
     assert re.search(r"PartitionFilters: \[[^\]]*observed_date", text)
+
+
+def test_snapshots_are_sorted_natively(spark):
+    assert "lambdafunction" not in plan(src.to_payloads(src.events(spark, SF_DIR)))
+
+
+def test_loads_read_their_payloads_from_an_archive(spark, monkeypatch):
+    given = []
+
+    def land(payloads, lake, *args):
+        given.append(plan(payloads))
+        raise InterruptedError
+
+    monkeypatch.setattr(landing, "land_snapshots", land)
+    for name in ("run_reject_reasons", "landed_provenance"):
+        with contextlib.suppress(InterruptedError):
+            registry.QUERIES[name](spark, SF_DIR)
+    assert len(given) == 2 and not any("Aggregate" in text for text in given)
+
+
+def test_accounting_parses_its_payloads_once(spark):
+    assert "Generate" not in plan(registry.QUERIES["load_accounting"](spark, SF_DIR))
