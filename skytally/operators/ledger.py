@@ -108,10 +108,16 @@ def clipped(message: Column) -> Column:
 
 
 def run_states(events: DataFrame) -> DataFrame:
-    """One row per run: its latest event."""
+    """One row per run: its latest event.
+
+    The latest of whole rows is found by sorting. Rows of a run are brought
+    together first, or every reading task would sort all it reads, and a file
+    of gathered events holds very many.
+    """
     columns = [f.name for f in INGESTION_RUNS]
     return (
-        events.groupBy("run_id")
+        events.repartition("run_id")
+        .groupBy("run_id")
         .agg(F.max_by(F.struct(*columns[1:]), F.col("event_seq")).alias("latest"))
         .select("run_id", "latest.*")
     )
