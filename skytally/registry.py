@@ -890,10 +890,14 @@ def stream_land(spark, sf_dir):
 
 
 def _streamed(spark, purpose: str, table: DataFrame, keys: tuple, partial, merge) -> DataFrame:
-    """Partials of a table that arrives in five batches, each holding rows of all times; four are merged."""
+    """Partials of a table that arrives in five batches, each holding rows of all times; four are merged.
+
+    A batch is several files: as one it would be added up in one task.
+    """
     root = shared_folder(spark, purpose)
-    table.repartition(5, *keys).write.parquet(f"{root}/in")
-    stream = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    files = -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // 5)
+    table.repartition(5 * files, *keys).write.parquet(f"{root}/in")
+    stream = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", files).parquet(f"{root}/in")
     windows.append_partials(stream, partial, f"{root}/out", f"{root}/checkpoint", merge).awaitTermination()
     return windows.read_partials(spark, f"{root}/out")
 

@@ -3,13 +3,14 @@
 import contextlib
 import datetime as dt
 import io
+import pathlib
 import re
 
 from conftest import AS_OF, SF_DIR, payload_text, three_rows
 from pyspark.sql import functions as F
 
 from skytally import registry
-from skytally.operators import landing, parse
+from skytally.operators import landing, ledger, parse
 from skytally.plans import marts, reads, staging
 from skytally.sources import driver_tables as src
 from skytally.sources.payloads import open_payloads
@@ -108,3 +109,23 @@ def test_loads_read_their_payloads_from_an_archive(spark, monkeypatch):
 
 def test_accounting_parses_its_payloads_once(spark):
     assert "Generate" not in plan(registry.QUERIES["load_accounting"](spark, SF_DIR))
+
+
+def test_run_states_sort_only_what_was_dealt_by_run(spark):
+    lines = plan(ledger.run_states(src.to_ledger_events(src.orders(spark, SF_DIR)))).splitlines()
+    exchange = next(n for n, line in enumerate(lines) if "Exchange" in line)
+    assert not any("Sort" in line for line in lines[exchange:])
+
+
+def test_a_streamed_batch_is_several_files(spark, monkeypatch):
+    files = []
+
+    def append(stream, *args):
+        files.append(len(list(pathlib.Path(args[1]).parent.glob("in/*.parquet"))))
+        raise InterruptedError
+
+    monkeypatch.setattr(registry.windows, "append_partials", append)
+    with contextlib.suppress(InterruptedError):
+        registry.QUERIES["stream_hourly"](spark, SF_DIR)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert files[0] == 5 * -(-tasks // 5)
