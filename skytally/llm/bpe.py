@@ -22,7 +22,7 @@ import ahocorasick
 import regex
 from pyspark.sql import DataFrame
 
-from skytally.llm.common import Memo, map_texts
+from skytally.llm.common import Memo, lasting, map_texts
 
 #: The pattern that cuts text into pieces before merging; a fixed value of byte-level vocabularies.
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -88,7 +88,7 @@ class Encoder:
             return cls(f.read())
 
     def __reduce__(self):
-        return (shared_encoder, (self.definition,))
+        return (Encoder, (self.definition,))
 
     def _apart(self, left: int, right: int, before: float = float("inf")) -> bool:
         """Whether no merge of rank below ``before`` joins the two tokens across their border.
@@ -145,16 +145,9 @@ class Encoder:
         return b"".join(map(self.token_bytes.__getitem__, ids)).decode("utf-8", "replace")
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
-def shared_encoder(definition: str) -> Encoder:
-    """One encoder per vocabulary and Python worker, so that tasks share its memory of pieces."""
-    key = hashlib.sha256(definition.encode()).hexdigest()
-    if key not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(definition)
-    return _ENCODERS[key]
+def _coder(shared) -> Encoder:
+    """A worker's encoder, which its tasks share with its memory of pieces, until it turns to something else."""
+    return lasting(lambda: shared.value)
 
 
 def encode_texts(docs: DataFrame, encoder: Encoder) -> DataFrame:
@@ -164,14 +157,23 @@ def encode_texts(docs: DataFrame, encoder: Encoder) -> DataFrame:
     other columns are ignored.
     """
     shared = docs.sparkSession.sparkContext.broadcast(encoder)
-    return map_texts(docs, lambda: lambda text: (shared.value.encode(text or ""),), {"ids": "array<int>"})
+
+    def setup():
+        coder = _coder(shared)
+        return lambda text: (coder.encode(text or ""),)
+
+    return map_texts(docs, setup, {"ids": "array<int>"})
 
 
 def decode_ids(encoded: DataFrame, encoder: Encoder) -> DataFrame:
     """``(doc_id, text)`` for rows of (doc_id, ids); null ids give a null text."""
     shared = encoded.sparkSession.sparkContext.broadcast(encoder)
-    text = lambda ids: (None if ids is None else shared.value.decode(ids),)
-    return map_texts(encoded, lambda: text, {"text": "string"}, column="ids")
+
+    def setup():
+        coder = _coder(shared)
+        return lambda ids: (None if ids is None else coder.decode(ids),)
+
+    return map_texts(encoded, setup, {"text": "string"}, column="ids")
 
 
 def encoded_texts(docs: DataFrame, encoder: Encoder) -> DataFrame:
@@ -182,7 +184,7 @@ def encoded_texts(docs: DataFrame, encoder: Encoder) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(encoder)
 
     def setup():
-        coder = shared.value
+        coder = _coder(shared)
 
         def encoded(text):
             ids, text = coder.encode(text or ""), text or ""
@@ -203,7 +205,7 @@ def encoded_digests(docs: DataFrame, encoder: Encoder) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(encoder)
 
     def setup():
-        coder = shared.value
+        coder = _coder(shared)
 
         def digests(text):
             ids = coder.encode(text or "")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import shutil
 import tempfile
 import uuid
@@ -154,15 +155,26 @@ def lasting(made: Callable):
 
 def _turn_to(owner: str) -> None:
     if _LASTING.get("owner") != owner:
-        _LASTING.clear()
+        left = _LASTING.pop("made", None) is not None
         _LASTING["owner"] = owner
+        if left:  # memories refer to what fills them, so they go only when cycles are looked for
+            gc.collect()
+
+
+#: Of rows that go to a worker at a time. Spark's own bound is 64 MiB, and executor and worker hold a batch several
+#: times over (vectors, the buffer they are sent from, the received copy).
+BATCH_BYTES = "4m"
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def arrow_map(df: DataFrame, function: Callable, schema) -> DataFrame:
     """``df.mapInArrow`` with this package sent along, so that executors need not have it installed.
 
-    A worker that turns to another call of this forgets what ``lasting`` kept for the one before.
+    A worker that turns to another call of this forgets what ``lasting`` kept for the one before. Rows come in batches of
+    ``BATCH_BYTES``, unless the session has a bound of its own.
     """
+    if df.sparkSession.conf.get(BATCH_SETTING, None) is None:  # read when the rows are computed, so it stays
+        df.sparkSession.conf.set(BATCH_SETTING, BATCH_BYTES)
     key = uuid.uuid4().hex
 
     def run(batches):

@@ -1,9 +1,11 @@
 import random
 
+import pyarrow as pa
 import pytest
 from llm_tables import by_id, documents
 
 from skytally.llm import bpe
+from skytally.llm.common import arrow_map
 
 tokenizers = pytest.importorskip("tokenizers")
 public = pytest.importorskip("public_tokenizers")
@@ -66,3 +68,15 @@ def test_memory_of_pieces_is_bounded(encoder):
     encoder.encode(" ".join(str(n) for n in range(1000)))
     assert len(encoder.memo) <= 50 and len(encoder.memo.older) <= 50
     encoder.memo.most = kept
+
+
+def test_workers_forget_the_encoder_when_they_turn_to_other_work(spark, encoder):
+    def encoders(batches):
+        import gc
+
+        for _ in batches:
+            yield pa.RecordBatch.from_pydict({"n": [sum(type(o).__name__ == "Encoder" for o in gc.get_objects())]})
+
+    docs = spark.range(64, numPartitions=8).selectExpr("id as doc_id", "'some text' as text")
+    assert bpe.encode_texts(docs, encoder).count() == 64
+    assert {r.n for r in arrow_map(docs, encoders, "n long").collect()} == {0}
