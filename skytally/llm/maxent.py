@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skytally.llm.common import TASK_ROWS, Memo, arrow_map, kept_table, map_texts, words_of
+from skytally.llm.common import TASK_ROWS, Memo, arrow_map, kept_table, lasting, map_texts, words_of
 
 #: Words whose counts every task holds; the least frequent are left out until there are this many.
 HEAD = 1 << 17
@@ -58,6 +58,11 @@ class Model(NamedTuple):
     words: int  # V
     counts: DataFrame  # token, n
 
+    @property
+    def total(self) -> float:
+        """The smoothed count of all words."""
+        return self.tokens + SMOOTHING * (self.words + 1)
+
 
 def ending_class(token: bytes) -> int:
     return OWN + zlib.crc32(token[-2:]) % SHARED
@@ -148,7 +153,7 @@ def transitions(texts: DataFrame, head: dict[bytes, int]) -> DataFrame:
     shared = texts.sparkSession.sparkContext.broadcast(head)
 
     def gathered(batches):
-        codes, table = _codes(shared.value), _classes(shared.value)
+        codes, table = lasting(lambda: (_codes(shared.value), _classes(shared.value)))
         start = int(table[shared.value[END]])
         held, size = [], 0
 
@@ -252,6 +257,35 @@ def train(texts: DataFrame, updates: int = UPDATES, head_size: int = HEAD) -> Mo
     return Model(head, places, cutoff, weights, bias, mass, totals.tokens, totals.words, counts)
 
 
+def _scorer(model: Model):
+    """Function from a text to ``(n_tokens, n_head, head_score, gain, rare)``; ``rare`` has the words beyond head."""
+    codes, table, size = _codes(model.head), _classes(model.head), len(model.head)
+    start, total = int(table[model.head[END]]), model.total
+    base = np.concatenate([np.log10((model.head_counts + SMOOTHING) / total), np.zeros(SHARED)])
+    prior = np.log10(np.maximum(model.mass, 1e-9) / total)
+    # One row per history, 28 MB in all, of which those that were met take memory.
+    logs = np.zeros((CLASSES * CLASSES, CLASSES), np.float32)
+    met = np.zeros(CLASSES * CLASSES, bool)
+
+    def gains(classes):
+        histories = _histories(classes, start)
+        new = np.unique(histories[~met[histories]])
+        for low in range(0, len(new), 4096):
+            some = new[low : low + 4096]
+            logs[some] = log_probabilities(model.weights, model.bias, some) / math.log(10)
+        met[new] = True
+        return float((logs[histories, classes] - prior[classes]).sum())
+
+    def scored(text):
+        words = [*words_of(text), END]
+        code = codes(words)
+        rare = np.nonzero(code >= size)[0]
+        unheld = [words[i].decode("utf-8", "surrogatepass") for i in rare]
+        return len(words), len(words) - len(rare), float(base[code].sum()), gains(table[code]), unheld
+
+    return scored
+
+
 def score(docs: DataFrame, model: Model | None) -> DataFrame:
     """``(doc_id, n_tokens, n_known, base_score, score)`` for documents(doc_id, text), one row per row.
 
@@ -268,34 +302,11 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
             F.lit(0.0).alias("base_score"),
             F.lit(0.0).alias("score"),
         )
-    total = model.tokens + SMOOTHING * (model.words + 1)
+    total = model.total
     shared = docs.sparkSession.sparkContext.broadcast(model._replace(counts=None))
 
     def setup():
-        mine = shared.value
-        codes, table, size = _codes(mine.head), _classes(mine.head), len(mine.head)
-        start = int(table[mine.head[END]])
-        base = np.concatenate([np.log10((mine.head_counts + SMOOTHING) / total), np.zeros(SHARED)])
-        prior = np.log10(np.maximum(mine.mass, 1e-9) / total)
-        known: dict[int, np.ndarray] = {}
-
-        def gains(classes):
-            histories, at = np.unique(_histories(classes, start), return_inverse=True)
-            new = np.array([h for h in histories.tolist() if h not in known], np.int64)
-            for low in range(0, len(new), 4096):
-                logs = log_probabilities(mine.weights, mine.bias, new[low : low + 4096]) / math.log(10)
-                known.update(zip(new[low : low + 4096].tolist(), logs.astype(np.float32)))
-            by_history = np.stack([known[h] for h in histories.tolist()])
-            return float((by_history[at, classes] - prior[classes]).sum())
-
-        def scored(text):
-            words = [*words_of(text), END]
-            code = codes(words)
-            rare = np.nonzero(code >= size)[0]
-            unheld = [words[i].decode("utf-8", "surrogatepass") for i in rare]
-            return len(words), len(words) - len(rare), float(base[code].sum()), gains(table[code]), unheld
-
-        return scored
+        return lasting(lambda: _scorer(shared.value))
 
     columns = {"n_tokens": "long", "n_head": "long", "head_score": "double", "gain": "double", "rare": "array<string>"}
     scored = kept_table(map_texts(docs, setup, columns).withColumn("row", F.monotonically_increasing_id()), "scored")

@@ -80,6 +80,22 @@ def test_probabilities_sum_to_one(spark):
     assert np.allclose(shares, model.mass)
 
 
+def test_histories_are_worked_out_once_for_all_texts_of_a_worker(spark, monkeypatch):
+    model = maxent.train(documents(spark, ROWS[:7]), updates=3)
+    plain, asked = maxent.log_probabilities, []
+    monkeypatch.setattr(maxent, "log_probabilities", lambda w, b, h: (asked.extend(h.tolist()), plain(w, b, h))[1])
+    scored = maxent._scorer(model)
+    texts = ["the cat sat on the mat", "on the mat the cat sat", None, "the cat sat on the mat"]
+    gains = [scored(text)[3] for text in texts]
+    assert gains[0] == gains[3] and len(asked) == len(set(asked)) > 5
+    table = maxent._classes(model.head)
+    for text, gain in zip(texts, gains):
+        classes = table[maxent._codes(model.head)(words_of(text) + [maxent.END])]
+        histories = maxent._histories(classes, int(table[model.head[maxent.END]]))
+        logs = plain(model.weights, model.bias, histories)[np.arange(len(classes)), classes] / math.log(10)
+        assert math.isclose(gain, (logs - np.log10(model.mass[classes] / model.total)).sum(), rel_tol=1e-4, abs_tol=1e-5)
+
+
 def test_order_matters_after_training(spark):
     train = documents(spark, [(n, "a b c d e f " * 40) for n in range(20)])
     model = maxent.train(train)
