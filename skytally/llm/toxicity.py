@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skytally.llm.common import TASK_ROWS, Memo, arrow_map, lasting, map_texts
+from skytally.llm.common import MEMO_KEY, TASK_ROWS, Memo, arrow_map, lasting, map_texts
 
 # Characters that are written for letters.
 LOOK_ALIKES = {
@@ -43,9 +43,14 @@ SAMPLE = 40_000
 FEATURES = 8192
 LEAST_DOCS, LEAST_LOG_ODDS = 4, 1.5
 THRESHOLD = 0.7
-#: Tokens whose features a worker remembers, as numbers or as names.
-MEMO_TOKENS, MEMO_NAMED = 100_000, 30_000
+#: Tokens whose features a worker remembers, in each of two generations.
+MEMO_TOKENS = 60_000
+#: Names that a task counts before it hands them on.
 FLUSH = 200_000
+#: Characters of the texts that are read together; a longer text is read alone.
+CHUNK = 1 << 18
+#: Tokens whose trigrams are counted together.
+PIECE = 1 << 16
 
 #: Punctuation before and after a word. Some of it is also written for letters.
 LEADING = frozenset("\"'([{<«‘“¿¡#>*_~|-")
@@ -103,51 +108,105 @@ def is_plain(word: str) -> bool:
 # --- character model -------------------------------------------------------------
 
 
-def _trigrams(words: list[tuple[str, int]]) -> dict[str, int]:
-    """Counts of the character trigrams of counted words; three characters are one number of 63 bits."""
-    if not words:
-        return {}
-    shown = np.frombuffer("".join([f"  {word} " for word, _ in words]).encode("utf-32-le", "surrogatepass"), np.uint32)
-    shown, lengths = shown.astype(np.int64), np.array([len(word) + 3 for word, _ in words])
-    starts = np.ones(len(shown), bool)  # the last two characters of a word start no trigram of it
-    ends = np.cumsum(lengths)
-    starts[ends - 1] = starts[ends - 2] = False
-    at = np.flatnonzero(starts)
-    codes = shown[at] << 42 | shown[at + 1] << 21 | shown[at + 2]
-    counts = np.repeat(np.array([n for _, n in words]), lengths)[at]
-    found, place = np.unique(codes, return_inverse=True)
-    totals = np.zeros(len(found), np.int64)
-    np.add.at(totals, place, counts)
-    low = (1 << 21) - 1
-    return {chr(g >> 42) + chr(g >> 21 & low) + chr(g & low): n for g, n in zip(found.tolist(), totals.tolist())}
+def _chunks(texts: list):
+    """Slices of the list of at most ``CHUNK`` characters, or of one text."""
+    start = size = 0
+    for n, text in enumerate(texts):
+        size += len(text or "")
+        if size > CHUNK and n > start:
+            yield slice(start, n)
+            start, size = n, len(text or "")
+    if start < len(texts):
+        yield slice(start, len(texts))
+
+
+def _points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+class _Plain:
+    """Which code points are letters, and which plain word a token with other signs is (or none). Each is asked for once."""
+
+    def __init__(self):
+        self.kinds = np.zeros(0x110000, np.int8)
+        self.words = Memo(self._word, 1 << 14)
+
+    def letters(self, points: np.ndarray) -> np.ndarray:
+        kinds = self.kinds[points]
+        if not kinds.all():
+            for point in np.unique(points[kinds == 0]).tolist():
+                self.kinds[point] = 1 if chr(point).isalpha() else -1
+            kinds = self.kinds[points]
+        return kinds > 0
+
+    @staticmethod
+    def _word(token: str) -> str:
+        word = stripped(token)
+        return word if word.isalpha() and not _TRIPLE.search(word) else ""
+
+
+def _trigrams(tokens: list[str], known: _Plain) -> tuple[np.ndarray, np.ndarray]:
+    """Character trigrams of the plain words among tokens in lower case as numbers of 63 bits, and their counts."""
+    # Two spaces before each token, one after the last: what is no letter of a plain word becomes a space too.
+    points = _points("  " + "  ".join(tokens) + " ")
+    letter, space = known.letters(points), points == 32
+    borders = np.flatnonzero(space[1:] != space[:-1]) + 1
+    starts, ends = borders[::2], borders[1::2]
+    lengths = ends - starts
+    strange = np.bincount(np.searchsorted(ends, np.flatnonzero(~(letter | space)), side="right"), minlength=len(tokens))
+    closed = (strange == 1) & (lengths > 1) & np.isin(points[ends - 1], [ord(c) for c in CLOSING])
+    simple = (strange == 0) | closed
+    plain = simple.copy()
+    tripled = np.flatnonzero((points[:-2] == points[1:-1]) & (points[1:-1] == points[2:]) & letter[:-2])
+    plain[np.searchsorted(ends, tripled, side="right")] = False
+    points = np.where(letter & np.append(np.repeat(plain, lengths + 2), False), points, np.uint32(32))
+    others = [word for n in np.flatnonzero(~simple).tolist() if (word := known.words[tokens[n]])]
+    if others:
+        points = np.concatenate([points, _points("  " + "  ".join(others) + " ")])
+    points = points.astype(np.int64)
+    first, second, third = points[:-2], points[1:-1], points[2:]
+    at = np.flatnonzero((second != 32) | (first == 32) & (third != 32))
+    return np.unique(first[at] << 42 | second[at] << 21 | third[at], return_counts=True)
 
 
 def trigram_counts(docs: DataFrame, most: int = TRIGRAMS) -> dict[str, int]:
     """Counts of character trigrams over the plain words of all texts; a space is a word's border."""
 
     def counted(batches):
-        words, grams = Counter(), Counter()
+        known, grams, low = lasting(_Plain), Counter(), (1 << 21) - 1
 
-        def spread():
-            plain = [(word, n) for token, n in words.items() if (word := stripped(token)).isalpha() and not _TRIPLE.search(word)]
-            grams.update(_trigrams(plain))
-            words.clear()
+        def flushed():
+            names = [chr(g >> 42) + chr(g >> 21 & low) + chr(g & low) for g in grams]
+            made = pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(grams.values(), pa.int64())], names=["gram", "n"])
+            grams.clear()
+            return made
 
         for batch in batches:
             for start in range(0, batch.num_rows, TASK_ROWS):
-                for text in batch.column(0).slice(start, TASK_ROWS).to_pylist():
-                    words.update((text or "").split())
-                if len(words) > FLUSH:
-                    spread()
-        spread()
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(grams.keys(), pa.string()), pa.array(grams.values(), pa.int64())], names=["gram", "n"]
-        )
+                texts = batch.column(0).slice(start, TASK_ROWS).to_pylist()
+                for chunk in _chunks(texts):
+                    tokens = " ".join([text for text in texts[chunk] if text]).lower().split()
+                    for at in range(0, len(tokens), PIECE):
+                        codes, totals = _trigrams(tokens[at : at + PIECE], known)
+                        grams.update(dict(zip(codes.tolist(), totals.tolist())))
+                if len(grams) > FLUSH:
+                    yield flushed()
+        yield flushed()
 
     counts = arrow_map(docs.select("text"), counted, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
     return {row.gram: row.n for row in counts.orderBy(F.desc("n"), "gram").limit(most).collect()}
 
 
+def _opening(characters: str) -> str:
+    """The letters at the start of which none follows itself."""
+    last = ""
+    for n, character in enumerate(characters):
+        if character == last or not character.isalpha():
+            return characters[:n]
+        last = character
+    return characters
+
+
 class Restorer:
     """Viterbi decoding of disguised tokens under a character trigram model."""
 
@@ -161,6 +220,9 @@ class Restorer:
             self.one[gram[2]] += n
         self.total = sum(self.one.values()) or 1
         self.cost = Memo(self._cost, 1 << 18)
+        self.endings = Memo(self._ending, 1 << 14)
+        self.kept = Memo(self._kept, 1 << 14)
+        self.rests = Memo(self._rests, 1 << 14)
 
     def _cost(self, gram: str) -> float:
         """Negative log of the third character's probability after the first two."""
@@ -192,17 +254,21 @@ class Restorer:
                 yield "", DROPPED_SIGN if c in SIGNS else DROPPED_OTHER
 
     def decode(self, characters: str) -> str:
-        """The likeliest reading; words in it are parted by spaces."""
-        cost = self.cost
-        inner = [i for i, c in enumerate(characters) if c.isalnum()] or [0]
+        """The likeliest reading; words in it are parted by spaces.
+
+        Letters that open it and do not follow themselves have one reading. How
+        the rest is read depends on no more than the last two of them.
+        """
+        opening = _opening(characters)
+        return (opening + self.endings[("  " + opening)[-2:] + characters[len(opening) :]]).strip()
+
+    def _ending(self, shown: str) -> str:
+        """The likeliest reading of what follows the first two characters: letters, or spaces where nothing precedes."""
+        cost, characters = self.cost, shown[1:]
+        inner = [i for i, c in enumerate(characters) if c.isalnum()] or [1]
         # By the last two characters of the reading: its cost and its backward chain of characters.
-        # Letters that open it and do not follow themselves have one reading, and come as one piece.
-        sure = 0
-        while sure < len(characters) and characters[sure].isalpha() and (not sure or characters[sure] != characters[sure - 1]):
-            sure += 1
-        opening = characters[:sure]
-        best: dict[str, tuple[float, tuple | None]] = {("  " + opening)[-2:]: (0.0, (opening, None) if sure else None)}
-        for i in range(sure, len(characters)):
+        best: dict[str, tuple[float, tuple | None]] = {shown[:2]: (0.0, None)}
+        for i in range(1, len(characters)):
             readings = list(self._readings(characters, i, inner[0], inner[-1]))
             step: dict[str, tuple[float, tuple | None]] = {}
             for state, (spent, chain) in best.items():
@@ -223,7 +289,7 @@ class Restorer:
         while chain is not None:
             out.append(chain[0])
             chain = chain[1]
-        return "".join(reversed(out)).strip()
+        return "".join(reversed(out))
 
     def undoubled(self, word: str) -> str:
         """``decode`` of a word of letters alone.
@@ -231,29 +297,44 @@ class Restorer:
         Only repeats are in doubt there. The reading always ends with the letter
         last seen, so each run of one letter is settled by its two neighbours.
         """
-        cost, out, at = self.cost, [], 0
+        out, at, shown = [], 0, f" {word} "
         for run in _RUN.finditer(word):
             start, end = run.span()
-            letter, n = word[start], end - start
-            before, after = word[start - 1] if start else " ", word[end] if end < len(word) else " "
-            inside = cost[letter * 3] if n > 2 else 0.0
-            best, kept = (n - 1) * DROPPED_REPEAT + cost[before + letter + after], 1
-            border = cost[before + letter * 2] + cost[letter * 2 + after]
-            # Between two and all letters the price is linear in their number.
-            for m in {2, n}:
-                price = (n - m) * DROPPED_REPEAT + border + (m - 2) * inside
-                if price < best:
-                    best, kept = price, m
-            out.append(word[at:start] + letter * kept)
+            out.append(word[at:start] + word[start] * self.kept[shown[start : end + 2]])
             at = end
         return "".join(out) + word[at:]
 
+    def _kept(self, shown: str) -> int:
+        """How many letters the run between the first and the last character is read as."""
+        cost, before, letter, after, n = self.cost, shown[0], shown[1], shown[-1], len(shown) - 2
+        inside = cost[letter * 3] if n > 2 else 0.0
+        best, kept = (n - 1) * DROPPED_REPEAT + cost[before + letter + after], 1
+        border = cost[before + letter * 2] + cost[letter * 2 + after]
+        # Between two and all letters the price is linear in their number.
+        for m in {2, n}:
+            price = (n - m) * DROPPED_REPEAT + border + (m - 2) * inside
+            if price < best:
+                best, kept = price, m
+        return kept
+
     def words_of(self, token: str) -> tuple[str, ...]:
         """The token as a word, and the words of its reading where it is not plainly one.
 
         Signs at its ends that may stand for letters are left to the lattice, and
-        so is every doubled letter.
+        so is every doubled letter. As in ``decode``, no more than the last two
+        letters of its opening tell what follows them.
         """
+        token = token.lower()
+        opening = _opening(token)
+        if not opening or " " in token:
+            return self._words_of(token)
+        return tuple([opening + rest for rest in self.rests[("  " + opening)[-2:] + token[len(opening) :]]])
+
+    def _rests(self, shown: str) -> tuple[str, ...]:
+        opening = shown[:2].lstrip()
+        return tuple(word[len(opening) :] for word in self._words_of(opening + shown[2:]))
+
+    def _words_of(self, token: str) -> tuple[str, ...]:
         word, whole = stripped(token), stripped(token, SPARED)
         if word == whole and word.isalpha():
             read = self.undoubled(word) if _DOUBLE.search(word) else word
@@ -264,9 +345,10 @@ class Restorer:
 
 def spaced_runs(tokens: list[str]):
     """Joined by spaces, each run of three or more single characters."""
-    singles = [i for i, token in enumerate(tokens) if len(token) == 1]
-    if len(singles) < 3:
+    lengths = list(map(len, tokens))
+    if lengths.count(1) < 3:
         return
+    singles = [i for i, length in enumerate(lengths) if length == 1]
     start = 0
     for n in range(1, len(singles) + 1):
         if n == len(singles) or singles[n] != singles[n - 1] + 1:
@@ -328,9 +410,16 @@ class _Grams:
         codes = self._codes("".join(grams))[::4]
         order = np.argsort(codes)
         self.codes, self.numbers = codes[order], np.array(list(grams.values()), np.int64)[order]
+        # Most grams of a text are no feature: a table by 18 bits of a product tells so.
+        self.likely = np.zeros(1 << 18, bool)
+        self.likely[self._places(codes)] = True
+
+    @staticmethod
+    def _places(codes: np.ndarray) -> np.ndarray:
+        return codes * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(46)
 
     def _codes(self, text: str) -> np.ndarray:
-        ids = self.ids[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)].astype(np.uint64)
+        ids = self.ids[_points(text)].astype(np.uint64)
         return ids[:-3] << np.uint64(48) | ids[1:-2] << np.uint64(32) | ids[2:-1] << np.uint64(16) | ids[3:]
 
     def of(self, words: list[str]):
@@ -339,64 +428,156 @@ class _Grams:
             return ()
         codes = self._codes("".join([f" {word} " for word in words]))
         ends = np.cumsum([len(word) + 2 for word in words])
+        likely = self.likely[self._places(codes)]
+        for n in (1, 2, 3):  # a gram lies within one word
+            likely[ends[:-1] - n] = False
+        places = np.flatnonzero(likely)
+        codes = codes[places]
         at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
         hit = self.codes[at] == codes
-        for n in (1, 2, 3):  # a gram lies within one word
-            hit[ends[:-1] - n] = False
-        places = np.flatnonzero(hit)
-        return zip(np.searchsorted(ends, places, side="right").tolist(), self.numbers[at[places]].tolist())
+        return zip(np.searchsorted(ends, places[hit], side="right").tolist(), self.numbers[at[hit]].tolist())
 
 
 class _Reader:
-    """Features of a text: their names, or the numbers of those that ``features`` lists."""
+    """Features of texts: their names, or the numbers of those that ``features`` lists."""
 
     def __init__(self, trigrams: dict[str, int], features: dict[str, int] | None = None):
         self.restorer = Restorer(trigrams)
         self.numbers = features
         self.grams = None if features is None else _Grams(features)
-        self.memo = Memo(None, MEMO_TOKENS if self.grams else MEMO_NAMED)
+        self.young, self.old = {}, {}
+
+    def tokens(self, texts: list) -> list[set[str]]:
+        """The tokens of each text in lower case, and its runs of single characters as one token each."""
+        found = []
+        for text in texts:
+            tokens = (text or "").lower().split()
+            distinct = set(tokens)
+            # The one character that is longer in lower case.
+            distinct.update(spaced_runs(text.split() if text and "\u0130" in text else tokens))
+            found.append(distinct)
+        return found
 
-    def _named(self, parts: list) -> list[tuple]:
-        """The features of each part, a sequence of words."""
-        if self.grams is None:
-            return [tuple(dict.fromkeys(f for word in words for f in _features_of(word))) for words in parts]
-        known = self.numbers
-        found: list = [()] * len(parts)
-        words, owners = [], []
-        for n, part in enumerate(parts):
-            for word in part:
+    def words(self, tokens: list[str]) -> tuple[list[str], list[int]]:
+        """The words of all tokens, as ``Restorer.words_of`` has them, and the places of their tokens."""
+        words, owners, odd = [], [], []
+        for n, token in enumerate(tokens):
+            if not token.isalpha():
+                if token[-1] not in CLOSING or not token[:-1].isalpha():
+                    odd.append(n)
+                    continue
+                token = token[:-1]
+            words.append(token)
+            owners.append(n)
+        restorer = self.restorer
+        if words:
+            points = _points(" ".join(words))
+            ends = np.cumsum([len(word) + 1 for word in words])
+            doubled = np.unique(np.searchsorted(ends, np.flatnonzero(points[1:] == points[:-1]), side="right"))
+            for n in doubled.tolist():
+                read = restorer.undoubled(words[n])
+                if read != words[n]:
+                    words.append(read)
+                    owners.append(owners[n])
+        for n in odd:
+            token = tokens[n]
+            for word in restorer.decode(token).split() if " " in token else restorer.words_of(token):
                 words.append(word)
                 owners.append(n)
-                if word in known:
-                    found[n] = (*found[n], known[word])
+        return words, owners
+
+    def _read(self, tokens: list[str]) -> dict[str, tuple]:
+        """The features of each token."""
+        words, owners = self.words(tokens)
+        found: dict[str, tuple] = dict.fromkeys(tokens, ())
+        if self.grams is None:
+            for word, n in zip(words, owners):
+                found[tokens[n]] += tuple(_features_of(word))
+            return found
+        known = self.numbers
+        for word, n in zip(words, owners):
+            if word in known:
+                found[tokens[n]] += (known[word],)
         for place, number in self.grams.of(words):
-            n = owners[place]
-            if number not in found[n]:
-                found[n] = (*found[n], number)
+            token = tokens[owners[place]]
+            if number not in found[token]:
+                found[token] += (number,)
+        return found
+
+    def _chunk(self, texts: list) -> list[set]:
+        texts = self.tokens(texts)
+        if len(self.young) > MEMO_TOKENS:
+            self.young, self.old = {}, self.young
+        young, old = self.young, self.old
+        wanted = set().union(*texts)
+        new = wanted.difference(young)
+        again = old.keys() & new
+        young.update([(token, old[token]) for token in again])
+        made = self._read(list(new - again))
+        young.update(made)
+        telling = {token for token in wanted if young[token]}
+        found = [set().union(*[young[token] for token in tokens & telling]) for tokens in texts]
+        for token in made:
+            if len(token) > MEMO_KEY:
+                del young[token]
         return found
 
+    def all_features(self, texts: list) -> list[set]:
+        """The features of each text. Tokens that are new to the worker are read together."""
+        return [found for chunk in _chunks(texts) for found in self._chunk(texts[chunk])]
+
     def features(self, text: str | None) -> set:
-        tokens = (text or "").split()
-        memo, out, unread = self.memo, set(), []
-        get = memo.get
-        for token in set(tokens):
-            named = get(token)
-            if named:
-                out.update(named)
-            elif named is None:
-                named = memo.recalled(token)
-                if named is None:
-                    unread.append(token)
-                else:
-                    out.update(named)
-        parts = [self.restorer.words_of(token) for token in unread]
-        parts += [self.restorer.decode(run).split() for run in spaced_runs(tokens)]
-        made = self._named(parts)
-        for named in made:
-            out.update(named)
-        for token, named in zip(unread, made):
-            memo.keep(token, named)
-        return out
+        return self._chunk([text])[0]
+
+
+def _expanded(places: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each place in a list of groups, which end at ``ends``: the members of that group, and the index of the place."""
+    starts = np.concatenate([[0], ends[:-1]])
+    sizes = (ends - starts)[places]
+    at = np.repeat(np.arange(len(places)), sizes)
+    within = np.arange(len(at)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    return starts[places][at] + within, at
+
+
+def _documents_with(reader: _Reader, texts: list, toxic: np.ndarray):
+    """``(names, toxic, clean)``: words and then 4-grams of the texts, and how many toxic and clean texts have each."""
+    texts = reader.tokens(texts)
+    tokens = list(set().union(*texts))
+    words, owners = reader.words(tokens)
+    if not words:
+        return
+    # Texts to tokens, tokens to words, words to grams: each step lists members by group.
+    place = {token: n for n, token in enumerate(tokens)}
+    sizes = [len(t) for t in texts]
+    of_token = np.fromiter((place[token] for t in texts for token in t), np.int64, sum(sizes))
+    text = np.repeat(np.arange(len(texts)), sizes)
+    ids: dict[str, int] = {}
+    number = np.array([ids.setdefault(word, len(ids)) for word in words], np.int64)
+    number = number[np.argsort(owners, kind="stable")]
+    member, at = _expanded(of_token, np.cumsum(np.bincount(owners, minlength=len(tokens))))
+
+    def counts(rows, columns, n):
+        has = np.zeros((len(texts), n), bool)
+        has[rows, columns] = True
+        return has[toxic].sum(0).tolist(), has[~toxic].sum(0).tolist()
+
+    text, word = text[at], number[member]
+    names = list(ids)
+    yield names, *counts(text, word, len(names))
+    lengths = np.array([len(name) for name in names])
+    points = _points("".join([f" {name} " for name in names])).astype(np.int64)
+    inside = np.ones(len(points), bool)  # the last three characters of a word start no gram of it
+    ends = np.cumsum(lengths + 2)
+    for n in (1, 2, 3):
+        inside[ends - n] = False
+    # Pairs of characters are numbered first, so that a gram is one number whatever the alphabet.
+    _, pairs = np.unique(points[:-1] << 21 | points[1:], return_inverse=True)
+    starts = np.flatnonzero(inside)
+    _, first, gram = np.unique(pairs[starts] << 32 | pairs[starts + 2], return_index=True, return_inverse=True)
+    member, at = _expanded(word, np.cumsum(lengths - 1))
+    shown = points[starts[first][:, None] + np.arange(4)].astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+    names = ["~" + shown[n : n + 4] for n in range(0, len(shown), 4)]
+    yield names, *counts(text[at], gram[member], len(names))
 
 
 def _feature_counts(sample: DataFrame, trigrams) -> DataFrame:
@@ -418,10 +599,13 @@ def _feature_counts(sample: DataFrame, trigrams) -> DataFrame:
         for batch in batches:
             for start in range(0, batch.num_rows, TASK_ROWS):
                 part = batch.slice(start, TASK_ROWS)
-                for text, toxic in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    counts[toxic].update(reader.features(text))
-                if len(counts[0]) + len(counts[1]) > FLUSH:
-                    yield flushed()
+                texts, toxic = part.column(0).to_pylist(), np.array(part.column(1).to_pylist(), bool)
+                for chunk in _chunks(texts):
+                    for names, *found in _documents_with(reader, texts[chunk], toxic[chunk]):
+                        for count, of in zip(counts, reversed(found)):
+                            count.update({name: n for name, n in zip(names, of) if n})
+                    if len(counts[0]) + len(counts[1]) > FLUSH:
+                        yield flushed()
         yield flushed()
 
     shared = sample.sparkSession.sparkContext.broadcast(trigrams)
@@ -483,7 +667,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         for batch in batches:
             for start in range(0, batch.num_rows, TASK_ROWS):
                 part = batch.slice(start, TASK_ROWS)
-                found = [sorted(reader.features(text)) for text in part.column(0).to_pylist()]
+                found = [sorted(f) for f in reader.all_features(part.column(0).to_pylist())]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(found, pa.list_(pa.int32())), part.column(1)], names=["features", "toxic"]
                 )
@@ -495,15 +679,18 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
 
 def _scorer(model: Model):
-    """Function from a text to its score."""
+    """Function from texts to their scores."""
     reader, weights = _Reader(model.trigrams, model.features), model.weights.tolist()
 
-    def scored(text):
-        total = 0.0
-        for feature in sorted(reader.features(text)):
-            total += weights[feature]
-        margin = model.bias + total
-        return 1 / (1 + math.exp(-max(-30.0, min(30.0, margin))))
+    def scored(texts):
+        scores = []
+        for features in reader.all_features(texts):
+            total = 0.0
+            for feature in sorted(features):
+                total += weights[feature]
+            margin = model.bias + total
+            scores.append(1 / (1 + math.exp(-max(-30.0, min(30.0, margin)))))
+        return scores
 
     return scored
 
@@ -516,11 +703,15 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def setup():
+    def mapped(batches):
         scored = lasting(lambda: _scorer(shared.value))
-        return lambda text: (scored(text),)
+        for batch in batches:
+            for start in range(0, batch.num_rows, TASK_ROWS):
+                part = batch.slice(start, TASK_ROWS)
+                scores = pa.array(scored(part.column(1).to_pylist()), pa.float64())
+                yield pa.RecordBatch.from_arrays([part.column(0), scores], names=["doc_id", "score"])
 
-    return map_texts(docs, setup, {"score": "double"})
+    return arrow_map(docs.select(F.col("doc_id").cast("long"), "text"), mapped, "doc_id long, score double")
 
 
 def accepted(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
@@ -533,7 +724,7 @@ def accepted(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> Dat
         for batch in batches:
             for start in range(0, batch.num_rows, TASK_ROWS):
                 part = batch.slice(start, TASK_ROWS)
-                below = [scored(text) < threshold for text in part.column(place).to_pylist()]
+                below = [score < threshold for score in scored(part.column(place).to_pylist())]
                 yield part.filter(pa.array(below, pa.bool_()))
 
     return arrow_map(docs, kept, docs.schema)

@@ -1,8 +1,10 @@
 import itertools
+import random
 import time
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from conftest import SF_DIR
 from llm_tables import by_id, documents, prose
@@ -172,3 +174,70 @@ def test_a_worker_forgets_what_another_stage_left():
     assert common.lasting(lambda: 2) == 1
     common._turn_to("second")
     assert common.lasting(lambda: 3) == 3
+
+
+ODD_TEXTS = ["", None, "İ a b İ c", "ΑΣ Σ Σ ΟΔΟΣ Σ.", "x\x00y \x00 aa\x00", "~abcd ~~x~ w r e t c h", "a" * 600 + " b" * 400, "𝒜𝒷 d𝔢ff 漢字漢字 ééé.",
+             "a. .a ... 1 aaa, bbb; aabb. gr€€n pi$$ le*** letter!!"]
+
+
+def odd_texts(n):
+    rng = random.Random(n)
+    signs = "abelnoßéİΣσ.,;:?!$@*|(<+0134-_'~’ \t\nABE"
+    return ODD_TEXTS + ["".join(rng.choice(signs) for _ in range(rng.randrange(60))) for _ in range(n)]
+
+
+def test_endings_of_words_are_read_once(model, monkeypatch):
+    """Words that end alike cost one walk through the lattice, however many there are."""
+    asked = []
+    readings = toxicity.Restorer._readings
+    monkeypatch.setattr(toxicity.Restorer, "_readings", lambda self, *place: asked.append(place) or readings(self, *place))
+    restorer = toxicity.Restorer(model.trigrams)
+    for n in range(500):
+        opening = "ba" * n + "bread"
+        word, *read = restorer.words_of(opening + "$!!")
+        assert word == opening + "$" and all(w.startswith(opening) for w in read)
+    assert len(asked) <= 6
+
+
+def test_words_with_an_opening_read_as_the_whole_lattice_does(model):
+    restorer = toxicity.Restorer(model.trigrams)
+    for token in {t.lower() for text in odd_texts(1500) for t in (text or "").split()} | {"x y z", "o l é"}:
+        assert restorer.words_of(token) == restorer._words_of(token), token
+
+
+def test_texts_read_together_have_the_features_that_each_has(model, monkeypatch):
+    texts = odd_texts(300) + [PLAIN, PLAIN + "you wretch", "v3rm1n s c o u n d r e l"] * 2
+    alone = [toxicity._Reader(model.trigrams, model.features).features(t) for t in texts]
+    asked = []
+    of = toxicity._Grams.of
+    monkeypatch.setattr(toxicity._Grams, "of", lambda self, words: asked.append(words) or of(self, words))
+    reader = toxicity._Reader(model.trigrams, model.features)
+    assert reader.all_features(texts) == alone and len(asked) == 1
+    monkeypatch.setattr(toxicity, "CHUNK", 50)
+    monkeypatch.setattr(toxicity, "MEMO_TOKENS", 20)
+    assert reader.all_features(texts) == alone
+
+
+def test_documents_with_a_feature_are_counted(model):
+    texts = odd_texts(200) + [PLAIN, PLAIN, PLAIN + "w r e t c h"]
+    toxic = np.arange(len(texts)) % 3 == 0
+    reader = toxicity._Reader(model.trigrams)
+    brute = Counter((name, bool(t)) for text, t in zip(texts, toxic) for name in reader.features(text))
+    found = Counter()
+    for names, *counts in toxicity._documents_with(reader, texts, toxic):
+        for marked, count in zip((True, False), counts):
+            found.update({(name, marked): n for name, n in zip(names, count) if n})
+    assert found == brute
+    assert not list(toxicity._documents_with(reader, ["", None, "..."], np.zeros(3, bool)))
+
+
+def test_trigrams_are_those_of_plain_words(spark):
+    """Rows of any length, also one of more tokens than are counted together."""
+    texts = odd_texts(300) + [PLAIN, "letter, 'quoted' (word)! noooo 3x a", PLAIN * 5000]
+    brute = Counter()
+    for token in (token for text in texts for token in (text or "").split()):
+        word = toxicity.stripped(token)
+        if word.isalpha() and not any(len(list(run)) > 2 for _, run in itertools.groupby(word)):
+            shown = f"  {word} "
+            brute.update(shown[i : i + 3] for i in range(len(shown) - 2))
+    assert toxicity.trigram_counts(documents(spark, list(enumerate(texts)))) == brute
